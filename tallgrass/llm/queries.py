@@ -2,8 +2,18 @@
 
 from __future__ import annotations
 
+from tallgrass.llm.bpe import op9_bpe
+from tallgrass.llm.exact_dedup import op5_exact_dedup
+from tallgrass.llm.mixing import op3_mix
 from tallgrass.llm.near_dedup import op1_near_dedup
+from tallgrass.llm.token_counts import op4_token_counts
 
-QUERIES = {"op1_near_dedup": op1_near_dedup}
+QUERIES = {f.__name__: f for f in (op1_near_dedup, op3_mix, op4_token_counts, op5_exact_dedup, op9_bpe)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_exact_dedup": r"""
+WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
+g AS (SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY t)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM n JOIN g USING (t)
+""",
+}
