@@ -5,8 +5,9 @@ components of these links. Copies of a set count once in the search, so a group
 
 Candidates: a signature has SLOTS values, banded as BANDS keys of ROWS values. Each bucket first offers its members to three
 hubs, which joins groups of true near copies in a linear number of pairs. What is still apart in a bucket is then paired
-across components, where sizes and one-bit sketches allow the similarity, so no link between different texts goes missing
-beyond what banding misses: about 5 in a million at 0.75, fewer above.
+across components, where sizes and sketches allow the similarity, so no link between different texts goes missing beyond what
+banding misses: about 5 in a million at 0.75, fewer above. The odd sketch, which has the parity of the number of shingles at
+each of its bits, never rejects a link: two sketches differ in at most as many bits as the sets have elements apart.
 
 Null text, empty text: an empty set, linked with nothing. Rows that share an id count as one document with the smallest set digest.
 A null id stays a row of its own (all null ids together). Columns besides id and text are not read.
@@ -23,8 +24,10 @@ from tallgrass.llm.components import components
 from tallgrass.llm.shingles import shingle_sets
 
 SLOTS, BANDS, ROWS = 128, 32, 4
-#: Most of the 128 sketch bits that may differ at a similarity of 0.75: 16 are expected, and 5.2 standard deviations allowed.
-SKETCH_BITS = 36
+#: Standard deviations above the expected number of differing one-bit sketches that a pair at the similarity may show.
+SLACK = 5.2
+#: Bits of the odd sketch.
+ODD_BITS = 1024
 _RANK = np.uint64(24)
 _EMPTY = np.uint32(0xFFFFFFFF)
 #: Elements that are ranked together.
@@ -108,6 +111,17 @@ def sketches(signatures: np.ndarray) -> np.ndarray:
     return np.packbits(bits, axis=1).view(np.int64)
 
 
+def odd_sketches(sets: list[np.ndarray]) -> np.ndarray:
+    """A row of ODD_BITS / 64 words for each set."""
+    out = np.empty((len(sets), ODD_BITS // 64), dtype=np.int64)
+    for i in range(0, len(sets), 256):
+        part = sets[i : i + 256]
+        at = np.repeat(np.arange(len(part)), [len(x) for x in part]) * ODD_BITS + (np.concatenate(part) % np.uint64(ODD_BITS)).astype(np.int64)
+        odd = (np.bincount(at, minlength=len(part) * ODD_BITS) & 1).astype(np.uint8).reshape(len(part), ODD_BITS)
+        out[i : i + 256] = np.packbits(odd, axis=1).view(np.int64)
+    return out
+
+
 def _sign(k: int):
     def run(batches):
         import pyarrow as pa
@@ -119,7 +133,9 @@ def _sign(k: int):
             bits = sketches(signatures)
             digest = np.array([[mix(s).sum(dtype=np.uint64), mix(s ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64)] for s in sets], dtype=np.uint64).reshape(n, 2).view(np.int64)
             bands = pa.ListArray.from_arrays(pa.array(np.arange(0, (n + 1) * BANDS, BANDS, dtype=np.int32)), pa.array(band_keys(signatures).view(np.int64).reshape(-1)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), *(pa.array(np.ascontiguousarray(x[:, i])) for x in (digest, bits) for i in (0, 1)), bands], ["id", "n", "d1", "d2", "s1", "s2", "bands"])
+            words = ODD_BITS // 64
+            odd = pa.ListArray.from_arrays(pa.array(np.arange(0, (n + 1) * words, words, dtype=np.int32)), pa.array(odd_sketches(sets).reshape(-1)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), *(pa.array(np.ascontiguousarray(x[:, i])) for x in (digest, bits) for i in (0, 1)), odd, bands], ["id", "n", "d1", "d2", "s1", "s2", "odd", "bands"])
 
     return run
 
@@ -147,18 +163,21 @@ def _verify(k: int, num: int, den: int):
     return run
 
 
+_META = ("n", "s1", "s2", "odd")
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, num: int = 75, den: int = 100) -> DataFrame:
     """(id, n_shingles, component_id) for each distinct id of docs; component_id is the smallest id reachable by links."""
     spark = docs.sparkSession
     texts = docs.select(id_key(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    signed = written(texts.mapInArrow(_sign(k), "id long, n long, d1 long, d2 long, s1 long, s2 long, bands array<long>"), "signatures")
+    signed = written(texts.mapInArrow(_sign(k), "id long, n long, d1 long, d2 long, s1 long, s2 long, odd array<long>, bands array<long>"), "signatures")
 
     # Sets that are equal are one class, named by its smallest id.
     classes = written(signed.filter("n > 0").groupBy("d1", "d2").agg(F.min("id").alias("class")), "classes")
     of_class = signed.filter("n > 0").join(classes, ["d1", "d2"])
-    narrow = written(of_class.select("id", "class", "n", "s1", "s2"), "narrow")
+    narrow = written(of_class.select("id", "class", "n"), "narrow")
     heads = written(of_class.filter("id = class").select("id", F.explode(F.array_distinct("bands")).alias("band")).distinct(), "bands")
-    meta = narrow.filter("id = class").select("id", "n", "s1", "s2").dropDuplicates(["id"])
+    meta = written(of_class.filter("id = class").select("id", *_META).dropDuplicates(["id"]), "meta")
 
     mixed = [0x5DEECE66D, 0x2545F4914F6CDD1D]
     hubs = [F.min("id"), *(F.min(F.col("id").bitwiseXOR(F.lit(m))).bitwiseXOR(F.lit(m)) for m in mixed)]
@@ -176,10 +195,10 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     per_label = placed.groupBy("band", "label").agg(F.count("*").alias("members"))
     apart = per_label.groupBy("band").agg(F.count("*").alias("labels"), F.max(F.struct("members", "label"))["label"].alias("core")).filter("labels > 1").select("band", "core")
     open_ = placed.join(apart, "band").join(meta, "id")
-    open_ = written(open_.select("band", "id", "label", "core", "n", "s1", "s2"), "apart")
-    x = open_.filter("label <> core").select("band", *(F.col(c).alias(f"x_{c}") for c in ("id", "label", "n", "s1", "s2")))
+    open_ = written(open_.select("band", "id", "label", "core", *_META), "apart")
+    x = open_.filter("label <> core").select("band", *(F.col(c).alias(f"x_{c}") for c in ("id", "label", *_META)))
     y = open_.withColumn("is_core", F.expr("label = core"))
-    close = (F.col("x_label") != F.col("label")) & (F.col("is_core") | (F.col("x_id") < F.col("id"))) & _size_ok("x_n", "n", num, den) & (_differing("x_s1", "x_s2", "s1", "s2") <= SKETCH_BITS)
+    close = (F.col("x_label") != F.col("label")) & (F.col("is_core") | (F.col("x_id") < F.col("id"))) & _may_link("x_", "", num, den)
     late = x.join(y, "band").filter(close).select(F.least("x_id", "id").alias("a"), F.greatest("x_id", "id").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
     late = written(late, "late")
     if not late.isEmpty():
@@ -193,20 +212,24 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return found.unionByName(empty)
 
 
-def _size_ok(a: str, b: str, num: int, den: int):
-    return F.least(a, b) * den >= F.greatest(a, b) * num
-
-
-def _differing(a1: str, a2: str, b1: str, b2: str):
-    return F.bit_count(F.col(a1).bitwiseXOR(F.col(b1))) + F.bit_count(F.col(a2).bitwiseXOR(F.col(b2)))
+def _may_link(a: str, b: str, num: int, den: int):
+    """Whether sizes and sketches of two sets, whose columns begin with a and b, allow the similarity."""
+    n, m = F.col(f"{a}n"), F.col(f"{b}n")
+    bits = [F.bit_count(F.col(f"{a}{c}").bitwiseXOR(F.col(f"{b}{c}"))) for c in ("s1", "s2")]
+    odd = [F.bit_count(F.col(f"{a}odd")[i].bitwiseXOR(F.col(f"{b}odd")[i])) for i in range(ODD_BITS // 64)]
+    half = (1 - num / den) / 2
+    most = int(SLOTS * half + SLACK * (SLOTS * half * (1 - half)) ** 0.5)
+    # At the similarity num / den, the sets have (n + m) * (den - num) / (den + num) elements apart.
+    sizes = F.least(n, m) * den >= F.greatest(n, m) * num
+    return sizes & (sum(bits[1:], bits[0]) <= most) & (sum(odd[1:], odd[0]) * (den + num) <= (n + m) * (den - num))
 
 
 def _plausible(pairs: DataFrame, meta: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs whose set sizes and sketches allow the similarity."""
-    a = meta.select(*(F.col(c).alias(f"a_{c}") for c in ("id", "n", "s1", "s2")))
-    b = meta.select(*(F.col(c).alias(f"b_{c}") for c in ("id", "n", "s1", "s2")))
+    a = meta.select(*(F.col(c).alias(f"a_{c}") for c in ("id", *_META)))
+    b = meta.select(*(F.col(c).alias(f"b_{c}") for c in ("id", *_META)))
     both = pairs.join(a, F.col("a") == F.col("a_id")).join(b, F.col("b") == F.col("b_id"))
-    return both.filter(_size_ok("a_n", "b_n", num, den) & (_differing("a_s1", "a_s2", "b_s1", "b_s2") <= SKETCH_BITS)).select("a", "b")
+    return both.filter(_may_link("a_", "b_", num, den)).select("a", "b")
 
 
 def _linked(pairs: DataFrame, texts: DataFrame, asked: DataFrame, k: int, num: int, den: int) -> DataFrame:
