@@ -3,17 +3,52 @@
 from __future__ import annotations
 
 from tallgrass.llm.bpe import op9_bpe
+from tallgrass.llm.chat import op2_chat
 from tallgrass.llm.exact_dedup import op5_exact_dedup
 from tallgrass.llm.mixing import op3_mix
 from tallgrass.llm.near_dedup import op1_near_dedup
+from tallgrass.llm.quality import op8_quality
+from tallgrass.llm.substring_dedup import op7_substring_dedup
 from tallgrass.llm.token_counts import op4_token_counts
+from tallgrass.llm.warc import op10_warc
 
-QUERIES = {f.__name__: f for f in (op1_near_dedup, op3_mix, op4_token_counts, op5_exact_dedup, op9_bpe)}
+QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_chat, op3_mix, op4_token_counts, op5_exact_dedup, op7_substring_dedup, op8_quality, op9_bpe, op10_warc)}
 
 ORACLE_SQL: dict[str, str] = {
     "op5_exact_dedup": r"""
 WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
 g AS (SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY t)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM n JOIN g USING (t)
+""",
+    "op7_substring_dedup": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20),
+v AS (SELECT doc_id, i, array_to_string(list_slice(w, i, i + 19), ' ') AS t FROM s),
+f AS (SELECT doc_id, i, row_number() OVER (PARTITION BY t ORDER BY doc_id, i) AS r FROM v),
+c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS p FROM f WHERE r > 1),
+p AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d),
+k AS (SELECT p.doc_id, string_agg(p.x, ' ' ORDER BY p.p) AS t, count(*) AS n FROM p ANTI JOIN c ON p.doc_id = c.doc_id AND p.p = c.p GROUP BY p.doc_id)
+SELECT d.doc_id, len(d.w) AS n_words, len(d.w) - coalesce(k.n, 0) AS n_removed, sha256(coalesce(k.t, '')) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)
+""",
+    "op2_chat": r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, t, r, '<|im_end|><|im_start|>assistant ok' FROM (VALUES (0, 'user'), (1, 'assistant')) v(t, r)),
+e AS (SELECT *, length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g')) + length(role) AS n FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(n + 24)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+""",
+    "op10_warc": r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+f AS (SELECT html, min(page_id) AS first FROM p GROUP BY html),
+h AS (SELECT page_id, html, first, from_hex(sha1(html))::BIT::VARCHAR AS b FROM p JOIN f USING (html))
+SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + 16 * substr(b, 5 * i + 1, 1)::INT + 8 * substr(b, 5 * i + 2, 1)::INT
+    + 4 * substr(b, 5 * i + 3, 1)::INT + 2 * substr(b, 5 * i + 4, 1)::INT + substr(b, 5 * i + 5, 1)::INT, 1)), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
+FROM h
 """,
 }
