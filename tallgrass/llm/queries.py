@@ -10,9 +10,10 @@ from tallgrass.llm.near_dedup import op1_near_dedup
 from tallgrass.llm.quality import op8_quality
 from tallgrass.llm.substring_dedup import op7_substring_dedup
 from tallgrass.llm.token_counts import op4_token_counts
+from tallgrass.llm.top_k import op6_top_k
 from tallgrass.llm.warc import op10_warc
 
-QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_chat, op3_mix, op4_token_counts, op5_exact_dedup, op7_substring_dedup, op8_quality, op9_bpe, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_chat, op3_mix, op4_token_counts, op5_exact_dedup, op6_top_k, op7_substring_dedup, op8_quality, op9_bpe, op10_warc)}
 
 ORACLE_SQL: dict[str, str] = {
     "op5_exact_dedup": r"""
@@ -50,5 +51,12 @@ SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes,
     + 4 * substr(b, 5 * i + 3, 1)::INT + 2 * substr(b, 5 * i + 4, 1)::INT + substr(b, 5 * i + 5, 1)::INT, 1)), '') AS payload_digest,
   CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
 FROM h
+""",
+    "op6_top_k": r"""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """,
 }
