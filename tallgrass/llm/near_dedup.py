@@ -249,3 +249,9 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def op1_near_dedup(spark, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents."""
     return near_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs whose id is the smallest of its group, with the columns of docs."""
+    stay = near_groups(docs, id_col, text_col).filter("id = component_id").select(F.col("id").alias("__id"))
+    return docs.withColumn("__id", id_key(id_col)).join(stay, "__id", "left_semi").select(*docs.columns)
