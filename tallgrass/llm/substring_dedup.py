@@ -28,8 +28,10 @@ WINDOW, MINIMISER = 20, 4
 FINENESS = 16
 #: Bytes of strings that a bucket sorts at once; larger buckets are split.
 AT_ONCE = 16 << 20
-#: Strings that a map task collects before it sends them, in bytes.
-COLLECT = 32 << 20
+#: Bytes of strings, with what Python adds to each, that a map task collects before it sends them.
+COLLECT = 160 << 20
+#: Of zstandard: strings are most of what travels.
+LEVEL = 3
 _ODD = np.random.default_rng(0x5EED).integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -79,37 +81,39 @@ def _split(buckets: int):
         import pyarrow as pa
         import zstandard
 
-        packer = zstandard.ZstdCompressor(level=1)
-        sent: dict[bytes, tuple[int, int]] = {}  # digest of a string to where it first occurred
+        packer = zstandard.ZstdCompressor(level=LEVEL)
+        sent: dict[bytes, tuple[int, int]] = {}  # where each string first occurred
         strings: list = []
         reports: list = []
         size = 0
 
         def flush():
             nonlocal size
-            if strings:
-                doc, start, key, count = (np.array([s[i] for s in strings], dtype=t) for i, t in ((0, np.int64), (1, np.int64), (2, np.uint64), (3, np.int64)))
-                bucket = (key % np.uint64(buckets)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                edges = np.flatnonzero(np.append(True, np.diff(bucket[order]) != 0))
-                for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(order)]):
-                    part = order[a:b]
-                    meta = np.stack([doc[part], start[part], key[part].view(np.int64), count[part]]).tobytes()
-                    blob = packer.compress(meta + b"\n".join(strings[i][4] for i in part.tolist()))
-                    yield int(bucket[part[0]]), len(part), blob
+            bucket = np.array([s[2] for s in strings], dtype=np.uint64) % np.uint64(buckets)
+            order = np.argsort(bucket, kind="stable")
+            edges = np.flatnonzero(np.append(True, np.diff(bucket[order]) != 0)) if len(order) else []
+            for a, b in zip(edges, [*edges[1:], len(order)]):
+                part = [strings[i] for i in order[a:b].tolist()]
+                places = np.diff(np.array([s[0] for s in part], np.int64), prepend=0).tobytes() + np.array([s[1] for s in part], np.int64).tobytes()
+                yield int(bucket[order[a]]), len(part), packer.compress(places + b"\n".join(s[3] for s in part))
             strings.clear()
             sent.clear()
             size = 0
 
         def packed(rows):
-            rows = list(rows)
-            for i in range(0, len(rows), 512):
-                part = rows[i : i + 512]
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in part], pa.int64()), pa.array([r[1] for r in part], pa.int64()), pa.array([r[2] for r in part], pa.binary()), pa.nulls(len(part), pa.int64()), pa.nulls(len(part), pa.list_(pa.int64()))], ["bucket", "n", "blob", "id", "marks"])
+            held, bytes_ = [], 0
+            for row in rows:
+                held.append(row)
+                bytes_ += len(row[2])
+                if bytes_ > 2 << 20:
+                    yield _rows_of(held)
+                    held, bytes_ = [], 0
+            yield _rows_of(held)
             if reports:
-                ids, marks = _by_document(np.array([r[0] for r in reports], np.int64), np.array([r[1] for r in reports], np.int64), np.array([r[2] for r in reports], np.int64))
+                ids, marks = _by_document(*(np.array(x, np.int64) for x in zip(*reports)))
                 reports.clear()
-                yield pa.RecordBatch.from_arrays([pa.nulls(len(ids), pa.int64()), pa.nulls(len(ids), pa.int64()), pa.nulls(len(ids), pa.binary()), pa.array(ids, pa.int64()), marks], ["bucket", "n", "blob", "id", "marks"])
+                n = len(ids)
+                yield pa.RecordBatch.from_arrays([pa.array(-1 - ids % buckets, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array(ids, pa.int64()), marks], ["bucket", "n", "blob", "id", "marks"])
 
         for batch in batches:
             data, offsets = text_buffer(batch.column(1))
@@ -132,15 +136,15 @@ def _split(buckets: int):
                     seen = sent.get(string)
                     if seen is None:
                         sent[string] = (doc, start)
-                        strings.append((doc, start, k, n, string))
-                        size += len(string) + 200
+                        strings.append((doc, start, k, string))
+                        size += len(string) + 250
                     elif seen <= (doc, start):
                         if seen < (doc, start):
                             reports.append((doc, start, n))
                     else:  # the earlier place travels as well, since the later one has been kept already
                         sent[string] = (doc, start)
-                        strings.append((doc, start, k, n, string))
-                        size += len(string) + 200
+                        strings.append((doc, start, k, string))
+                        size += len(string) + 250
                 if size > COLLECT:
                     yield from packed(flush())
         yield from packed(flush())
@@ -148,6 +152,13 @@ def _split(buckets: int):
     return run
 
 
+def _rows_of(part: list):
+    import pyarrow as pa
+
+    n = len(part)
+    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in part], pa.int64()), pa.array([r[1] for r in part], pa.int64()), pa.array([r[2] for r in part], pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.list_(pa.int64()))], ["bucket", "n", "blob", "id", "marks"])
+
+
 def _by_document(ids: np.ndarray, starts: np.ndarray, counts: np.ndarray):
     """The distinct ids, and for each an Arrow list of start, count, start, count ... of windows."""
     import pyarrow as pa
@@ -159,27 +170,43 @@ def _by_document(ids: np.ndarray, starts: np.ndarray, counts: np.ndarray):
     return ids[edges], pa.ListArray.from_arrays(pa.array(np.append(edges, len(ids)).astype(np.int32) * 2), pa.array(flat))
 
 
-def later_windows(doc: np.ndarray, start: np.ndarray, key: np.ndarray, count: np.ndarray, strings: list[bytes], window: int = WINDOW, at_once: int = AT_ONCE, level: int = 0):
+def _words(strings: list[bytes]) -> tuple[np.ndarray, ...]:
+    """Start and end of each word of all strings joined, where each string begins in them and its first word's number (one more than strings), and hashes of words."""
+    raw = np.frombuffer(b"\n".join(strings), dtype=np.uint8)
+    offsets = np.concatenate(([0], np.cumsum([len(s) + 1 for s in strings])))
+    offsets[-1] -= 1
+    starts, ends = word_spans(raw, offsets)
+    return starts, ends, offsets[:-1], np.searchsorted(starts, offsets), word_hashes(raw, starts, ends)
+
+
+def _keys(strings: list[bytes], window: int, minimiser: int = MINIMISER) -> np.ndarray:
+    """The hash of each super-k-mer's minimiser."""
+    out = []
+    for a, b in _runs(strings, AT_ONCE):
+        *_, base, hashes = _words(strings[a:b])
+        small = _sums(hashes, minimiser)
+        width = window - minimiser + 1
+        out.append(small[base[:-1, None] + np.arange(width)].min(axis=1))
+    return np.concatenate(out)
+
+
+def later_windows(doc: np.ndarray, start: np.ndarray, strings: list[bytes], window: int = WINDOW, at_once: int = AT_ONCE, keys: np.ndarray | None = None, level: int = 0):
     """(doc, start) of each window of the super-k-mers that equals one with a smaller (doc, start)."""
     total = sum(map(len, strings))
     if total > at_once and level < 8:
-        part = (key >> np.uint64(16 + 4 * level)) & np.uint64(15)
+        keys = _keys(strings, window) if keys is None else keys
+        part = (keys >> np.uint64(32 + 4 * level)) & np.uint64(15)
         for p in np.unique(part):
             at = np.flatnonzero(part == p)
-            yield from later_windows(doc[at], start[at], key[at], count[at], [strings[i] for i in at.tolist()], window, at_once, level + 1)
+            yield from later_windows(doc[at], start[at], [strings[i] for i in at.tolist()], window, at_once, keys[at], level + 1)
         return
     passes = max(1, -(-total // at_once))  # of one minimiser: each pass sorts the windows of some hashes
     for p in range(passes):
         held = []
         for a, b in _runs(strings, at_once):
-            raw = np.frombuffer(b"\n".join(strings[a:b]), dtype=np.uint8)
-            lengths = np.array([len(s) + 1 for s in strings[a:b]], dtype=np.int64)
-            offsets = np.concatenate(([0], np.cumsum(lengths)))
-            offsets[-1] -= 1
-            s, e = word_spans(raw, offsets)
-            hashes = _sums(word_hashes(raw, s, e), window)
-            base = np.searchsorted(s, offsets[:-1])
-            n = count[a:b]
+            s, e, offsets, base, hashes = _words(strings[a:b])
+            hashes = _sums(hashes, window)
+            n = np.diff(base) - window + 1
             which = np.repeat(np.arange(b - a), n)
             inner = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
             word = base[which] + inner
@@ -188,19 +215,21 @@ def later_windows(doc: np.ndarray, start: np.ndarray, key: np.ndarray, count: np
             held.append((h[take], which[take] + a, inner[take], (s[word] - offsets[which])[take], (e[word + window - 1] - offsets[which])[take]))
         h, which, inner, begin, end = (np.concatenate(x) for x in zip(*held))
         d, at = doc[which], start[which] + inner
-        order = np.lexsort((at, d, h))
+        order = np.argsort(h, kind="stable")
+        twice = np.append(False, h[order][1:] == h[order][:-1])
+        twice[:-1] |= twice[1:]
+        order = order[twice]  # windows whose hash occurs once are done
+        order = order[np.lexsort((at[order], d[order], h[order]))]
         h_, d_, at_ = h[order], d[order], at[order]
-        same = np.append(False, h_[1:] == h_[:-1])
-        if not same.any():
-            continue
+        same = np.append(False, h_[1:] == h_[:-1])[: len(order)]
         head = np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))
         for i in np.flatnonzero(same).tolist():
-            x, y = order[i], order[head[i]]
+            x, first = order[i], head[i]
+            y = order[first]
             mine = strings[which[x]][begin[x] : end[x]]
-            first = head[i]
             if mine != strings[which[y]][begin[y] : end[y]]:
                 # Two sequences share a hash: look for the first place of this one.
-                first = next(z for z in range(head[i], i + 1) if strings[which[order[z]]][begin[order[z]] : end[order[z]]] == mine)
+                first = next(z for z in range(first, i + 1) if strings[which[order[z]]][begin[order[z]] : end[order[z]]] == mine)
             if (d_[first], at_[first]) < (d_[i], at_[i]):
                 yield int(d_[i]), int(at_[i])
 
@@ -217,6 +246,7 @@ def _runs(strings: list[bytes], most: int):
 
 def _sort_buckets(batches):
     import pyarrow as pa
+    import pyarrow.compute
     import zstandard
 
     unpacker = zstandard.ZstdDecompressor()
@@ -226,10 +256,10 @@ def _sort_buckets(batches):
     def close():
         if not held:
             return
-        meta = np.concatenate([h[0] for h in held], axis=1)
-        strings = [s for h in held for s in h[1]]
+        doc, start = (np.concatenate([h[i] for h in held]) for i in (0, 1))
+        strings = [s for h in held for s in h[2]]
         held.clear()
-        found = list(later_windows(meta[0], meta[1], meta[2].view(np.uint64), meta[3], strings))
+        found = list(later_windows(doc, start, strings))
         if found:
             ids, at = np.array([f[0] for f in found], np.int64), np.array([f[1] for f in found], np.int64)
             order = np.lexsort((at, ids))
@@ -239,12 +269,18 @@ def _sort_buckets(batches):
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), marks], ["id", "marks"])
 
     for batch in batches:
+        reported = batch.filter(pa.compute.is_valid(batch.column(3)))
+        if reported.num_rows:
+            yield pa.RecordBatch.from_arrays([reported.column(3), reported.column(4)], ["id", "marks"])
         for b, n, blob in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            if blob is None:
+                continue
             if b != bucket:
                 yield from close()
                 bucket = b
             raw = unpacker.decompress(blob)
-            held.append((np.frombuffer(raw, dtype=np.int64, count=4 * n).reshape(4, n), raw[32 * n :].split(b"\n")))
+            places = np.frombuffer(raw, dtype=np.int64, count=2 * n)
+            held.append((np.cumsum(places[:n]), places[n:], raw[16 * n :].split(b"\n")))
     yield from close()
 
 
@@ -299,11 +335,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions")) * FINENESS
     texts = docs.select(id_key(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     split = texts.mapInArrow(_split(buckets), "bucket long, n long, blob binary, id long, marks array<long>")
-    from tallgrass.llm.common import written
-
-    split = written(split, "super-kmers")
-    sorted_ = split.filter("bucket is not null").select("bucket", "n", "blob").repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_sort_buckets, "id long, marks array<long>")
-    marks = split.filter("marks is not null").select("id", "marks").unionByName(sorted_)
+    marks = split.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_sort_buckets, "id long, marks array<long>")
     both = marks.select("id", "marks", F.lit(None).cast("string").alias("text"), F.lit(0).alias("kind")).unionByName(texts.select("id", F.lit(None).cast("array<long>").alias("marks"), "text", F.lit(1).alias("kind")))
     schema = "id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
     done = both.repartition("id").sortWithinPartitions("id", "kind").select("id", "marks", "text").mapInArrow(_cover(with_text), schema)
