@@ -54,13 +54,14 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share_percent: int = SHARE_PERCEN
 
 
 def fit(counts: dict[int, int], wanted: int) -> dict[int, int]:
-    """How many of each length to take, at most counts of it, so that the total is nearest to wanted; ties go to the smaller total.
+    """How many of each length to take, at most counts of it, so that the total comes near to wanted; ties go to the smaller total.
 
-    Exact whenever the dynamic program sees all that is missing (below FIT); before that, large lengths are subtracted greedily.
+    Below FIT words, the dynamic program sees everything and the total is the nearest there is. Above, each length first gives its
+    proportional share, large lengths are subtracted greedily, and the program fits what is then missing to the counts left.
     """
     total = sum(size * n for size, n in counts.items())
     wanted = max(0, min(wanted, total))
-    take = {size: n * wanted // total for size, n in counts.items()} if total else {}
+    take = {size: n * wanted // total if wanted >= FIT else 0 for size, n in counts.items()}
     left = wanted - sum(size * n for size, n in take.items())
     for size in sorted(counts, reverse=True):
         if left < FIT:
