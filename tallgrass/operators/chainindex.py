@@ -37,7 +37,7 @@ def chain_index(bars: DataFrame, calendar: DataFrame, members: DataFrame, anchor
     days = calendar.select("d").distinct().withColumn("before", F.lag("d").over(W.partitionBy(F.lit(0)).orderBy("d")))
     prior = bars.select(F.col("id").alias("p_id"), F.col("d").alias("p_d"), F.col("close").alias("prior"))
     x = bars.join(F.broadcast(days), "d").join(prior, (F.col("id") == F.col("p_id")) & (F.col("before") == F.col("p_d")))
-    x = x.join(members, "id").filter((F.col("prior") > 0) & (F.col("shares") > 0) & (F.abs(F.col("close") / F.col("prior") - 1) <= LARGEST_MOVE))
+    x = x.join(members, "id").filter((F.col("prior") > 0) & (F.col("shares") > 0) & (F.round(F.abs(F.col("close") / F.col("prior") - 1), 10) <= LARGEST_MOVE))
     x = capped(x.withColumn("size", F.col("prior") * F.col("shares")), ["group", "d"], "size", cap=cap)
     factor = lambda c: F.sum(F.col("weight") * F.col(c) / F.col("prior")).alias(f"f_{c}")
     daily = x.groupBy("group", "d").agg(*(factor(c) for c in ("open", "high", "low", "close")), F.sum("volume").alias("volume"), F.sum("trade_value").alias("trade_value"))
