@@ -232,7 +232,20 @@ _TOK = "d AS (SELECT doc_id, source, list_filter(regexp_split_to_array(lower(spl
 _TFIDF = _TOK + ", f AS (SELECT token, count(*) AS df FROM tt GROUP BY 1), w0 AS (SELECT doc_id, source, token, ln(1 + n) * (ln((1 + (SELECT count(*) FROM documents)) / (1 + df)) + 1) AS w FROM tt JOIN f USING (token)), w AS (SELECT doc_id, source, token, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS w FROM w0)"
 _NORM = "v AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE / sqrt(list_sum(list_transform(embedding, lambda y: y::DOUBLE * y::DOUBLE)))) AS v FROM embeddings)"
 _SIM = _NORM + ", c AS (SELECT a.vec_id, b.vec_id AS candidate, round(list_dot_product(a.v, b.v), 6) AS cosine FROM v a JOIN v b ON a.label = b.label AND b.vec_id < a.vec_id AND b.vec_id >= a.vec_id - 200), s AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY cosine DESC, candidate DESC) AS rank FROM c WHERE cosine >= 0.10)"
+_LONG = "bars AS (SELECT l_suppkey AS id, CAST(l_shipdate AS DATE) AS d, first(p ORDER BY l_orderkey, l_linenumber, p) / 2000 + 4 AS open, max(p) / 2000 + 4 AS high, min(p) / 2000 + 4 AS low, last(p ORDER BY l_orderkey, l_linenumber, p) / 2000 + 4 AS close, last(p ORDER BY l_orderkey, l_linenumber, p) AS raw, CAST(sum(l_quantity) AS BIGINT) AS volume FROM (SELECT *, l_extendedprice / l_quantity AS p FROM lineitem) GROUP BY 1, 2)"
+_INDEX = (
+    f"WITH {_LONG}, cal AS (SELECT d, lag(d) OVER (ORDER BY d) AS before FROM (SELECT DISTINCT d FROM bars)), "
+    "x AS (SELECT s_nationkey AS g, b.*, y.close AS prior, y.close * (100 + s_suppkey % 7 * 50) AS m FROM bars b JOIN cal ON b.d = cal.d JOIN bars y ON y.id = b.id AND y.d = cal.before JOIN supplier ON s_suppkey = b.id AND s_suppkey % 11 <> 0 WHERE round(abs(b.close / y.close - 1), 10) <= 0.3), "
+    "c0 AS (SELECT *, count(*) OVER w AS n, m / sum(m) OVER w > 0.25 AS f1 FROM x WINDOW w AS (PARTITION BY g, d)), "
+    "c1 AS (SELECT *, f1 OR m / sum(m) FILTER (NOT f1) OVER w * (1 - 0.25 * count(*) FILTER (f1) OVER w) > 0.25 AS f2 FROM c0 WINDOW w AS (PARTITION BY g, d)), "
+    "c2 AS (SELECT *, f2 OR m / sum(m) FILTER (NOT f2) OVER w * (1 - 0.25 * count(*) FILTER (f2) OVER w) > 0.25 AS f3 FROM c1 WINDOW w AS (PARTITION BY g, d)), "
+    "k AS (SELECT *, CASE WHEN n <= 4 THEN 1.0::DOUBLE / n WHEN f3 THEN 0.25::DOUBLE ELSE m / sum(m) FILTER (NOT f3) OVER w * (1 - 0.25 * count(*) FILTER (f3) OVER w) END AS wt FROM c2 WINDOW w AS (PARTITION BY g, d)), "
+    "f AS (SELECT g, d, sum(wt * open / prior) AS o, sum(wt * high / prior) AS h, sum(wt * low / prior) AS l, sum(wt * close / prior) AS c, sum(volume)::BIGINT AS volume, sum(CASE WHEN volume % 2 = 0 THEN raw * volume END) AS tv FROM k GROUP BY 1, 2), "
+    "v AS (SELECT *, ln(1000) + coalesce(sum(ln(c)) OVER (PARTITION BY g ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS a FROM f) "
+    "SELECT g AS \"group\", d, round(a + ln(o), 6) AS ln_open, round(a + ln(greatest(o, h, l, c)), 6) AS ln_high, round(a + ln(least(o, h, l, c)), 6) AS ln_low, round(a + ln(c), 6) AS ln_close, volume, round(tv, 2) AS trade_value FROM v"
+)
 ORACLE_SQL = {
+    "q_chain_index": _INDEX,
     "q_capped_weights": "WITH s AS (SELECT s_suppkey, s_nationkey, abs(s_acctbal) + 1 AS m, count(*) OVER (PARTITION BY s_nationkey) AS n FROM supplier), a AS (SELECT *, m / sum(m) OVER w > 0.25 AS f1 FROM s WINDOW w AS (PARTITION BY s_nationkey)), b AS (SELECT *, f1 OR m / sum(m) FILTER (NOT f1) OVER w * (1 - 0.25 * count(*) FILTER (f1) OVER w) > 0.25 AS f2 FROM a WINDOW w AS (PARTITION BY s_nationkey)), c AS (SELECT *, f2 OR m / sum(m) FILTER (NOT f2) OVER w * (1 - 0.25 * count(*) FILTER (f2) OVER w) > 0.25 AS f3 FROM b WINDOW w AS (PARTITION BY s_nationkey)) SELECT s_suppkey, s_nationkey, round(CASE WHEN n <= 4 THEN 1.0 / n WHEN f3 THEN 0.25 ELSE m / sum(m) FILTER (NOT f3) OVER w * (1 - 0.25 * count(*) FILTER (f3) OVER w) END, 9) AS weight FROM c WINDOW w AS (PARTITION BY s_nationkey)",
     "q_edge_summary": "SELECT l_suppkey, l_returnflag, s_nationkey, count(*) FILTER (l_linestatus = 'O') AS news, count(*) FILTER (l_linestatus <> 'O') AS filings, min(l_shipdate)::DATE AS first_day, max(l_shipdate)::DATE AS last_day, coalesce(array_to_string(list_transform(list_sort(list(DISTINCT {'d': l_shipdate, 'k': l_orderkey}) FILTER (l_linestatus = 'O')), lambda x: x.k), ','), '') AS news_keys, coalesce(array_to_string(list_transform(list_sort(list(DISTINCT {'d': l_shipdate, 'k': l_orderkey}) FILTER (l_linestatus <> 'O')), lambda x: x.k), ','), '') AS filing_keys, count(*) FILTER (l_quantity > 25) AS positive, count(*) FILTER (l_quantity < 10) AS negative FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2, 3",
     "q_distinct_threshold": "SELECT o_custkey, count(DISTINCT (o_orderpriority, o_orderstatus)) AS kinds, count(*) AS orders FROM orders GROUP BY 1 HAVING kinds >= 6",

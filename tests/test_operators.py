@@ -139,3 +139,83 @@ def test_shuffled_input_gives_the_same(spark):
         random.Random(seed).shuffle(rows)
         seen.add(str(entity.merged_themes(spark.createDataFrame(rows, "name string, place int, members array<string>, reason string").repartition(3)).collect()))
     assert len(seen) == 1
+
+
+# Clustering, pages, streams
+
+
+def _doc(key, hours, title=None, body=None):
+    return (key, hours * 3600.0, title or {}, body or {}, {})
+
+
+def test_clusters_join_by_text_not_by_time():
+    from tallgrass.operators.cluster import Options, fold
+
+    same = {"a": 1.0, "b": 2.0}
+    got = {k: (c, s) for k, c, s in fold([_doc(1, 0, same), _doc(2, 1, same), _doc(3, 1, {"z": 1.0}), _doc(4, 2), _doc(5, 2)], {}, 10, Options())}
+    assert got[1] == (1, None) and got[2][0] == 1 and got[2][1] > 2 and got[3] == (3, None) and got[4] == (4, None) and got[5] == (5, None)
+
+
+def test_clusters_end_by_age_and_ties_stay_early():
+    from tallgrass.operators.cluster import Options, fold
+
+    same = {"a": 1.0}
+    days = [_doc(i, 24 * d, same) for i, d in ((1, 0), (2, 5), (3, 9), (4, 11), (5, 30))]
+    got = {k: c for k, c, _ in fold(days[::-1], {}, 10, Options())}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 4, 5: 5}
+    assert {k: c for k, c, _ in fold([_doc(1, 0, same), _doc(2, 0, {"b": 1.0}), _doc(3, 0, {"a": 1.0, "b": 1.0})], {}, 10, Options())}[3] == 1
+    with pytest.raises(ValueError):
+        Options(threshold=0.2)
+
+
+def test_clusters_of_a_table_do_not_depend_on_its_order(spark):
+    from tallgrass.operators.cluster import online_clusters
+
+    r, rows = random.Random(2), []
+    for i in range(60):
+        rows.append((i, i * 3600.0, {r.choice("abcdef"): 1.0, r.choice("abcdef"): 2.0}, {}, {}, i % 2))
+    seen = set()
+    for seed in range(2):
+        random.Random(seed).shuffle(rows)
+        df = spark.createDataFrame(rows, "key long, epoch double, title map<string,double>, body map<string,double>, entities map<string,double>, block int")
+        seen.add(str(sorted(map(tuple, online_clusters(df, "block", {}, 60).select("key", "cluster").collect()))))
+    assert len(seen) == 1
+
+
+def test_grids_fill_spans():
+    from tallgrass.operators.html import main_text, tables_of
+
+    assert tables_of("<table><tr><td rowspan=2>a<td colspan=2>b</tr><tr><td>c</td><td>d</td></tr><tr><td>e</table>") == [[["a", "b", "b"], ["a", "c", "d"], ["e"]]]
+    assert tables_of(None) == [] and main_text(None) is None and main_text("<p>short</p>") is None
+    long = "word " * 40
+    assert main_text(f"<nav>{long}</nav><article><p>{long}</p><script>x</script></article>") == long.strip()
+    assert main_text(f"<div><p>{long}</p><p>tiny</p></div>") == long.strip()
+
+
+def test_fixed_tails_take_the_middle(spark):
+    from tallgrass.sources import landed
+
+    df = spark.createDataFrame([("001AB  long name  XY9",), ("short",)], "value string")
+    got = landed.fixed_tail(df, {"code": 3, "kind": 4}, "name", {"tail": 2, "n": 1}).collect()
+    assert [tuple(r) for r in got] == [("001", "AB", "long name", "XY", "9")]
+
+
+def test_newest_complete_folder(spark, tmp_path):
+    from tallgrass.sources import landed
+
+    for name, files in (("20240101", ["a", "b"]), ("20240103", ["a"]), ("x", ["a", "b"])):
+        (tmp_path / name).mkdir()
+        for f in files:
+            (tmp_path / name / f).write_text("x")
+    assert landed.newest_folder(spark, str(tmp_path), ("a", "b")) == f"{tmp_path}/20240101"
+    assert landed.newest_folder(spark, str(tmp_path), ("c",)) is None and landed.newest_folder(spark, str(tmp_path / "none")) is None
+
+
+def test_repeated_batches_change_nothing(spark, tmp_path):
+    from tallgrass.streaming import streams
+
+    sink = streams.upserting(str(tmp_path / "t"), ["k"], {"v": "fill"})
+    a, b = spark.createDataFrame([(1, 5), (2, 6)], "k int, v int"), spark.createDataFrame([(1, None), (3, 7)], "k int, v int")
+    for number, batch in ((0, a), (1, b), (1, b)):
+        sink(batch, number)
+    assert sorted(map(tuple, streams.newest_version(spark, str(tmp_path / "t")).collect())) == [(1, 5), (2, 6), (3, 7)]
