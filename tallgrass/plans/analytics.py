@@ -136,7 +136,7 @@ def q_top_keywords(spark, d):
     """T5: five heaviest tokens of a source, ties in order of the token."""
     t, _ = _terms(spark, d)
     x = t.join(table(spark, d, "documents").select("doc_id", "source"), "doc_id").groupBy("source", "token").agg(F.sum("n").alias("n"))
-    return x.withColumn("rank", F.row_number().over(W.partitionBy("source").orderBy(F.desc("n"), "token"))).filter("rank <= 5")
+    return x.withColumn("rank", F.row_number().over(W.partitionBy("source").orderBy(F.desc("n"), "token")).cast("long")).filter("rank <= 5")
 
 
 def q_medoids(spark, d):
@@ -149,7 +149,7 @@ def q_medoids(spark, d):
 def q_similar_earlier(spark, d):
     """Similar earlier vectors of the same label within a look-back, at most 12."""
     e = table(spark, d, "embeddings").select("vec_id", "label", "embedding")
-    return vectors.earlier_candidates(e, "vec_id", "label", "embedding", 0.10, 200, 12).select("vec_id", "candidate", "cosine", "rank")
+    return vectors.earlier_candidates(e, "vec_id", "label", "embedding", 0.10, 200, 12).select("vec_id", "candidate", "cosine", F.col("rank").cast("long").alias("rank"))
 
 
 def q_link_decision(spark, d):
@@ -190,7 +190,7 @@ def q_invariant(spark, d):
 
 def q_mode(spark, d):
     """The most frequent month of a customer, ties to the smallest, and its orders."""
-    o = table(spark, d, "orders").select("o_custkey", "o_orderkey", F.month("o_orderdate").alias("m"))
+    o = table(spark, d, "orders").select("o_custkey", "o_orderkey", F.month("o_orderdate").cast("long").alias("m"))
     mode = o.groupBy("o_custkey", "m").agg(F.count("*").alias("n")).groupBy("o_custkey").agg(F.max_by("m", F.struct("n", -F.col("m"))).alias("mode"))
     return o.join(mode, "o_custkey").filter("m = mode").groupBy("o_custkey", "mode").agg(F.count("*").alias("orders"))
 

@@ -51,7 +51,7 @@ def q_members_as_of(spark, d):
     """Members of a group up to a time, the earliest alone where none is."""
     o = table(spark, d, "orders").groupBy("o_custkey").agg(F.collect_list(F.struct(F.col("o_orderdate").alias("at"), F.col("o_orderkey").alias("k"))).alias("m"))
     x = voting.as_of_members(F.col("m"), F.lit("1996-01-01 00:00:00").cast("timestamp_ntz"))
-    return o.select("o_custkey", F.size(x).alias("n"), F.array_min(F.transform(x, lambda m: m["at"])).cast("date").alias("first"))
+    return o.select("o_custkey", F.size(x).cast("long").alias("n"), F.array_min(F.transform(x, lambda m: m["at"])).cast("date").alias("first"))
 
 
 def q_longest_run(spark, d):
@@ -140,5 +140,5 @@ ORACLE_SQL = {
     "q_reply_parse": "SELECT conv_id, turn, CASE WHEN conv_id % 5 = 0 THEN 'DIFFERENT' WHEN turn % 3 = 0 THEN 'FOLLOW' ELSE 'SAME' END AS label FROM conversations",
     "q_title_words": "WITH t AS (SELECT doc_id, split_part(text, chr(10), 1) AS head, list_filter(regexp_split_to_array(split_part(text, chr(10), -1), ' +'), lambda w: length(w) >= 2) AS w FROM documents) SELECT doc_id, len(list_filter(w, lambda x: contains(head, x))) * 2 >= len(w) AS verified FROM t",
     "q_describe_targets": "SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'text' END AS about FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 450000) ORDER BY about IS NOT NULL, c_custkey LIMIT 40",
-    "q_latest_holding": "WITH b AS (SELECT DISTINCT user_id AS id, ts::DATE AS d FROM events) SELECT id, d, CASE WHEN d = max(d) OVER (PARTITION BY id) THEN id * 1.5 END AS held FROM b",
+    "q_latest_holding": "WITH b AS (SELECT DISTINCT user_id AS id, ts::DATE AS d FROM events) SELECT id, d, CASE WHEN d = max(d) OVER (PARTITION BY id) THEN (id * 1.5)::DOUBLE END AS held FROM b",
 }

@@ -97,20 +97,20 @@ def q_title_filter(spark, d):
 
 def q_clean_text(spark, d):
     """Tags out, entities replaced, white space folded."""
-    return table(spark, d, "pages").select("page_id", F.length(text.clean_text(F.regexp_extract("html", r"<title>(.*?)</title>", 1))).alias("n"), F.sha2(text.clean_text(F.regexp_extract("html", r"<title>(.*?)</title>", 1)), 256).alias("digest"))
+    return table(spark, d, "pages").select("page_id", F.length(text.clean_text(F.regexp_extract("html", r"<title>(.*?)</title>", 1))).cast("long").alias("n"), F.sha2(text.clean_text(F.regexp_extract("html", r"<title>(.*?)</title>", 1)), 256).alias("digest"))
 
 
 def q_sentences(spark, d):
     """Sentences, the first of them, and those with a word."""
     s = table(spark, d, "documents").select("doc_id", text.sentences(F.col("text")).alias("s"))
-    return s.select("doc_id", F.size("s").alias("n"), F.sha2(F.coalesce(F.try_element_at("s", F.lit(1)), F.lit("")), 256).alias("lead"), F.size(F.filter("s", lambda x: x.contains("the"))).alias("with_word"))
+    return s.select("doc_id", F.size("s").cast("long").alias("n"), F.sha2(F.coalesce(F.try_element_at("s", F.lit(1)), F.lit("")), 256).alias("lead"), F.size(F.filter("s", lambda x: x.contains("the"))).cast("long").alias("with_word"))
 
 
 def q_masked(spark, d):
     """Aliases masked, longest first, runs collapsed."""
     c = table(spark, d, "conversations").select("conv_id", "turn", F.coalesce("text", F.lit("")).alias("text"))
     m = text.masked(F.col("text"), F.array(*map(F.lit, ["the", "in the", "que", "und", "of"])))
-    return c.select("conv_id", "turn", F.sha2(m, 256).alias("digest"), F.regexp_count(m, F.lit("○○")).alias("masks"))
+    return c.select("conv_id", "turn", F.sha2(m, 256).alias("digest"), F.regexp_count(m, F.lit("○○")).cast("long").alias("masks"))
 
 
 def q_grounded(spark, d):
@@ -196,7 +196,7 @@ _NK = "lower(regexp_replace(regexp_replace({x}, '주식회사|\\(주\\)|㈜|\\(
 _BARE = "lower(regexp_replace({x}, '[^A-Za-z0-9가-힣]', '', 'g'))"
 ORACLE_SQL = {
     "q_grounded": "WITH t AS (SELECT doc_id, text, substring(text, 1, 12) || '...' || CASE WHEN doc_id % 3 = 0 THEN 'zzzz' ELSE substring(text, 20, 10) END AS q FROM documents) SELECT doc_id, length(" + _BARE.format(x="q") + ") >= 4 AND len(list_filter(regexp_split_to_array(q, '\\.\\.\\.|…'), lambda p: length(" + _BARE.format(x="p") + ") >= 2 AND NOT contains(" + _BARE.format(x="text") + ", " + _BARE.format(x="p") + "))) = 0 AS grounded FROM t",
-    "q_numbers": "WITH p AS (SELECT *, CASE p_partkey % 5 WHEN 0 THEN ' - ' WHEN 1 THEN format('{:,}', trunc(p_retailprice * 100)::BIGINT) WHEN 2 THEN '0' ELSE p_retailprice::VARCHAR END AS t, p_retailprice - p_size * 20.0 AS b FROM part), n AS (SELECT *, try_cast(replace(trim(t), ',', '') AS DOUBLE) AS x FROM p) SELECT p_partkey, x AS number, nullif(x, 0) AS amount, CASE WHEN x = floor(x) THEN x::BIGINT END AS whole, CASE WHEN b > 0 AND abs(p_retailprice / b - 1) <= 0.3 THEN round(b, 6) END AS base, CASE WHEN p_size * 3.0 <> 99 AND p_size * 3.0 <= 100 THEN p_size * 3.0 END AS sane, round(p_retailprice * CASE p_size % 3 WHEN 0 THEN 1000000.0 WHEN 1 THEN 1000.0 ELSE 1.0 END, 4) AS scaled, round(p_size::DOUBLE / nullif(p_partkey % 10, 0) * 100, 4) AS held FROM n",
+    "q_numbers": "WITH p AS (SELECT *, CASE p_partkey % 5 WHEN 0 THEN ' - ' WHEN 1 THEN format('{:,}', trunc(p_retailprice * 100)::BIGINT) WHEN 2 THEN '0' ELSE p_retailprice::VARCHAR END AS t, p_retailprice - p_size * 20.0 AS b FROM part), n AS (SELECT *, try_cast(replace(trim(t), ',', '') AS DOUBLE) AS x FROM p) SELECT p_partkey, x AS number, nullif(x, 0) AS amount, CASE WHEN x = floor(x) THEN x::BIGINT END AS whole, CASE WHEN b > 0 AND abs(p_retailprice / b - 1) <= 0.3 THEN round(b, 6) END AS base, CASE WHEN p_size * 3.0 <> 99 AND p_size * 3.0 <= 100 THEN (p_size * 3.0)::DOUBLE END AS sane, round(p_retailprice * CASE p_size % 3 WHEN 0 THEN 1000000.0 WHEN 1 THEN 1000.0 ELSE 1.0 END, 4) AS scaled, round(p_size::DOUBLE / nullif(p_partkey % 10, 0) * 100, 4) AS held FROM n",
     "q_clean_text": "WITH t AS (SELECT page_id, regexp_replace(regexp_extract(html, '<title>(.*?)</title>', 1), '<[^>]+>', '', 'g') AS t FROM pages), c AS (SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(t, '&quot;', '\"'), '&lt;', '<'), '&gt;', '>'), '&nbsp;', chr(160)), '&apos;', chr(39)), '&#39;', chr(39)), '&amp;', '&'), '[\\s\\x{00A0}]+', ' ', 'g')) AS t FROM t) SELECT page_id, length(t) AS n, sha256(t) AS digest FROM c",
     "q_url_keys": "WITH p AS (SELECT page_id, regexp_replace(url, '^http', 'HTTP') || '/A/b//?q=' || page_id AS link FROM pages) SELECT page_id, rtrim(lower(split_part(link, '?', 1)), '/') AS stored_key, lower(regexp_extract(link, '^([A-Za-z]+)://([^/?#]+)([^?#;]*)', 1)) || '://' || lower(regexp_extract(link, '^([A-Za-z]+)://([^/?#]+)([^?#;]*)', 2)) || rtrim(regexp_extract(link, '^([A-Za-z]+)://([^/?#]+)([^?#;]*)', 3), '/') AS url_key FROM p",
     "q_url_groups": "WITH RECURSIVE o AS (SELECT o_orderkey AS k, 'c' || o_custkey AS u, 'p' || floor(o_totalprice / 40)::BIGINT AS v FROM orders WHERE o_orderkey < 3000), e AS (SELECT k, u FROM o UNION SELECT k, v FROM o), r AS (SELECT k AS node, k AS label FROM o UNION SELECT b.k, r.label FROM r JOIN e a ON r.node = a.k JOIN e b ON a.u = b.u) SELECT node AS o_orderkey, min(label) AS survivor FROM r GROUP BY 1",
