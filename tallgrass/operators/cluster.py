@@ -10,8 +10,13 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tallgrass.operators import vectors
 
 FIELDS = ("title", "body", "all", "entities")
 DAY, HOUR = 86_400.0, 3_600.0
@@ -101,3 +106,140 @@ def online_clusters(docs: DataFrame, block: str, idf: dict[str, dict], documents
         return pd.DataFrame(fold(rows, idf, documents, options), columns=["key", "cluster", "score"])
 
     return docs.groupBy(block).applyInPandas(run, "key long, cluster long, score double")
+
+
+def weighted_terms(docs: DataFrame, documents: int) -> DataFrame:
+    """(block, epoch, key, terms) of docs (key long, epoch double, title string, body string, block): each document's tokens with their
+    counts in title and body and their inverse document frequencies in title, body and both, over all documents. Frequencies are joined
+    by token, so no vocabulary is gathered; documents without tokens have no terms."""
+    marked = lambda c, t, b: F.transform(F.coalesce(vectors.tokens(F.col(c)), F.array().cast("array<string>")), lambda x: F.struct(x.alias("token"), F.lit(t).alias("t"), F.lit(b).alias("b")))
+    x = docs.select("block", "epoch", "key", F.explode(F.concat(marked("title", 1, 0), marked("body", 0, 1))).alias("x")).select("block", "epoch", "key", "x.*")
+    x = x.groupBy("block", "epoch", "key", "token").agg(F.sum("t").alias("t"), F.sum("b").alias("b"))
+    df = x.groupBy("token").agg(F.count_if(F.col("t") > 0).alias("df_t"), F.count_if(F.col("b") > 0).alias("df_b"), F.count("*").alias("df_a"))
+    idf = (vectors.inverse(F.col(c), F.lit(documents)).alias(f"i{c[2:]}") for c in ("df_t", "df_b", "df_a"))
+    w = x.join(df, "token").select("block", "epoch", "key", F.struct("token", "t", "b", *idf).alias("x"))
+    w = w.unionByName(docs.select("block", "epoch", "key", F.lit(None).cast(w.schema["x"].dataType).alias("x")))
+    return w.groupBy("block", "epoch", "key").agg(F.collect_list("x").alias("terms"))
+
+
+class _Fold:
+    """fold() on arrays, a document at a time, where documents bring the weights of their tokens.
+
+    The vectors of all live clusters lie one after another in `entry`, with their tokens in `at` and their places in `owner`
+    (place 0: given up), so a document meets all of them in one pass; given-up entries are dropped once they are the larger part.
+    """
+
+    def __init__(self, options: Options) -> None:
+        self.o, self.ids, self.idf, self.dense = options, {}, np.zeros((1024, 3)), np.zeros((1024, 3))
+        self.at, self.owner, self.entry, self.used = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros((1024, 3)), 0
+        self.dead, self.free, self.made = 0, [], 0
+        self.live, self.state, self.sums = np.zeros(1, bool), np.zeros((1, 5)), [None]  # by place: first, last, seconds, size, turn
+        self.number = [None]
+
+    def tokens(self, names: list, idf: np.ndarray) -> np.ndarray:
+        out = np.fromiter((self.ids.setdefault(t, len(self.ids)) for t in names), np.int64, len(names))
+        while len(self.ids) > len(self.idf):
+            self.idf, self.dense = np.concatenate([self.idf, np.zeros_like(self.idf)]), np.concatenate([self.dense, np.zeros_like(self.dense)])
+        self.idf[out] = idf
+        return out
+
+    def unit(self, at: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        v = np.log1p(np.column_stack([counts, counts.sum(axis=1)])) * self.idf[at]
+        length = np.sqrt((v * v).sum(axis=0))
+        return v / np.where(length > 0, length, 1.0)
+
+    def drop(self, places: np.ndarray) -> None:
+        gone = np.zeros(len(self.live), bool)
+        gone[places] = True
+        hit = gone[self.owner[: self.used]]
+        self.dead += int(hit.sum())
+        self.owner[: self.used][hit] = 0
+        if self.dead * 2 > self.used:
+            keep = np.flatnonzero(self.owner[: self.used])
+            for a in (self.at, self.owner, self.entry):
+                a[: len(keep)] = a[keep]
+            self.used, self.dead = len(keep), 0
+
+    def put(self, place: int, at: np.ndarray, v: np.ndarray) -> None:
+        while self.used + len(at) > len(self.at):
+            self.at, self.owner, self.entry = (np.concatenate([a, np.zeros_like(a)]) for a in (self.at, self.owner, self.entry))
+        span = slice(self.used, self.used + len(at))
+        self.at[span], self.owner[span], self.entry[span] = at, place, v
+        self.used += len(at)
+
+    def place(self, key: int, epoch: float) -> int:
+        if not self.free:
+            self.free = list(range(2 * len(self.live) - 1, len(self.live) - 1, -1))
+            self.live, self.state = np.concatenate([self.live, np.zeros_like(self.live)]), np.concatenate([self.state, np.zeros_like(self.state)])
+            self.sums, self.number = self.sums + [None] * len(self.sums), self.number + [None] * len(self.number)
+        p, self.made = self.free.pop(), self.made + 1
+        self.live[p], self.state[p], self.number[p] = True, (epoch, epoch, 0.0, 0, self.made), key
+        self.sums[p] = (np.zeros(0, np.int64), np.zeros((0, 2)))
+        return p
+
+    def add(self, key: int, epoch: float, at: np.ndarray, counts: np.ndarray) -> tuple:
+        o = self.o
+        order = np.argsort(at)
+        at, counts = at[order], counts[order]
+        old = np.flatnonzero(self.live & ((self.state[:, 1] < epoch - o.candidate_days * DAY) | (self.state[:, 0] < epoch - o.span_days * DAY)))
+        if len(old):
+            self.live[old] = False
+            self.drop(old)
+            self.free += old.tolist()
+            for p in old:
+                self.sums[p] = None
+        v, best, top = self.unit(at, counts), None, None
+        live = np.flatnonzero(self.live)
+        if len(live):
+            self.dense[at] = v * o.text_weights[:3]
+            text = np.einsum("ij,ij->i", self.dense[self.at[: self.used]], self.entry[: self.used])
+            self.dense[at] = 0.0
+            s = self.state[live]
+            score = np.bincount(self.owner[: self.used], weights=text, minlength=len(self.live))[live]
+            for m, w in zip((s[:, 1], s[:, 2] / s[:, 3], s[:, 0]), o.time_weights):
+                score = score + w * np.exp(-(((epoch - m) / HOUR) ** 2) / (2 * o.sigma_hours**2))
+            if score.max() > o.threshold:
+                most = np.flatnonzero(score == score.max())
+                most = most[np.argmin(s[most, 4])]  # ties stay with the earlier cluster
+                best, top = int(live[most]), float(score[most])
+        if best is None:
+            best = self.place(key, epoch)
+        else:
+            self.drop(np.array([best]))
+        s = self.state[best]
+        s[0], s[1], s[2], s[3] = min(s[0], epoch), max(s[1], epoch), s[2] + epoch, s[3] + 1
+        known, sums = self.sums[best]
+        both, inverse = np.unique(np.concatenate([known, at]), return_inverse=True)
+        total = np.zeros((len(both), 2))
+        total[inverse[: len(known)]] = sums
+        total[inverse[len(known) :]] += counts
+        self.sums[best] = (both, total)
+        self.put(best, both, self.unit(both, total / s[3]))
+        return key, self.number[best], top
+
+
+def online_clusters_of_terms(docs: DataFrame, documents: int, options: Options = Options()) -> DataFrame:
+    """(key, cluster, score) of docs as weighted_terms takes them; what fold() gives with the frequencies of all tokens.
+
+    A block's documents come to its task in order of time and are read one batch at a time: what stays is its live clusters and vocabulary.
+    """
+
+    def run(batches):
+        block, state = object(), None
+        for batch in batches:
+            blocks, epochs, keys = (batch.column(c).to_pylist() for c in ("block", "epoch", "key"))
+            terms = batch.column("terms")
+            ends = np.concatenate([[0], np.cumsum(terms.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))])
+            flat = dict(zip((f.name for f in terms.type.value_type), terms.flatten().flatten()))
+            names = flat["token"].to_pylist()
+            counts, idf = (np.column_stack([flat[c].to_numpy(zero_copy_only=False).astype(float) for c in cs]) for cs in (("t", "b"), ("i_t", "i_b", "i_a")))
+            out = []
+            for i, (b, epoch, key) in enumerate(zip(blocks, epochs, keys)):
+                if state is None or b != block:
+                    block, state = b, _Fold(options)
+                span = slice(ends[i], ends[i + 1])
+                out.append(state.add(key, epoch, state.tokens(names[span], idf[span]), counts[span]))
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.float64()))] if out else [pa.array([], t) for t in (pa.int64(), pa.int64(), pa.float64())], names=["key", "cluster", "score"])
+
+    x = weighted_terms(docs, documents).repartition("block").sortWithinPartitions("block", "epoch", "key")
+    return x.mapInArrow(run, "key long, cluster long, score double")

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import math
 import uuid
 
 from pyspark.sql import functions as F
 
-from tallgrass.operators import cluster, html, vectors
+from tallgrass.operators import cluster, html
 from tallgrass.sources import landed
 from tallgrass.sources.tables import table
 from tallgrass.streaming import streams
@@ -50,16 +49,8 @@ def q_paged_rows(spark, d):
 
 def q_online_clusters(spark, d):
     """ST1 W11 M4 M5: online clusters of documents, blocked by source; arrival order gives the time."""
-    docs = table(spark, d, "documents").select("doc_id", "source", F.split("text", "\n")[0].alias("title"))
-    t = vectors.term_counts(docs, "doc_id", "title")
-    n = docs.count()
-    # The run's dictionary: the frequent tokens of titles, at most 20,000; others weigh as unseen.
-    frequent = vectors.document_frequencies(t, "title").filter("df > 1").orderBy(F.desc("df"), "token").limit(20_000).collect()
-    idf = {r["token"]: math.log((1 + n) / (1 + r["df"])) + 1 for r in frequent}
-    m = t.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("token", F.col("n").cast("double")))).alias("title"))
-    empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<double>"))
-    x = docs.select("doc_id", "source").join(m, "doc_id", "left").select(F.col("doc_id").alias("key"), (F.col("doc_id") * 1800.0).alias("epoch"), "title", empty.alias("body"), empty.alias("entities"), "source")
-    return cluster.online_clusters(x, "source", {"title": idf, "all": idf}, n).select("key", "cluster", F.round("score", 6).alias("score"))
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("key"), (F.col("doc_id") * 1800.0).alias("epoch"), F.split("text", "\n")[0].alias("title"), F.lit(None).cast("string").alias("body"), F.col("source").alias("block"))
+    return cluster.online_clusters_of_terms(docs, docs.count()).select("key", "cluster", F.round("score", 6).alias("score"))
 
 
 def _ticks(spark, d):

@@ -182,6 +182,43 @@ def test_clusters_of_a_table_do_not_depend_on_its_order(spark):
     assert len(seen) == 1
 
 
+def _whole_frequencies(docs):
+    """fold()'s answer for docs (doc_id, source, text), with document frequencies of all tokens, counted here."""
+    import math
+    import re
+    from collections import Counter
+
+    from tallgrass.operators.cluster import Options, fold
+
+    words = lambda x: Counter(t for t in re.split(r"[^\w]+|_", x.lower()) if len(t) >= 2)
+    parts = [(k, s, words(t.partition("\n")[0]), words(t.partition("\n")[2])) for k, s, t in docs]
+    idf = {}
+    for f, of in (("title", lambda p: p[2]), ("body", lambda p: p[3]), ("all", lambda p: p[2] | p[3])):
+        df = Counter(t for p in parts for t in of(p))
+        idf[f] = {t: math.log((1 + len(docs)) / (1 + n)) + 1 for t, n in df.items()}
+    out = []
+    for source in {p[1] for p in parts}:
+        out += fold([(k, k * 1800.0, dict(t), dict(b), {}) for k, s, t, b in parts if s == source], idf, len(docs), Options())
+    return {k: (c, None if s is None else round(s, 6)) for k, c, s in out}
+
+
+def _clusters_of(spark, folder, docs):
+    from tallgrass.plans.pagesflow import q_online_clusters
+
+    spark.createDataFrame(docs, "doc_id long, source string, text string").write.parquet(f"{folder}/documents.parquet")
+    rows = q_online_clusters(spark, str(folder)).collect()
+    assert len(rows) == len(docs)
+    return {r["key"]: (r["cluster"], None if r["score"] is None else pytest.approx(r["score"], abs=2e-6)) for r in rows}
+
+
+def test_clusters_weigh_each_title_token_by_all_documents(spark, tmp_path):
+    r = random.Random(5)
+    docs = [(i, f"s{i % 3}", " ".join([f"w{min(r.randrange(60), r.randrange(60))}" for _ in range(r.randrange(6))] + [f"once{i}"] * (i % 2))) for i in range(240)]
+    # More repeated tokens than any fixed dictionary of 20,000 would hold; two documents share them.
+    docs += [(240 + i, "big", " ".join(f"v{j}" for j in range(21_000)) + f" rare{i}") for i in range(2)] + [(242, "big", "v20999 z9 zz9"), (243, "big", "v20999 z9 zz8"), (244, "big", "")]
+    assert _whole_frequencies(docs) == _clusters_of(spark, tmp_path, docs)
+
+
 def test_grids_fill_spans():
     from tallgrass.operators.html import main_text, tables_of
 
