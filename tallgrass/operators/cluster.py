@@ -108,22 +108,23 @@ def online_clusters(docs: DataFrame, block: str, idf: dict[str, dict], documents
     return docs.groupBy(block).applyInPandas(run, "key long, cluster long, score double")
 
 
-def weighted_terms(docs: DataFrame, documents: int) -> DataFrame:
-    """(block, epoch, key, terms) of docs (key long, epoch double, title string, body string, block): each document's tokens with their
-    counts in title and body and their inverse document frequencies in title, body and both, over all documents. Frequencies are joined
-    by token, so no vocabulary is gathered; documents without tokens have no terms."""
-    marked = lambda c, t, b: F.transform(F.coalesce(vectors.tokens(F.col(c)), F.array().cast("array<string>")), lambda x: F.struct(x.alias("token"), F.lit(t).alias("t"), F.lit(b).alias("b")))
-    x = docs.select("block", "epoch", "key", F.explode(F.concat(marked("title", 1, 0), marked("body", 0, 1))).alias("x")).select("block", "epoch", "key", "x.*")
-    x = x.groupBy("block", "epoch", "key", "token").agg(F.sum("t").alias("t"), F.sum("b").alias("b"))
-    df = x.groupBy("token").agg(F.count_if(F.col("t") > 0).alias("df_t"), F.count_if(F.col("b") > 0).alias("df_b"), F.count("*").alias("df_a"))
-    idf = (vectors.inverse(F.col(c), F.lit(documents)).alias(f"i{c[2:]}") for c in ("df_t", "df_b", "df_a"))
-    w = x.join(df, "token").select("block", "epoch", "key", F.struct("token", "t", "b", *idf).alias("x"))
-    w = w.unionByName(docs.select("block", "epoch", "key", F.lit(None).cast(w.schema["x"].dataType).alias("x")))
-    return w.groupBy("block", "epoch", "key").agg(F.collect_list("x").alias("terms"))
+def _words(docs: DataFrame) -> DataFrame:
+    words = lambda c: F.coalesce(vectors.tokens(F.col(c)), F.array().cast("array<string>")).alias(c)
+    return docs.select("block", "epoch", "key", words("title"), words("body"))
+
+
+def block_weights(docs: DataFrame, documents: int) -> DataFrame:
+    """(block, token, i_t, i_b, i_a) of docs (title, body: string, and block): the inverse frequencies of each block's tokens in title,
+    body and both, over the documents of all blocks. Frequencies are summed and joined by token; no vocabulary is gathered or cut."""
+    marked = lambda tokens, *n: F.transform(tokens, lambda x: F.struct(x.alias("token"), *(F.lit(v).alias(c) for c, v in zip("tba", n))))
+    each = F.concat(marked(F.array_distinct("title"), 1, 0, 0), marked(F.array_distinct("body"), 0, 1, 0), marked(F.array_union("title", "body"), 0, 0, 1))
+    x = _words(docs).select("block", F.explode(each).alias("x")).groupBy("block", "x.token").agg(*(F.sum(f"x.{c}").alias(c) for c in "tba"))
+    df = x.groupBy("token").agg(*(F.sum(c).alias(f"df_{c}") for c in "tba"))
+    return x.select("block", "token").join(df, "token").select("block", "token", *(vectors.inverse(F.col(f"df_{c}"), F.lit(documents)).alias(f"i_{c}") for c in "tba"))
 
 
 class _Fold:
-    """fold() on arrays, a document at a time, where documents bring the weights of their tokens.
+    """fold() on arrays, a document at a time, with the weights of a block's tokens learnt before its documents.
 
     The vectors of all live clusters lie one after another in `entry`, with their tokens in `at` and their places in `owner`
     (place 0: given up), so a document meets all of them in one pass; given-up entries are dropped once they are the larger part.
@@ -136,12 +137,17 @@ class _Fold:
         self.live, self.state, self.sums = np.zeros(1, bool), np.zeros((1, 5)), [None]  # by place: first, last, seconds, size, turn
         self.number = [None]
 
-    def tokens(self, names: list, idf: np.ndarray) -> np.ndarray:
-        out = np.fromiter((self.ids.setdefault(t, len(self.ids)) for t in names), np.int64, len(names))
-        while len(self.ids) > len(self.idf):
+    def learn(self, token: str, idf: np.ndarray) -> None:
+        i = self.ids.setdefault(token, len(self.ids))
+        if i >= len(self.idf):
             self.idf, self.dense = np.concatenate([self.idf, np.zeros_like(self.idf)]), np.concatenate([self.dense, np.zeros_like(self.dense)])
-        self.idf[out] = idf
-        return out
+        self.idf[i] = idf
+
+    def counts(self, *fields: list) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens of a document and their counts in title and body."""
+        n = sum(map(len, fields))
+        at, where = np.unique(np.fromiter((self.ids[t] for f in fields for t in f), np.int64, n), return_inverse=True)
+        return at, np.column_stack([np.bincount(x, minlength=len(at)) for x in np.split(where, [len(fields[0])])]).astype(float)
 
     def unit(self, at: np.ndarray, counts: np.ndarray) -> np.ndarray:
         v = np.log1p(np.column_stack([counts, counts.sum(axis=1)])) * self.idf[at]
@@ -179,8 +185,6 @@ class _Fold:
 
     def add(self, key: int, epoch: float, at: np.ndarray, counts: np.ndarray) -> tuple:
         o = self.o
-        order = np.argsort(at)
-        at, counts = at[order], counts[order]
         old = np.flatnonzero(self.live & ((self.state[:, 1] < epoch - o.candidate_days * DAY) | (self.state[:, 0] < epoch - o.span_days * DAY)))
         if len(old):
             self.live[old] = False
@@ -218,28 +222,30 @@ class _Fold:
         return key, self.number[best], top
 
 
-def online_clusters_of_terms(docs: DataFrame, documents: int, options: Options = Options()) -> DataFrame:
-    """(key, cluster, score) of docs as weighted_terms takes them; what fold() gives with the frequencies of all tokens.
+def online_clusters_of_texts(docs: DataFrame, documents: int, options: Options = Options()) -> DataFrame:
+    """(key, cluster, score) of docs (key long, epoch double, title string, body string, block); what fold() gives with the frequencies of all tokens.
 
-    A block's documents come to its task in order of time and are read one batch at a time: what stays is its live clusters and vocabulary.
+    A block's weights and then its documents in order of time come to its task, which reads them one batch at a time: what stays is its
+    live clusters and vocabulary.
     """
 
     def run(batches):
-        block, state = object(), None
+        block, state = None, None
         for batch in batches:
-            blocks, epochs, keys = (batch.column(c).to_pylist() for c in ("block", "epoch", "key"))
-            terms = batch.column("terms")
-            ends = np.concatenate([[0], np.cumsum(terms.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))])
-            flat = dict(zip((f.name for f in terms.type.value_type), terms.flatten().flatten()))
-            names = flat["token"].to_pylist()
-            counts, idf = (np.column_stack([flat[c].to_numpy(zero_copy_only=False).astype(float) for c in cs]) for cs in (("t", "b"), ("i_t", "i_b", "i_a")))
+            blocks, epochs, keys, tokens = (batch.column(c).to_pylist() for c in ("block", "epoch", "key", "token"))
+            title, body = batch.column("title"), batch.column("body")
+            idf = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("i_t", "i_b", "i_a")])
             out = []
-            for i, (b, epoch, key) in enumerate(zip(blocks, epochs, keys)):
+            for i, (b, epoch, key, token) in enumerate(zip(blocks, epochs, keys, tokens)):
                 if state is None or b != block:
                     block, state = b, _Fold(options)
-                span = slice(ends[i], ends[i + 1])
-                out.append(state.add(key, epoch, state.tokens(names[span], idf[span]), counts[span]))
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.float64()))] if out else [pa.array([], t) for t in (pa.int64(), pa.int64(), pa.float64())], names=["key", "cluster", "score"])
-
-    x = weighted_terms(docs, documents).repartition("block").sortWithinPartitions("block", "epoch", "key")
+                if token is not None:
+                    state.learn(token, idf[i])
+                else:
+                    out.append(state.add(key, epoch, *state.counts(title[i].as_py(), body[i].as_py())))
+            columns = zip(*out) if out else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()))], names=["key", "cluster", "score"])
+
+    first = block_weights(docs, documents).withColumn("epoch", F.lit(-math.inf))
+    x = first.unionByName(_words(docs), allowMissingColumns=True).repartition("block").sortWithinPartitions("block", "epoch", "key")
     return x.mapInArrow(run, "key long, cluster long, score double")

@@ -49,8 +49,8 @@ def q_paged_rows(spark, d):
 
 def q_online_clusters(spark, d):
     """ST1 W11 M4 M5: online clusters of documents, blocked by source; arrival order gives the time."""
-    docs = table(spark, d, "documents").select(F.col("doc_id").alias("key"), (F.col("doc_id") * 1800.0).alias("epoch"), F.split("text", "\n")[0].alias("title"), F.lit(None).cast("string").alias("body"), F.col("source").alias("block"))
-    return cluster.online_clusters_of_terms(docs, docs.count()).select("key", "cluster", F.round("score", 6).alias("score"))
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("key"), (F.col("doc_id") * 1800.0).alias("epoch"), F.split("text", "\n")[0].alias("title"), F.expr("substr(text, nullif(locate('\\n', text), 0) + 1)").alias("body"), F.col("source").alias("block"))
+    return cluster.online_clusters_of_texts(docs, docs.count()).select("key", "cluster", F.round("score", 6).alias("score"))
 
 
 def _ticks(spark, d):

@@ -219,6 +219,15 @@ def test_clusters_weigh_each_title_token_by_all_documents(spark, tmp_path):
     assert _whole_frequencies(docs) == _clusters_of(spark, tmp_path, docs)
 
 
+def test_clusters_read_titles_and_bodies(spark, tmp_path):
+    r = random.Random(6)
+    some = lambda n, most: " ".join(f"w{min(r.randrange(n), r.randrange(n))}" for _ in range(r.randrange(most)))
+    docs = [(i, f"s{i % 3}", some(40, 4) + "".join("\n" + some(80, 12) for _ in range(r.randrange(4)))) for i in range(300)]
+    docs += [(300, "same", "alpha\none two three\nfour"), (301, "same", "beta\none two three\nfour"), (302, "same", "\n"), (303, "same", "")]
+    got = _clusters_of(spark, tmp_path, docs)
+    assert _whole_frequencies(docs) == got and got[301][0] == 300
+
+
 def test_grids_fill_spans():
     from tallgrass.operators.html import main_text, tables_of
 
