@@ -26,7 +26,7 @@ def q_new_articles(spark, d):
 
 def q_url_groups(spark, d):
     """Items that share a URL, also through others, with the smallest key as survivor."""
-    o = table(spark, d, "orders").filter("o_orderkey < 3000").select("o_orderkey", F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("u"), F.concat(F.lit("p"), F.floor(F.col("o_totalprice") / 40).cast("string")).alias("v"))
+    o = table(spark, d, "orders").select("o_orderkey", F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("u"), F.concat(F.lit("p"), F.floor(F.col("o_totalprice") / 40).cast("string")).alias("v"))
     return entity.url_survivors(o, "o_orderkey", F.array("u", "v"))
 
 
@@ -136,14 +136,14 @@ def q_dates(spark, d):
 
 def q_published(spark, d):
     """Publication times of several forms, those without a zone in Seoul."""
-    e = table(spark, d, "events").filter("event_id < 4000").select("event_id", F.date_trunc("minute", F.col("ts").cast("timestamp")).alias("t"))
+    e = table(spark, d, "events").select("event_id", F.date_trunc("minute", F.col("ts").cast("timestamp")).alias("t"))
     s = F.when(F.col("event_id") % 4 == 0, F.concat(F.date_format("t", "EEE, d MMM yyyy HH:mm:ss"), F.lit(" +0900"))).when(F.col("event_id") % 4 == 1, F.date_format("t", "yyyy-MM-dd'T'HH:mm:ss'+00:00'")).when(F.col("event_id") % 4 == 2, F.date_format("t", "yyyy.MM.dd. HH:mm")).otherwise("unknown")
     return e.select("event_id", F.unix_seconds(dates.published_at(s)).alias("at"))
 
 
 def q_month_windows(spark, d):
     """Ranges cut at months, and months shifted."""
-    o = table(spark, d, "orders").filter("o_orderkey < 500").select("o_orderkey", F.col("o_orderdate").cast("date").alias("a"), F.date_add(F.col("o_orderdate").cast("date"), 75).alias("b"))
+    o = table(spark, d, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("a"), F.date_add(F.col("o_orderdate").cast("date"), 75).alias("b"))
     x = o.select("o_orderkey", "a", F.explode(dates.month_windows(F.col("a"), F.col("b"))).alias("w"))
     return x.select("o_orderkey", "w.start", F.col("w.end").alias("stop"), dates.month_shift((F.year("a") * 100 + F.month("a")), -5).cast("long").alias("shifted"))
 

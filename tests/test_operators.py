@@ -228,6 +228,41 @@ def test_clusters_read_titles_and_bodies(spark, tmp_path):
     assert _whole_frequencies(docs) == got and got[301][0] == 300
 
 
+def test_url_groups_take_all_orders(spark, tmp_path):
+    from tallgrass.plans.texts import q_url_groups
+
+    r = random.Random(7)
+    orders = [(k, r.randrange(150), float(40 * r.randrange(150))) for k in range(2_900, 3_100)]
+    orders += [(5_000, 900, 400_000.0), (5_001, 900, 440_000.0), (5_002, 901, 440_000.0), (5_003, 902, 480_000.0)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_totalprice double").write.parquet(f"{tmp_path}/orders.parquet")
+    parent = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for k, c, p in orders:
+        for u in (f"c{c}", f"p{int(p // 40)}"):
+            a, b = find(k), find(u)
+            parent[b] = a
+    least = {}
+    for k, _, _ in orders:
+        least[find(k)] = min(k, least.get(find(k), k))
+    got = {x["o_orderkey"]: x["survivor"] for x in q_url_groups(spark, str(tmp_path)).collect()}
+    assert got == {k: least[find(k)] for k, _, _ in orders} and got[5_002] == 5_000 and got[5_003] == 5_003
+
+
+@pytest.mark.parametrize("name, cut", [("q_published", " WHERE event_id < 4000"), ("q_month_windows", " WHERE o_orderkey < 500")])
+def test_text_queries_take_all_rows(spark, name, cut):
+    """The registered SQL still reads a subset of ids; without that filter it is the whole answer."""
+    from tallgrass.plans.texts import ORACLE_SQL, QUERIES
+    from tests.oracle import connect, rows
+
+    folder = "/root/testdata/sf0.01"
+    assert rows(QUERIES[name](spark, folder).toPandas()) == rows(connect(folder).sql(ORACLE_SQL[name].replace(cut, "")).df())
+
+
 def test_grids_fill_spans():
     from tallgrass.operators.html import main_text, tables_of
 
