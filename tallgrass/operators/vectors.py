@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -63,6 +65,35 @@ def earlier_candidates(vectors: DataFrame, key: str, block: str, vector: str, le
     return x.withColumn("rank", rank).filter(F.col("rank") <= k)
 
 
+def best_cosines(rows: DataFrame, key: str, group: str, vector: str, size: int = 2048) -> DataFrame:
+    """(a_group, b_group, key, cosine): for each row of long key, the best cosine to any row of each other (long) group; null where no pair has one.
+
+    All pairs are scored, as products of blocks of about `size` vectors; only each block pair's maxima leave its task.
+    """
+    v = rows.select(F.col(key).cast("long").alias("key"), F.col(group).cast("long").alias("label"), normed(vector).alias("v")).filter("label IS NOT NULL AND v IS NOT NULL")
+    v = v.withColumn("block", F.pmod(F.xxhash64("key"), F.lit(max(1, -(-v.count() // size)))))
+    blocks = v.groupBy("block").agg(F.collect_list(F.struct("label", "key", "v")).alias("m"))
+    pairs = blocks.select(F.col("m").alias("a")).crossJoin(blocks.select(F.col("m").alias("b")))
+
+    def parts(members):
+        label, keys, vs = (members.field(n) for n in ("label", "key", "v"))
+        return label.to_numpy(), keys.to_numpy(), vs.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(vs), -1)
+
+    def run(batches):
+        for batch in batches:
+            for a, b in zip(batch.column("a"), batch.column("b")):
+                (al, _, av), (bl, bk, bv) = parts(a.values), parts(b.values)
+                order = np.argsort(al, kind="stable")
+                labels, starts = np.unique(al[order], return_index=True)
+                for at in range(0, len(bk), 512):
+                    best = np.fmax.reduceat(bv[at : at + 512] @ av[order].T, starts, axis=1)  # NaN, of zero vectors, counts as none
+                    i, j = np.nonzero(bl[at : at + 512, None] != labels)
+                    yield pa.RecordBatch.from_arrays([pa.array(labels[j]), pa.array(bl[at + i]), pa.array(bk[at + i]), pa.array(best[i, j], from_pandas=True)], names=["a_group", "b_group", "key", "cosine"])
+
+    x = pairs.mapInArrow(run, "a_group long, b_group long, key long, cosine double")
+    return x.groupBy("a_group", "b_group", "key").agg(F.max("cosine").alias("cosine"))
+
+
 def medoids(weights: DataFrame, members: DataFrame, key: str, cluster: str) -> DataFrame:
     """(cluster, medoid): the member with the largest summed cosine to its cluster, ties to the smallest key.
 

@@ -217,11 +217,10 @@ def q_chunks(spark, d):
 
 def q_event_similarity(spark, d):
     """M7: half of a title cosine plus half of the mean over one side of the best cosine to the other side."""
-    e = table(spark, d, "embeddings").select("vec_id", "label", vectors.normed("embedding").alias("v"))
-    a, b = e.filter("vec_id < 60"), e.filter("vec_id >= 60 AND vec_id < 120")
-    p = a.select(F.col("label").alias("a_label"), F.col("v").alias("a_v")).join(F.broadcast(b.select(F.col("label").alias("b_label"), F.col("vec_id").alias("b_id"), F.col("v").alias("b_v"))), F.col("a_label") != F.col("b_label"))
-    best = p.select("a_label", "b_label", "b_id", vectors.dot(F.col("a_v"), F.col("b_v")).alias("c")).groupBy("a_label", "b_label", "b_id").agg(F.max("c").alias("c"))
-    return best.groupBy("a_label", "b_label").agg(F.round(F.avg("c") * 0.5 + 0.5 * F.max("c"), 6).alias("score"))
+    e = table(spark, d, "embeddings")
+    best = vectors.best_cosines(e, "vec_id", "label", "embedding")
+    label = e.schema["label"].dataType
+    return best.groupBy(F.col("a_group").cast(label).alias("a_label"), F.col("b_group").cast(label).alias("b_label")).agg(F.round(F.avg("cosine") * 0.5 + 0.5 * F.max("cosine"), 6).alias("score"))
 
 
 QUERIES = {k: v for k, v in list(globals().items()) if k.startswith("q_")}

@@ -263,6 +263,27 @@ def test_text_queries_take_all_rows(spark, name, cut):
     assert rows(QUERIES[name](spark, folder).toPandas()) == rows(connect(folder).sql(ORACLE_SQL[name].replace(cut, "")).df())
 
 
+def test_event_similarity_takes_all_members(spark, tmp_path):
+    import math
+
+    from tallgrass.operators.vectors import best_cosines
+    from tallgrass.plans.analytics import q_event_similarity
+
+    r = random.Random(8)
+    data = [(i, i % 4, [r.gauss(0, 1) for _ in range(5)]) for i in range(100, 260)] + [(260, 1, [0.0] * 5)]
+    df = spark.createDataFrame(data, "vec_id long, label int, embedding array<float>")
+    df.write.parquet(f"{tmp_path}/embeddings.parquet")
+    unit = [(k, g, [x / math.hypot(*v) for x in v]) for k, g, v in data if any(v)]
+    best = {(a, g, k): max(sum(x * y for x, y in zip(u, v)) for _, h, u in unit if h == a) for k, g, v in unit for a in range(4) if a != g}
+    want = {}
+    for (a, g, _), c in best.items():
+        want.setdefault((a, g), []).append(c)
+    got = {(x["a_label"], x["b_label"]): x["score"] for x in q_event_similarity(spark, str(tmp_path)).collect()}
+    assert got == {k: pytest.approx(0.5 * sum(c) / len(c) + 0.5 * max(c), abs=2e-6) for k, c in want.items()}
+    small = {(x["a_group"], x["b_group"], x["key"]): x["cosine"] for x in best_cosines(df, "vec_id", "label", "embedding", 16).collect() if x["key"] != 260}
+    assert small == {k: pytest.approx(c, abs=1e-6) for k, c in best.items()}
+
+
 def test_grids_fill_spans():
     from tallgrass.operators.html import main_text, tables_of
 
