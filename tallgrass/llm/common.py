@@ -1,24 +1,35 @@
-"""What the operators of this subpackage share: the shared folder, written tables that cut lineage, and hashing of words."""
+"""What the operators of this subpackage share: the shared folder, written tables that cut lineage, keys of rows, and hashing of words."""
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Used only where spark.checkpoint.dir is unset, as in tests.
-FALLBACK_DIR = "/tmp/checkpoints"
-
 #: Internal ids stand in for a null id, so that null ids keep a place in the order: after all others.
 NULL_ID = 2**63 - 1
 
 
+_own: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see, from spark.checkpoint.dir."""
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    return (found or FALLBACK_DIR).rstrip("/")
+    """The folder that the driver and all executors see: spark.checkpoint.dir, or else the checkpoint folder that the session was given.
+
+    Where neither is set, a local session gets a folder of its own; a cluster, whose machines would not see it, raises.
+    """
+    context = spark.sparkContext
+    found = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if found:
+        return found.rstrip("/")
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir names no shared folder")
+    if not _own:
+        _own.append(tempfile.mkdtemp(prefix="tallgrass-"))
+    return _own[0]
 
 
 def new_folder(spark: SparkSession, tag: str) -> str:
@@ -35,7 +46,7 @@ def written(df: DataFrame, tag: str) -> DataFrame:
 
 def id_key(column: str = "doc_id"):
     """The id as a long without nulls."""
-    return F.coalesce(F.col(column).cast("long"), F.lit(NULL_ID))
+    return F.coalesce(quoted(column).cast("long"), F.lit(NULL_ID))
 
 
 def id_back(column):
@@ -44,17 +55,58 @@ def id_back(column):
     return F.when(column != F.lit(NULL_ID), column)
 
 
+def quoted(name: str):
+    """The top-level column of this name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(key, id, text, row): a key of its own for each row of docs, in the order of ids; text without nulls; row holds all columns.
+
+    While ids don't repeat (null being one), the key is id_key() and nothing is written. Else rows are ordered by id and by the
+    hash of their text, numbered and written. Since all columns travel inside row, none can clash with those of an operator.
+    """
+    packed = docs.select(id_key(id_col).alias("key"), quoted(id_col).cast("long").alias("id"), F.coalesce(quoted(text_col), F.lit("")).alias("text"), F.struct(*map(quoted, docs.columns)).alias("row"))
+    if docs.groupBy(id_key(id_col).alias("key")).agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
+        return packed
+    order = ("key", F.xxhash64("text"), "place")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = packed.withColumn("place", F.monotonically_increasing_id()).repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    return written(ordered.drop("place").withColumn("key", F.monotonically_increasing_id()), "keyed")
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, key: str) -> DataFrame:
+    """rows, a written table, joined with groups, which has one row for each value of key; no task sees all rows of a frequent value.
+
+    Values with over 1 / 2048 of the rows, so 2048 at most, are broadcast with a number of pieces; their rows are dealt to the
+    pieces by place, and their groups go to each piece.
+    """
+    total = rows.count()
+    counts = rows.groupBy(key).agg(F.count("*").alias("n")).filter((F.col("n") * 2048 > total) & (F.col("n") > 64))
+    frequent = F.broadcast(written(counts.select(key, F.ceil(F.col("n") * 512 / total).cast("long").alias("pieces")), "frequent"))
+    dealt = rows.join(frequent, key, "left").withColumn("piece", F.pmod(F.monotonically_increasing_id(), F.coalesce("pieces", F.lit(1)))).drop("pieces")
+    spread = groups.join(frequent, key, "left").withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("pieces", F.lit(1)) - 1))).drop("pieces")
+    return dealt.join(spread, [key, "piece"]).drop("piece")
+
+
+def open_shared(path: str, mode: str):
+    """A file below the shared folder, for reading from any place (r) or for writing (w)."""
+    from pyarrow import fs
+
+    system, inner = fs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
+    if mode == "r":
+        return system.open_input_file(inner)
+    system.create_dir(inner.rpartition("/")[0], recursive=True)
+    return system.open_output_stream(inner, compression=None)
+
+
 # Words are the runs of bytes other than space and \x09-\x0D; in UTF-8 no byte of a longer code point is one of these.
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-_TABLE = np.random.default_rng(0x7A11).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 #: Bytes hashed at once; larger texts are cut at white space, so that memory doesn't follow the longest text.
 PIECE = 1 << 20
-_powers: dict[str, np.ndarray] = {}
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -67,13 +119,9 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers.get("up", ())) < n:
-        for name, base in (("up", _BASE), ("down", _BASE_INVERSE)):
-            x = np.full(max(n, PIECE) + 1, base, dtype=np.uint64)
-            x[0] = 1
-            _powers[name] = np.multiply.accumulate(x)
-    return _powers["up"], _powers["down"]
+#: What a byte at each of the first places of a word adds to the word's hash; later places are computed as they come.
+_PLACES = 64
+_ADDS = mix(np.arange(1, _PLACES * 256 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -90,19 +138,25 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
-    """A 64-bit hash of the bytes of each word."""
+    """A 64-bit hash of the bytes of each word: the sum of a random number for each byte and its place in the word."""
     out = np.empty(len(starts), dtype=np.uint64)
     i = 0
     while i < len(starts):
         at = int(starts[i])
         j = max(i + 1, int(np.searchsorted(ends, at + PIECE, "right")))
         piece = data[at : ends[j - 1]]
-        up, down = _power(len(piece))
-        x = _TABLE[_LOWER[piece] if lower else piece] * up[: len(piece)]
+        s, e = starts[i:j] - at, ends[i:j] - at
+        begin = np.zeros(len(piece), dtype=np.int64)
+        begin[s[1:]] = np.diff(s)
+        place = np.arange(len(piece)) - np.cumsum(begin)
+        place = (place << 8) | (LOWER[piece] if lower else piece)
+        x = _ADDS[np.minimum(place, len(_ADDS) - 1)]
+        late = np.flatnonzero(place >= len(_ADDS))
+        if len(late):
+            x[late] = mix((place[late].astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
         total = np.zeros(len(piece) + 1, dtype=np.uint64)
         np.cumsum(x, out=total[1:])
-        s, e = starts[i:j] - at, ends[i:j] - at
-        out[i:j] = mix((total[e] - total[s]) * down[s] + (e - s).astype(np.uint64) * _BASE)
+        out[i:j] = mix((total[e] - total[s]) ^ (e - s).astype(np.uint64))
         i = j
     return out
 

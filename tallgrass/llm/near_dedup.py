@@ -1,33 +1,39 @@
 """Near duplicates by SuperMinHash signatures, banding, verification on full sets and union-find grouping.
 
 Documents are linked when the Jaccard similarity of their shingle sets is at least num / den; groups are the connected
-components of these links. Copies of a set count once in the search, so a group of copies of any size costs one row.
+components of these links. Texts with the same sequence of words are one class and count once in the search, so a group of
+copies of any size costs one row. Signatures are made of hashes, but links are confirmed on the words themselves.
 
 Candidates: a signature has SLOTS values, banded as BANDS keys of ROWS values. Each bucket first offers its members to three
 hubs, which joins groups of true near copies in a linear number of pairs. What is still apart in a bucket is then paired
-across components, where sizes and sketches allow the similarity, so no link between different texts goes missing beyond what
-banding misses: about 5 in a million at 0.75, fewer above. The odd sketch, which has the parity of the number of shingles at
-each of its bits, never rejects a link: two sketches differ in at most as many bits as the sets have elements apart.
-
-Null text, empty text: an empty set, linked with nothing. Rows that share an id count as one document with the smallest set digest.
-A null id stays a row of its own (all null ids together). Columns besides id and text are not read.
+across components, where sizes and odd sketches allow the similarity, so no link between different texts goes missing beyond
+what banding misses: about 5 in a million at 0.75, fewer above. The odd sketch, which has the parity of the number of shingles
+at each of its bits, never rejects a link: two sketches differ in at most as many bits as the sets have elements apart.
+There, members meet by classes of set size and, in large buckets, by pieces, so no task sees all pairs of a bucket.
+
+Null text, empty text: an empty set, linked with nothing. Rows that share an id count as one document, that of the least text in byte order.
+All null ids are one id, which comes after all others. Columns besides id and text are not read. An empty table gives no rows.
+drop_near() judges each row by itself, also where ids repeat or are null, and returns the columns of its input, whatever their names.
 """
 
 from __future__ import annotations
 
+import hashlib
+import math
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallgrass.llm.common import id_back, id_key, mix, written
+from tallgrass.llm.common import id_back, id_key, join_groups, keyed, mix, quoted, written
 from tallgrass.llm.components import components
-from tallgrass.llm.shingles import shingle_sets
+from tallgrass.llm.shingles import WordSets, normalised, shingle_sets
 
 SLOTS, BANDS, ROWS = 128, 32, 4
-#: Standard deviations above the expected number of differing one-bit sketches that a pair at the similarity may show.
-SLACK = 5.2
 #: Bits of the odd sketch.
 ODD_BITS = 1024
+#: Members of a bucket, of one class of sizes, that meet in one piece.
+PIECE = 512
 _RANK = np.uint64(24)
 _EMPTY = np.uint32(0xFFFFFFFF)
 #: Elements that are ranked together.
@@ -105,12 +111,6 @@ def band_keys(signatures: np.ndarray) -> np.ndarray:
     return key
 
 
-def sketches(signatures: np.ndarray) -> np.ndarray:
-    """Two 64-bit words of one bit for each slot: bits of equal slots are equal, those of others as often as not."""
-    bits = (mix(signatures.astype(np.uint64)) & np.uint64(1)).astype(np.uint8)
-    return np.packbits(bits, axis=1).view(np.int64)
-
-
 def odd_sketches(sets: list[np.ndarray]) -> np.ndarray:
     """A row of ODD_BITS / 64 words for each set."""
     out = np.empty((len(sets), ODD_BITS // 64), dtype=np.int64)
@@ -130,32 +130,37 @@ def _sign(k: int):
             n = batch.num_rows
             sets = list(shingle_sets(batch.column(1), k))
             signatures = superminhash(sets)
-            bits = sketches(signatures)
-            digest = np.array([[mix(s).sum(dtype=np.uint64), mix(s ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64)] for s in sets], dtype=np.uint64).reshape(n, 2).view(np.int64)
+            digest = [hashlib.blake2b(x, digest_size=16).digest() for x in normalised(batch.column(1))]
             bands = pa.ListArray.from_arrays(pa.array(np.arange(0, (n + 1) * BANDS, BANDS, dtype=np.int32)), pa.array(band_keys(signatures).view(np.int64).reshape(-1)))
             words = ODD_BITS // 64
             odd = pa.ListArray.from_arrays(pa.array(np.arange(0, (n + 1) * words, words, dtype=np.int32)), pa.array(odd_sketches(sets).reshape(-1)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), *(pa.array(np.ascontiguousarray(x[:, i])) for x in (digest, bits) for i in (0, 1)), odd, bands], ["id", "n", "d1", "d2", "s1", "s2", "odd", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(digest, pa.binary()), odd, bands], ["id", "n", "digest", "odd", "bands"])
 
     return run
 
 
 def _verify(k: int, num: int, den: int):
+    """Keeps the pairs whose sets have the similarity, compared word by word; the second text is held while it stays the same."""
+
     def run(batches):
         import pyarrow as pa
 
-        last: list = [None, None]
+        sets = WordSets(k)
+        held: tuple = (None, None, None)
         for batch in batches:
-            a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            new = [i for i, x in enumerate(b) if x != (b[i - 1] if i else last[0])]
-            fresh = dict(zip(new, shingle_sets(batch.column(3).take(pa.array(new, pa.int64())), k)))
             keep = []
-            for i, left in enumerate(shingle_sets(batch.column(2), k)):
+            hubs = batch.column(1).to_pylist()
+            new = pa.array([i for i, x in enumerate(hubs) if i == 0 or x != hubs[i - 1]], pa.int64())
+            fresh = dict(zip(new.to_pylist(), normalised(batch.column(3).take(new))))
+            for i, left in enumerate(normalised(batch.column(2))):
+                sets.renew()
                 if i in fresh:
-                    last = [b[i], fresh[i]]
-                right = last[1]
-                both = np.count_nonzero(right[np.minimum(np.searchsorted(right, left), len(right) - 1)] == left) if len(right) else 0
-                if len(left) and den * both >= num * (len(left) + len(right) - both):
+                    held = (None, fresh[i], None)
+                if held[0] != sets.epoch:
+                    held = (sets.epoch, held[1], sets.of(held[1]))
+                left, right = sets.of(left), held[2]
+                both = len(left & right)
+                if left and den * both >= num * (len(left) + len(right) - both):
                     keep.append(i)
             keep = pa.array(keep, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(keep), batch.column(1).take(keep)], ["a", "b"])
@@ -163,21 +168,27 @@ def _verify(k: int, num: int, den: int):
     return run
 
 
-_META = ("n", "s1", "s2", "odd")
+def single_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, text) with each id_key() once; of rows that share an id, the least text stays, null being empty."""
+    texts = docs.select(id_key(id_col).alias("id"), F.coalesce(quoted(text_col), F.lit("")).alias("text"))
+    repeated = written(texts.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1").select("id"), "repeated")
+    if repeated.isEmpty():
+        return texts
+    least = texts.join(repeated, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
+    return written(texts.join(repeated, "id", "left_anti").unionByName(least), "single")
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, num: int = 75, den: int = 100) -> DataFrame:
     """(id, n_shingles, component_id) for each distinct id of docs; component_id is the smallest id reachable by links."""
-    spark = docs.sparkSession
-    texts = docs.select(id_key(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    signed = written(texts.mapInArrow(_sign(k), "id long, n long, d1 long, d2 long, s1 long, s2 long, odd array<long>, bands array<long>"), "signatures")
+    texts = single_texts(docs, id_col, text_col)
+    signed = written(texts.mapInArrow(_sign(k), "id long, n long, digest binary, odd array<long>, bands array<long>"), "signatures")
 
-    # Sets that are equal are one class, named by its smallest id.
-    classes = written(signed.filter("n > 0").groupBy("d1", "d2").agg(F.min("id").alias("class")), "classes")
-    of_class = signed.filter("n > 0").join(classes, ["d1", "d2"])
-    narrow = written(of_class.select("id", "class", "n"), "narrow")
-    heads = written(of_class.filter("id = class").select("id", F.explode(F.array_distinct("bands")).alias("band")).distinct(), "bands")
-    meta = written(of_class.filter("id = class").select("id", *_META).dropDuplicates(["id"]), "meta")
+    # Equal sequences of words are one class, named by its smallest id.
+    classes = written(signed.filter("n > 0").groupBy("digest").agg(F.min("id").alias("class")), "classes")
+    narrow = written(join_groups(signed.filter("n > 0").select("id", "n", "digest"), classes, "digest").select("id", "class", "n"), "narrow")
+    firsts = signed.join(classes.select(F.col("class").alias("id")), "id", "left_semi")
+    heads = written(firsts.select("id", F.explode(F.array_distinct("bands")).alias("band")), "bands")
+    meta = written(firsts.select("id", "n", "odd"), "meta")
 
     mixed = [0x5DEECE66D, 0x2545F4914F6CDD1D]
     hubs = [F.min("id"), *(F.min(F.col("id").bitwiseXOR(F.lit(m))).bitwiseXOR(F.lit(m)) for m in mixed)]
@@ -190,50 +201,55 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     links = written(_linked(first, texts, asked, k, num, den), "links")
     labels = written(components(links), "components")
 
-    # What is still apart in a bucket: all but its largest component against the whole bucket.
-    placed = shared.select("band", "id").join(labels.select(F.col("node").alias("id"), "label"), "id", "left").select("band", "id", F.coalesce("label", "id").alias("label"))
-    per_label = placed.groupBy("band", "label").agg(F.count("*").alias("members"))
-    apart = per_label.groupBy("band").agg(F.count("*").alias("labels"), F.max(F.struct("members", "label"))["label"].alias("core")).filter("labels > 1").select("band", "core")
-    open_ = placed.join(apart, "band").join(meta, "id")
-    open_ = written(open_.select("band", "id", "label", "core", *_META), "apart")
-    x = open_.filter("label <> core").select("band", *(F.col(c).alias(f"x_{c}") for c in ("id", "label", *_META)))
-    y = open_.withColumn("is_core", F.expr("label = core"))
-    close = (F.col("x_label") != F.col("label")) & (F.col("is_core") | (F.col("x_id") < F.col("id"))) & _may_link("x_", "", num, den)
-    late = x.join(y, "band").filter(close).select(F.least("x_id", "id").alias("a"), F.greatest("x_id", "id").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
-    late = written(late, "late")
+    late = written(_apart(shared, labels, meta, num, den).join(first, ["a", "b"], "left_anti"), "late")
     if not late.isEmpty():
         more = written(_linked(late, texts, written(late.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "asked"), k, num, den), "links")
         if not more.isEmpty():
             labels = written(components(links.unionByName(more)), "components")
 
-    grouped = narrow.groupBy("id").agg(F.min(F.struct("class", "n")).alias("at")).select("id", "at.class", "at.n")
-    found = grouped.join(labels.select(F.col("node").alias("class"), "label"), "class", "left").select("id", F.col("n").alias("n_shingles"), F.coalesce("label", "class").alias("component_id"))
-    empty = signed.filter("n = 0").select("id").distinct().join(grouped.select("id"), "id", "left_anti").select("id", F.lit(0).cast("long").alias("n_shingles"), F.col("id").alias("component_id"))
+    found = narrow.join(labels.select(F.col("node").alias("class"), "label"), "class", "left").select("id", F.col("n").alias("n_shingles"), F.coalesce("label", "class").alias("component_id"))
+    empty = signed.filter("n = 0").select("id", F.lit(0).cast("long").alias("n_shingles"), F.col("id").alias("component_id"))
     return found.unionByName(empty)
 
 
+def _apart(shared: DataFrame, labels: DataFrame, meta: DataFrame, num: int, den: int) -> DataFrame:
+    """Distinct pairs (a, b) that share a bucket but no component and may be linked: all but a bucket's largest component against the whole bucket.
+
+    Sets at the similarity have sizes whose logarithms to the base den / num differ by at most one, so that a member meets
+    its own class of sizes and the two beside it; of each class, the members are dealt into pieces of about PIECE.
+    """
+    placed = shared.select("band", "id").join(labels.select(F.col("node").alias("id"), "label"), "id", "left").select("band", "id", F.coalesce("label", "id").alias("label"))
+    per_label = placed.groupBy("band", "label").agg(F.count("*").alias("members"))
+    apart = per_label.groupBy("band").agg(F.count("*").alias("labels"), F.max(F.struct("members", "label"))["label"].alias("core")).filter("labels > 1").select("band", "core")
+    size_class = F.floor(F.log("n") / math.log(den / num)).cast("int")
+    open_ = written(placed.join(apart, "band").join(meta, "id").withColumn("class", size_class), "apart")
+    pieces = open_.groupBy("band", "class").agg(F.ceil(F.count("*") / PIECE).cast("int").alias("pieces"))
+    y = open_.join(pieces, ["band", "class"]).withColumn("piece", F.pmod(F.xxhash64("id"), F.col("pieces")).cast("int")).withColumn("is_core", F.expr("label = core"))
+    x = open_.filter("label <> core").withColumn("class", F.explode(F.array(F.col("class") - 1, F.col("class"), F.col("class") + 1))).join(pieces, ["band", "class"])
+    x = x.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).select("band", "class", "piece", *(F.col(c).alias(f"x_{c}") for c in ("id", "label", "n", "odd")))
+    close = (F.col("x_label") != F.col("label")) & (F.col("is_core") | (F.col("x_id") < F.col("id"))) & _may_link("x_", "", num, den)
+    return x.join(y, ["band", "class", "piece"]).filter(close).select(F.least("x_id", "id").alias("a"), F.greatest("x_id", "id").alias("b")).distinct()
+
+
 def _may_link(a: str, b: str, num: int, den: int):
-    """Whether sizes and sketches of two sets, whose columns begin with a and b, allow the similarity."""
+    """Whether sizes and odd sketches of two sets, whose columns begin with a and b, allow the similarity."""
     n, m = F.col(f"{a}n"), F.col(f"{b}n")
-    bits = [F.bit_count(F.col(f"{a}{c}").bitwiseXOR(F.col(f"{b}{c}"))) for c in ("s1", "s2")]
     odd = [F.bit_count(F.col(f"{a}odd")[i].bitwiseXOR(F.col(f"{b}odd")[i])) for i in range(ODD_BITS // 64)]
-    half = (1 - num / den) / 2
-    most = int(SLOTS * half + SLACK * (SLOTS * half * (1 - half)) ** 0.5)
     # At the similarity num / den, the sets have (n + m) * (den - num) / (den + num) elements apart.
     sizes = F.least(n, m) * den >= F.greatest(n, m) * num
-    return sizes & (sum(bits[1:], bits[0]) <= most) & (sum(odd[1:], odd[0]) * (den + num) <= (n + m) * (den - num))
+    return sizes & (sum(odd[1:], odd[0]) * (den + num) <= (n + m) * (den - num))
 
 
 def _plausible(pairs: DataFrame, meta: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs whose set sizes and sketches allow the similarity."""
-    a = meta.select(*(F.col(c).alias(f"a_{c}") for c in ("id", *_META)))
-    b = meta.select(*(F.col(c).alias(f"b_{c}") for c in ("id", *_META)))
+    a = meta.select(*(F.col(c).alias(f"a_{c}") for c in ("id", "n", "odd")))
+    b = meta.select(*(F.col(c).alias(f"b_{c}") for c in ("id", "n", "odd")))
     both = pairs.join(a, F.col("a") == F.col("a_id")).join(b, F.col("b") == F.col("b_id"))
     return both.filter(_may_link("a_", "b_", num, den)).select("a", "b")
 
 
 def _linked(pairs: DataFrame, texts: DataFrame, asked: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) whose full sets have the similarity; texts travel to the pairs, once for each pair of a hub."""
+    """The pairs (a, b) whose full sets have the similarity; texts travel to the pairs, and a pair's two texts meet in its task."""
     wanted = written(texts.join(asked, "id", "left_semi"), "texts")
     a = wanted.select(F.col("id").alias("a"), F.col("text").alias("a_text"))
     b = wanted.select(F.col("id").alias("b"), F.col("text").alias("b_text"))
@@ -252,6 +268,7 @@ def op1_near_dedup(spark, sf_dir: str) -> DataFrame:
 
 
 def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs whose id is the smallest of its group, with the columns of docs."""
-    stay = near_groups(docs, id_col, text_col).filter("id = component_id").select(F.col("id").alias("__id"))
-    return docs.withColumn("__id", id_key(id_col)).join(stay, "__id", "left_semi").select(*docs.columns)
+    """The rows of docs that come first, by id, of their groups, with the columns of docs."""
+    rows = keyed(docs, id_col, text_col)
+    stay = near_groups(rows, "key", "text").filter("id = component_id").select(F.col("id").alias("key"))
+    return rows.select("key", "row").join(stay, "key", "left_semi").select("row.*")
