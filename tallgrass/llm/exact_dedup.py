@@ -4,8 +4,13 @@ Texts are equal when identical after each run of white space becomes one space.
 a group of any size sends one record a task; then records are dealt by digest, and each task partitions its share to spill
 files, again and again with other bits of the digest, until a bucket's distinct contents fit the table's budget.
 
+Members find their group through its digest; frequent digests are dealt to many tasks, so a group of copies of any size is
+spread. Contents whose digests are equal and that differ would stay apart in the table.
+
 Null text counts as empty text, and all empty texts are equal. Rows that repeat an id with the same text are one document:
-they give one row, while group_size counts every row. A null id sorts after all others. Other columns are not read.
+they give one row, while group_size counts every row. All null ids are one id, which sorts after all others. Very long texts are
+records like others; one that exceeds the budget is held alone. An empty table gives no rows. Other columns are not read.
+drop_copies() keeps one row of each group, the first by id, with the columns of its input, whatever their names.
 """
 
 from __future__ import annotations
@@ -14,10 +19,9 @@ import pickle
 import tempfile
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallgrass.llm.common import id_back, id_key
+from tallgrass.llm.common import id_back, id_key, join_groups, keyed, quoted, written
 
 #: Bytes of distinct contents that a table holds.
 BUDGET = 48 << 20
@@ -36,9 +40,7 @@ class Table:
         mask = len(self.slots) - 1
         i = int.from_bytes(digest[:8], "little") & mask
         while (entry := self.slots[i]) is not None:
-            if entry[0] == digest:
-                if entry[1] != content:
-                    raise RuntimeError(f"two contents share the digest {digest.hex()}")
+            if entry[0] == digest and entry[1] == content:
                 entry[2] = min(entry[2], least)
                 entry[3] += rows
                 return
@@ -131,7 +133,7 @@ def _grace(batches):
 
 
 def normalised(text_col: str):
-    return F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), r"[\x20\x09-\x0D]+", " ")
+    return F.regexp_replace(F.coalesce(quoted(text_col), F.lit("")), r"[\x20\x09-\x0D]+", " ")
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -144,19 +146,17 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, keep_id, group_size, kept, text_sha256) for each document."""
-    groups = exact_groups(docs, id_col, text_col)
+    groups = written(exact_groups(docs, id_col, text_col), "groups")
     members = docs.select(id_key(id_col).alias("id"), F.unhex(F.sha2(normalised(text_col), 256)).alias("digest")).groupBy("id", "digest").agg(F.count("*").alias("copies"))
-    found = members.join(groups, "digest")
+    found = join_groups(written(members.select("id", "digest"), "members"), groups, "digest")
     return found.select(id_back("id").alias("doc_id"), id_back("keep").alias("keep_id"), "group_size", (F.col("id") == F.col("keep")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs, one of each distinct normalised text, with the columns of docs."""
-    keys = {"__digest": F.unhex(F.sha2(normalised(text_col), 256)), "__id": id_key(id_col)}
-    stay = exact_groups(docs, id_col, text_col).select(F.col("digest").alias("__digest"), F.col("keep").alias("__id"))
-    rows = docs.withColumns(keys).join(stay, ["__digest", "__id"])
-    once = F.row_number().over(W.partitionBy("__digest", "__id").orderBy(F.lit(1)))
-    return rows.withColumn("__row", once).filter("__row = 1").select(*docs.columns)
+    """The rows of docs, the first of each distinct normalised text, with the columns of docs."""
+    rows = keyed(docs, id_col, text_col)
+    stay = exact_groups(rows, "key", "text").select(F.col("keep").alias("key"))
+    return rows.select("key", "row").join(stay, "key", "left_semi").select("row.*")
 
 
 def op5_exact_dedup(spark, sf_dir: str) -> DataFrame:
