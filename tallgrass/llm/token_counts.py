@@ -1,11 +1,12 @@
 """Token counts through a cache that is keyed by content and tokenizer version.
 
 A text's key is the SHA-256 of its content, null normalised to the empty text; the tokenizer's is the digest of its file.
-Texts without a stored count are encoded once each, wherever and however often they occur, and their counts are appended to
-the cache, a Parquet folder that later calls may share. Copies are dropped within each task before the shuffle, so a group
-of copies sends one row a task.
+Digests without a stored count are found first, on narrow rows; then their texts travel, once each from every task, are encoded
+once each, and their counts are appended to the cache, a Parquet folder that later calls may share. Rows find their counts through their
+digests; frequent digests are dealt to many tasks, so a group of copies of any size is spread.
 
-Repeated rows give a row each. Columns besides id and text are not read. A null id stays null.
+Repeated rows give a row each. Null text is the empty text. Very long texts are encoded whole. An empty table gives no rows.
+Columns besides id and text are not read. A null id stays null.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallgrass.llm.common import new_folder
+from tallgrass.llm.common import join_groups, new_folder, quoted, written
 from tallgrass.llm.vocabulary import BYTE_BPE, counter, version, vocabulary_path
 
 #: Digests that a task remembers while it drops copies; beyond, it forgets them all and copies may travel again.
@@ -58,17 +59,20 @@ def token_counts(docs: DataFrame, cache: str, vocabulary: str, id_col: str = "do
     """(doc_id, n_bytes, n_tokens, over_limit) for each row of docs; cache is the folder of the cache, vocabulary a file's path on every machine."""
     spark = docs.sparkSession
     tokenizer = version(vocabulary)
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    keyed = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.unhex(F.sha2(text, 256)).alias("digest"))
+    text = F.coalesce(quoted(text_col), F.lit(""))
+    digest = F.unhex(F.sha2(text, 256)).alias("digest")
     folder = f"{cache}/tokenizer={tokenizer}"
     schema = "digest binary, n_tokens long"
-    distinct = keyed.select("digest", "text").mapInArrow(_first_seen, "digest binary, text string")
+    rows = written(docs.select(quoted(id_col).alias("doc_id"), digest, F.octet_length(text).cast("long").alias("n_bytes")), "digests")
+    texts = docs.select(digest, text.alias("text")).mapInArrow(_first_seen, "digest binary, text string")
     if _exists(spark, folder):
-        distinct = distinct.join(spark.read.schema(schema).parquet(folder).select("digest"), "digest", "left_anti")
-    distinct.repartition("digest").mapInArrow(_count(vocabulary), schema).write.mode("append").parquet(folder)
+        known = spark.read.schema(schema).parquet(folder).select("digest")
+        texts = texts.join(rows.select("digest").distinct().join(known, "digest", "left_anti"), "digest", "left_semi")
+    else:
+        texts = texts.repartition("digest")
+    texts.mapInArrow(_count(vocabulary), schema).write.mode("append").parquet(folder)
     stored = spark.read.schema(schema).parquet(folder).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
-    found = keyed.select("doc_id", "digest", F.octet_length("text").cast("long").alias("n_bytes")).join(stored, "digest")
-    return found.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    return join_groups(rows, stored, "digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
 
 def _exists(spark, folder: str) -> bool:
