@@ -222,6 +222,30 @@ def test_fit_is_nearest():
         assert all(0 <= take[s] <= counts[s] for s in take) and abs(got - wanted) == min(abs(x - wanted) for x in sums)
 
 
+def test_fit_spreads_over_lengths_at_every_size():
+    r = random.Random(20)
+    counts = Counter(max(1, min(20_000, int(r.lognormvariate(5.5, 0.9)))) for _ in range(9000))
+    mean = sum(s * n for s, n in counts.items()) / 9000
+    for wanted in (10_000, 32_767, 32_768, 200_000, 2_000_000):
+        take = mixing.fit(dict(counts), wanted)
+        assert sum(s * n for s, n in take.items()) == wanted and all(0 <= take[s] <= counts[s] for s in take)
+        assert 0.6 * mean < wanted / sum(take.values()) < 1.4 * mean and max(s for s in take if take[s]) > 2 * mean
+
+
+def test_mix_takes_rows_by_themselves(spark):
+    """Null and repeated ids, very long texts, and columns whose names are those of the operator or hold dots."""
+    pairs = [(None, "w " * 7)] * 30 + [(5, "w " * 7)] * 30 + [(i, "w " * (i % 9)) for i in range(100, 300)] + [(400, "w " * 30_000)]
+    docs = documents(spark, pairs).withColumns({"key": F.lit("k"), "row": F.lit("r"), "copies": F.lit("c"), "a.b": F.lit("d"), "__id": F.lit("e")})
+    times = mixing.mix_counts(docs).toPandas()
+    assert len(times) == len(pairs)
+    got = mixing.mix(docs)
+    assert got.columns == docs.columns
+    rows_ = got.toPandas()
+    assert len(rows_) == times["times"].sum() and set(rows_["a.b"]) == {"d"} and set(rows_["__id"]) == {"e"} and set(rows_["row"]) == {"r"}
+    taken = (times["size"] * times["times"]).groupby(times["target"]).sum()
+    assert all(abs(t - target) <= 9 or t == 0 for target, t in taken.items() if target < 30_000)
+
+
 def test_mix_comes_near_targets_and_agrees(spark):
     pairs = [(i, "w " * (i % 17)) for i in range(400)] + [(None, None), (900, "")]
     docs = documents(spark, pairs)
