@@ -441,25 +441,72 @@ def clean_and_junk(n=240):
 
 def test_quality_held_out_and_shards_agree(spark):
     good, junk = clean_and_junk()
-    docs = documents(spark, good + junk + [(20_000, None), (20_001, "")])
+    docs = documents(spark, good + junk + [(20_000, None), (20_001, ""), (3, good[3][1]), (None, good[1][1]), (30_000, good[5][1] * 3000)])
     labels = spark.createDataFrame([(i, 1, 0) for i, _ in good[::2]] + [(i, 0, 0) for i, _ in junk[::2]] + [(None, 1, 0), (20_000, None, None)], "doc_id long, quality int, toxic int")
-    a = quality.scored(docs, labels, sample=60).toPandas().set_index("doc_id")
+    key = lambda df: sorted(map(str, df.collect()))
+    found = quality.scored(docs, labels, sample=60)
+    a = found.toPandas()
+    assert len(a) == docs.count() and a["doc_id"].isna().sum() == 1 and (a["doc_id"] == 3).sum() == 2
+    assert key(found) == key(quality.scored(docs, labels, sample=60, most=0))
+    a = a.dropna(subset="doc_id").drop_duplicates("doc_id").set_index("doc_id")
     unlabelled = [i for i, _ in good[1::2]]
     assert a.loc[unlabelled, "kept"].mean() >= 0.95 and not a.loc[[i for i, _ in junk], "kept"].any()
     assert not a.loc[[20_000, 20_001], "kept"].any()
-    b = quality.scored(docs, labels, sample=60, most=0).toPandas().set_index("doc_id")
-    x, y = a["perplexity"].dropna().sort_index(), b["perplexity"].dropna().sort_index()
-    assert list(x.index) == list(y.index) and np.allclose(x, y, rtol=1e-4)
-    kept = quality.keep_good(docs, labels)
-    assert kept.columns == docs.columns
-
-
-def test_quality_probabilities_sum_to_one(spark):
-    texts = spark.createDataFrame([("abcab",), ("abba",), ("cab",)], "text string")
-    model = quality.Model(*quality.in_memory(quality.train(texts)))
-    for context in ("", "a", "ab", "abc", "zz"):
-        p = [np.exp(model.log_probabilities(context + c)[-1]) for c in "abc￿"]
-        assert sum(p) == pytest.approx(1, abs=1e-4)
+    odd = docs.withColumns({"key": F.lit("k"), "a.b": F.lit("d"), "__id": F.lit("e"), "perplexity": F.lit("p")})
+    kept = quality.keep_good(odd, labels)
+    assert kept.columns == odd.columns and {(r["key"], r["a.b"], r["__id"]) for r in kept.collect()} == {("k", "d", "e")}
+
+
+def test_quality_of_other_scripts(spark):
+    """Each of very many characters counts: text of a script of its own stays, characters in random order go."""
+    r = random.Random(21)
+    signs = [chr(0x4E00 + i) for i in range(3000)]
+    words = ["".join(r.choice(signs) for _ in range(3)) for _ in range(150)]
+    good = [(i, "".join(r.choice(words) for _ in range(60))) for i in range(200)]
+    junk = [(1000 + i, "".join(r.choice(signs) for _ in range(180))) for i in range(40)]
+    labels = spark.createDataFrame([(i, 1, 0) for i, _ in good[:150]], "doc_id long, quality int, toxic int")
+    got = {x["doc_id"]: x["kept"] for x in quality.scored(documents(spark, good + junk), labels, sample=90).collect()}
+    assert sum(got[i] for i, _ in good[150:]) >= 48 and not any(got[i] for i, _ in junk)
+
+
+def brute_kneser_ney(texts):
+    """A function from (context, byte) to its probability, of plain dictionaries."""
+    order, counts = quality.ORDER, {}
+    counts[order] = Counter(t[i : i + order] for t in (b"\xff" * (order - 1) + t.encode() for t in texts) for i in range(len(t) - order + 1))
+    for k in range(order - 1, 0, -1):
+        counts[k] = Counter(g[1:] for g in counts[k + 1])
+    d = {k: quality.discounts([sum(n == i for n in c.values()) for i in range(1, 5)]) for k, c in counts.items()}
+    by_context = {k: defaultdict(list) for k in counts}
+    for k, c in counts.items():
+        for g, n in c.items():
+            by_context[k][g[:-1]].append(n)
+
+    def p(context, byte):
+        k = len(context) + 1
+        lower = p(context[1:], byte) if k > 1 else 1 / 256
+        seen = by_context[k].get(context)
+        if not seen:
+            return lower
+        total, n = sum(seen), counts[k].get(context + byte, 0)
+        return (n - (d[k][min(n, 3) - 1] if n else 0)) / total + sum(d[k][min(x, 3) - 1] for x in seen) / total * lower
+
+    return p
+
+
+def test_quality_is_kneser_ney(spark):
+    texts = ["the cat sat on the mat", "a cat ate the rat", "Ärger über Öl", "the the the the rat"]
+    trained = quality.train(spark.createDataFrame([(t,) for t in texts], "text string"))
+    model, p = quality.Model(*quality.in_memory(trained)), brute_kneser_ney(texts)
+    asked = ["the rat sat on a cat", "Öl", "zzz", "", "the" * 200_000]
+    data, offsets = common.text_buffer(pa.array(asked))
+    for text, total in zip(asked[:4], model.totals(data, offsets)):
+        x = b"\xff" * (quality.ORDER - 1) + text.encode()
+        want = sum(np.log(p(x[i : i + quality.ORDER - 1], x[i + quality.ORDER - 1 : i + quality.ORDER])) for i in range(len(text.encode())))
+        assert total / quality.UNIT == pytest.approx(want, abs=1e-4)
+    long = quality.padded(asked[4].encode())
+    assert model.totals(data, offsets)[4] == model.log_probabilities(quality.grams(long)).sum()
+    for context in (b"\xff" * 5, b"he ca", b"zzzzz"):
+        assert sum(p(context, bytes([c])) for c in range(256)) == pytest.approx(1)
 
 
 def test_quality_without_labels_keeps_texts(spark):
