@@ -320,31 +320,46 @@ def test_other_vocabularies_use_their_library(name):
 # Top k
 
 
-@pytest.mark.parametrize("scale", [1.0, 1e15])
-def test_top_k_is_brute_force(spark, scale):
-    r = random.Random(8)
-    vectors = [(i, [r.gauss(0, 1) * (1 + i % 5) * (scale if i % 2 else 1) for _ in range(8)]) for i in range(200)]
-    vectors += [(200 + i, [1.0] * 8) for i in range(30)] + [(300, None), (301, [float("nan")] * 8), (302, [None, 1.0]), (303, [float("inf")] * 8), (None, [1.0] * 8), (304, [2.0])]
-    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").withColumn("id", F.lit("clash"))
-    ints = {i: [int(np.floor(64 * x)) for x in v] for i, v in vectors if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)}
+def brute_top_k(vectors, k=20):
+    ints = {}
+    for i, v in vectors:
+        if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v):
+            ints[i] = min(ints.get(i, v), v)
+    ints = {i: [top_k.whole(float(x)) for x in v] for i, v in ints.items()}
     want = set()
     for q in (i for i in ints if i % 20 == 0):
         scored = sorted((-sum(a * b for a, b in zip(ints[q], v)), i) for i, v in ints.items() if i != q)
-        want |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(scored[:20])}
-    if max(abs(w[3]) for w in want) < 2**63:
-        assert {tuple(x) for x in top_k.top_k(df, F.col("id") % 20 == 0).collect()} == want
+        want |= {(q, n + 1, i, max(-(2**63), min(2**63 - 1, -s))) for n, (s, i) in enumerate(scored[:k])}
+    return want
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e10, 1e15, 1e300])
+def test_top_k_is_brute_force(spark, scale, monkeypatch):
+    """Also of large components, of repeated ids, of ties, and with one vector much longer than all others; over many blocks."""
+    monkeypatch.setattr(top_k, "ROWS", 50)
+    r = random.Random(8)
+    vectors = [(i, [r.gauss(0, 1) * (1 + i % 5) * (scale if i % 2 else 1) for _ in range(8)]) for i in range(200)]
+    vectors += [(200 + i, [1.0] * 8) for i in range(30)] + [(300, None), (301, [float("nan")] * 8), (302, [None, 1.0]), (303, [float("inf")] * 8), (None, [1.0] * 8), (304, [2.0]), (320, [])]
+    vectors += [(305, [0.5] * 5000), (40, [9.0] * 8), (40, [9.0] * 8), (310, [1e308] * 8), (340, [-0.0] * 8)]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").withColumns({"id": F.lit("clash"), "v": F.lit("clash"), "a.b": F.lit("clash")})
+    assert {tuple(x) for x in top_k.top_k(df, F.col("id") % 20 == 0).collect()} == brute_top_k(vectors)
 
 
-def test_top_k_over_blocks(spark, monkeypatch):
+def test_top_k_prunes_and_floors_rise():
     r = np.random.default_rng(9)
-    q, c = np.floor(r.normal(0, 50, (40, 16))), np.floor(r.normal(0, 50, (600, 16)) * r.uniform(0.1, 3, (600, 1)))
-    turn = np.linalg.eigh(c.T @ c)[1][:, ::-1]
-    ids = np.arange(600) + 1000
-    scores = (q @ c.T).astype(np.int64)
-    floor = np.sort(scores, axis=1)[:, -20].astype(float)
-    for i, at, s in top_k.search(q, np.arange(40), floor, c, ids, turn, 20):
-        want = np.lexsort((ids, -scores[i]))[:20]
-        assert at.tolist() == want.tolist() and s.tolist() == scores[i][want].tolist()
+    rows_ = list(r.normal(0, 1, (600, 16)) * r.uniform(0.1, 3, (600, 1)))
+    rows_.sort(key=lambda v: -top_k.length(v))
+    gram = np.array(rows_).T @ np.array(rows_)
+    turn = np.linalg.eigh(gram)[1][:, ::-1]
+    q = top_k.by_kind(list(range(40)), rows_[:40], [top_k.length(np.floor(64 * v)) for v in rows_[:40]], turn)[0]
+    best, computed = top_k.Best(40, 5), []
+    for at in range(0, 600, 100):
+        part = rows_[at : at + 100]
+        (c,) = top_k.by_kind(list(range(at, at + 100)), part, [top_k.length(np.floor(64 * v)) for v in part], turn)
+        computed.append(top_k.meet(q, c, best))
+    assert computed[0] > 10 * computed[-1] and {(i, n + 1, j, -s) for i, x in enumerate(best.rows) for n, (s, j) in enumerate(x) if i % 20 == 0} == brute_top_k([(i, v.tolist()) for i, v in enumerate(rows_)], 5) - {
+        x for x in brute_top_k([(i, v.tolist()) for i, v in enumerate(rows_)], 5) if x[0] >= 40
+    }
 
 
 def test_top_k_of_few_and_none(spark):
