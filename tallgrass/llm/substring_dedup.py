@@ -7,25 +7,33 @@ first of each run of equal windows are reported. Documents then drop the words t
 
 A super-k-mer that a task meets again isn't sent: its later windows are reported on the spot. So a passage that very many
 documents share costs a task one string. Strings of one task and bucket are compressed together.
-Buckets too large for memory are split by further bits of the minimiser's hash, and one minimiser's strings by the hash of windows.
+Buckets are as many as the bytes of all texts ask for. One that is still larger than SPILL, as of a very frequent minimiser, is dealt window by
+window, by their hashes, to files of the task, each of which is gone through once; a bucket below it is split in memory.
 
-Null or empty text: no words, the digest of the empty text. Rows that share an id count as one place: of equal windows that
-start at the same word of the same id, none is earlier than the other. A null id sorts after all others. Other columns are not read.
+Null or empty text: no words, the digest of the empty text. Rows that share an id are documents of their own, in the order of
+their texts' hashes, and equal rows come one after the other, so that all but the first lose what they repeat. All null ids come
+after all others. An empty table gives no rows. Other columns are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
+import pickle
+import tempfile
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallgrass.llm.common import id_back, id_key, mix, pieces, text_buffer, word_hashes, word_spans
+from tallgrass.llm.common import keyed, mix, pieces, text_buffer, word_hashes, word_spans
 
 WINDOW, MINIMISER = 20, 4
-#: Buckets for each shuffle partition; a bucket is sorted at once.
-FINENESS = 16
+#: Bytes of text for each shuffle partition, and buckets in a partition; a bucket is sorted at once.
+SHARE, FINENESS = 32 << 20, 16
+#: Partitions at most; larger buckets spill.
+MOST_PARTS = 100_000
+#: Bytes of strings that a bucket holds in memory; beyond, its windows are dealt to files.
+SPILL, FILES = 64 << 20, 64
 #: Bytes of strings that a bucket sorts at once; larger buckets are split.
 AT_ONCE = 16 << 20
 #: Bytes of strings, with what Python adds to each, that a map task collects before it sends them.
@@ -244,6 +252,48 @@ def _runs(strings: list[bytes], most: int):
     yield a, len(strings)
 
 
+class Spilled:
+    """Windows of a bucket in files, by their hashes."""
+
+    def __init__(self, window: int = WINDOW, files: int = FILES) -> None:
+        self.window, self.folder = window, tempfile.TemporaryDirectory(prefix="windows-")
+        self.files = [open(f"{self.folder.name}/{i}", "wb") for i in range(files)]  # noqa: SIM115
+
+    def add(self, doc: np.ndarray, start: np.ndarray, strings: list[bytes]) -> None:
+        for a, b in _runs(strings, AT_ONCE):
+            parts: list[list] = [[] for _ in self.files]
+            s, e, _, base, hashes = _words(strings[a:b])
+            raw = b"\n".join(strings[a:b])
+            to = (_sums(hashes, self.window) % np.uint64(len(self.files))).tolist()
+            for i in range(b - a):
+                for inner, word in enumerate(range(int(base[i]), int(base[i + 1]) - self.window + 1)):
+                    parts[to[word]].append((int(doc[a + i]), int(start[a + i]) + inner, raw[s[word] : e[word + self.window - 1]]))
+            for part, file in zip(parts, self.files):
+                if part:
+                    pickle.dump(part, file, protocol=5)
+
+    def later(self):
+        """(doc, start) of each window that equals one with a smaller (doc, start); a file's distinct windows are in memory."""
+        for i, file in enumerate(self.files):
+            file.close()
+            first: dict[bytes, tuple[int, int]] = {}
+            with open(f"{self.folder.name}/{i}", "rb") as f:
+                while True:
+                    try:
+                        part = pickle.load(f)
+                    except EOFError:
+                        break
+                    for doc, at, words in part:
+                        place = (doc, at)
+                        known = first.setdefault(words, place)
+                        if known < place:
+                            yield place
+                        elif place < known:
+                            first[words] = place
+                            yield known
+        self.folder.cleanup()
+
+
 def _sort_buckets(batches):
     import pyarrow as pa
     import pyarrow.compute
@@ -251,27 +301,49 @@ def _sort_buckets(batches):
 
     unpacker = zstandard.ZstdDecompressor()
     held: list = []
-    bucket = None
+    bucket, size, spilled = None, 0, None
+
+    def spill():
+        nonlocal spilled, size
+        spilled = spilled or Spilled()
+        for doc, start, strings in held:
+            spilled.add(doc, start, strings)
+        held.clear()
+        size = 0
 
     def close():
-        if not held:
+        nonlocal spilled, size
+        if spilled:
+            spill()
+            found, spilled = spilled.later(), None
+        elif held:
+            doc, start = (np.concatenate([h[i] for h in held]) for i in (0, 1))
+            found = later_windows(doc, start, [s for h in held for s in h[2]])
+            held.clear()
+            size = 0
+        else:
             return
-        doc, start = (np.concatenate([h[i] for h in held]) for i in (0, 1))
-        strings = [s for h in held for s in h[2]]
-        held.clear()
-        found = list(later_windows(doc, start, strings))
-        if found:
-            ids, at = np.array([f[0] for f in found], np.int64), np.array([f[1] for f in found], np.int64)
-            order = np.lexsort((at, ids))
-            ids, at = ids[order], at[order]
-            new = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]) | (at[1:] != at[:-1] + 1)))
-            ids, marks = _by_document(ids[new], at[new], np.diff(np.append(new, len(at))))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), marks], ["id", "marks"])
+        part: list = []
+        for place in found:
+            part.append(place)
+            if len(part) >= 1_000_000:
+                yield marked(part)
+                part = []
+        if part:
+            yield marked(part)
+
+    def marked(found):
+        ids, at = np.array([f[0] for f in found], np.int64), np.array([f[1] for f in found], np.int64)
+        order = np.lexsort((at, ids))
+        ids, at = ids[order], at[order]
+        new = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]) | (at[1:] != at[:-1] + 1)))
+        ids, marks = _by_document(ids[new], at[new], np.diff(np.append(new, len(at))))
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), marks], ["key", "marks"])
 
     for batch in batches:
         reported = batch.filter(pa.compute.is_valid(batch.column(3)))
         if reported.num_rows:
-            yield pa.RecordBatch.from_arrays([reported.column(3), reported.column(4)], ["id", "marks"])
+            yield pa.RecordBatch.from_arrays([reported.column(3), reported.column(4)], ["key", "marks"])
         for b, n, blob in zip(*(batch.column(i).to_pylist() for i in range(3))):
             if blob is None:
                 continue
@@ -281,6 +353,9 @@ def _sort_buckets(batches):
             raw = unpacker.decompress(blob)
             places = np.frombuffer(raw, dtype=np.int64, count=2 * n)
             held.append((np.cumsum(places[:n]), places[n:], raw[16 * n :].split(b"\n")))
+            size += len(raw)
+            if size > SPILL:
+                spill()
     yield from close()
 
 
@@ -293,14 +368,14 @@ def _cover(with_text: bool):
 
         def batch_of(rows):
             columns = [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int64()), pa.array([r[3] for r in rows], pa.string())]
-            names = ["id", "n_words", "n_removed", "kept_sha256"]
+            names = ["doc_id", "n_words", "n_removed", "kept_sha256"]
             if with_text:
                 columns, names = [*columns, pa.array([r[4] for r in rows], pa.string())], [*names, "kept_text"]
             return pa.RecordBatch.from_arrays(columns, names)
 
         for batch in batches:
             lists = batch.column(1)
-            for i, (key, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())):
+            for i, (key, text, doc) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist())):
                 if key != current:
                     current, marks = key, []
                 if lists[i].is_valid:
@@ -319,7 +394,7 @@ def _cover(with_text: bool):
                 else:
                     kept = words
                 kept_text = b" ".join(kept)
-                out.append((key, len(words), removed, hashlib.sha256(kept_text).hexdigest(), kept_text.decode() if with_text else None))
+                out.append((doc, len(words), removed, hashlib.sha256(kept_text).hexdigest(), kept_text.decode() if with_text else None))
                 if len(out) >= 256:
                     yield batch_of(out)
                     out = []
@@ -331,15 +406,15 @@ def _cover(with_text: bool):
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256, and kept_text on demand) for each row of docs."""
-    spark = docs.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions")) * FINENESS
-    texts = docs.select(id_key(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    split = texts.mapInArrow(_split(buckets), "bucket long, n long, blob binary, id long, marks array<long>")
-    marks = split.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_sort_buckets, "id long, marks array<long>")
-    both = marks.select("id", "marks", F.lit(None).cast("string").alias("text"), F.lit(0).alias("kind")).unionByName(texts.select("id", F.lit(None).cast("array<long>").alias("marks"), "text", F.lit(1).alias("kind")))
-    schema = "id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
-    done = both.repartition("id").sortWithinPartitions("id", "kind").select("id", "marks", "text").mapInArrow(_cover(with_text), schema)
-    return done.select(id_back("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256", *["kept_text"] * with_text)
+    texts = keyed(docs, id_col, text_col)
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(2 * docs.sparkSession.sparkContext.defaultParallelism, min(MOST_PARTS, -(-size // SHARE)))
+    split = texts.select("key", "text").mapInArrow(_split(parts * FINENESS), "bucket long, n long, blob binary, id long, marks array<long>")
+    marks = split.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_sort_buckets, "key long, marks array<long>")
+    both = marks.select("key", "marks", F.lit(None).cast("string").alias("text"), F.lit(None).cast("long").alias("id"), F.lit(0).alias("kind"))
+    both = both.unionByName(texts.select("key", F.lit(None).cast("array<long>").alias("marks"), "text", "id", F.lit(1).alias("kind")))
+    schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
+    return both.repartition("key").sortWithinPartitions("key", "kind").select("key", "marks", "text", "id").mapInArrow(_cover(with_text), schema)
 
 
 def op7_substring_dedup(spark, sf_dir: str) -> DataFrame:
