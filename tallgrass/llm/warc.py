@@ -5,11 +5,15 @@ payloads of at least MIN_BYTES bytes, that with the smallest id becomes a respon
 its HTML in UTF-8, null being empty. Archives are named by task and attempt, and only those of the attempts that Spark
 accepted are in the manifest, so a repeated task leaves no double records.
 
-The reader goes from member to member (or record to record in plain archives). Where a check fails (checksum, version line,
-headers, lengths, digests), it looks for the next place that begins a valid member or version line, reads on from there, and
-logs the bytes between as a gap. Archives are read in pieces; a record is held in memory, an archive never.
-
-A null id is written as such and comes back as null; it sorts after all others. Rows that share an id give a record each.
+The reader goes from member to member (or record to record in plain archives), many archives at once. Where a check fails (checksum,
+version line, headers, lengths, digests), it looks for the next place that begins a valid member or version line, reads on from
+there, and logs the bytes between as a gap. In a member of several records, it keeps those before the damage, looks
+for the next version line in what can be unpacked, and logs the stretch between as a gap inside the member; of a member whose end is damaged, it keeps
+the records that were whole before. Members are unpacked in pieces; a record is held in memory, an archive never.
+
+A null id is written as such and comes back as null; it sorts after all others. Rows that share an id give a record each. Null
+HTML is an empty payload, and a very long one is a record like others. Of pages with equal payloads and equal ids, all are responses.
+An empty table gives no archives and no rows. Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -23,13 +27,15 @@ import zlib
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallgrass.llm.common import NULL_ID, id_back, id_key, new_folder, written
+from tallgrass.llm.common import NULL_ID, id_back, id_key, join_groups, new_folder, open_shared, quoted, written
 
 MIN_BYTES = 0
 #: Compressed bytes after which a task begins another archive.
 ARCHIVE_BYTES = 16 << 20
 DATE = "2024-01-01T00:00:00Z"
 _MAGIC, _VERSION = b"\x1f\x8b\x08", re.compile(rb"WARC/1\.[01]\r\n")
+#: A version line as far as the data go.
+_BEGIN = re.compile(rb"(?:WARC/1\.[01]\r\n|(?:W|WA|WAR|WARC|WARC/|WARC/1|WARC/1\.|WARC/1\.[01]|WARC/1\.[01]\r)?\Z)")
 _PIECE = 1 << 18
 _SPACE = uuid.UUID("6f0c2a52-4a5e-4b0e-9a57-1f0c5a1d7b11")
 
@@ -65,23 +71,13 @@ def member(data: bytes) -> bytes:
     return packer.compress(data) + packer.flush()
 
 
-def _open(path: str, mode: str):
-    from pyarrow import fs
-
-    system, inner = fs.FileSystem.from_uri(path)
-    return system.open_input_file(inner) if mode == "r" else system.open_output_stream(inner, compression=None)
-
-
 def _write(folder: str):
     def run(batches):
         import pyarrow as pa
-        from pyarrow import fs
         from pyspark import TaskContext
 
         task = TaskContext.get()
         name = f"{folder}/part-{task.partitionId():06d}-{task.taskAttemptId()}"
-        system, inner = fs.FileSystem.from_uri(folder)
-        system.create_dir(inner, recursive=True)
         made: list[tuple[str, int, int]] = []
         out, size, n = None, 0, 0
 
@@ -91,7 +87,7 @@ def _write(folder: str):
                 for i, (url, html) in enumerate(zip(batch.column(1).slice(at, 64).to_pylist(), batch.column(2).slice(at, 64).to_pylist()), at):
                     if out is None:
                         path = f"{name}-{len(made):04d}.warc.gz"
-                        out, size, n = _open(path, "w"), 0, 0
+                        out, size, n = open_shared(path, "w"), 0, 0
                     data = member(record(ids[i], url, html.encode(), firsts[i]))
                     out.write(data)
                     size, n = size + len(data), n + 1
@@ -108,11 +104,17 @@ def _write(folder: str):
 
 
 def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_bytes: int = MIN_BYTES) -> DataFrame:
-    """Writes the archives of pages below folder and returns their manifest (path, records, bytes)."""
-    rows = pages.select(id_key(id_col).alias("id"), F.col(url_col).alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
-    rows = rows.withColumn("content", F.sha2("html", 256)).withColumn("alone", F.octet_length("html") < min_bytes)
-    firsts = rows.groupBy("content").agg(F.min("id").alias("first"))
-    linked = rows.join(firsts, "content").select("id", "url", "html", F.when(F.col("alone"), F.col("id")).otherwise(F.col("first")).alias("first"))
+    """Writes the archives of pages below folder and returns their manifest (path, records, bytes).
+
+    Which page is whose response is found on narrow rows; only revisits are joined with the pages, by id and content, so a group of copies
+    of any size doesn't meet in a task.
+    """
+    html = F.coalesce(quoted(html_col), F.lit(""))
+    rows = pages.select(id_key(id_col).alias("id"), quoted(url_col).alias("url"), html.alias("html"), F.unhex(F.sha2(html, 256)).alias("content"))
+    narrow = written(rows.filter(F.octet_length("html") >= min_bytes).groupBy("id", "content").agg(F.count("*").alias("n")).select("id", "content"), "contents")
+    firsts = narrow.groupBy("content").agg(F.min("id").alias("first"), F.count("*").alias("n")).filter("n > 1").select("content", "first")
+    revisits = written(join_groups(narrow, firsts, "content").filter("id <> first").select("id", "content", "first"), "revisits")
+    linked = rows.join(revisits, ["id", "content"], "left").select("id", "url", "html", F.coalesce("first", "id").alias("first"))
     return written(linked.mapInArrow(_write(folder), "path string, records long, bytes long"), "manifest")
 
 
@@ -134,21 +136,101 @@ class Source:
         return self.file.read(min(n, self.size - at))
 
 
-def unpack_member(source: Source, at: int) -> tuple[bytes, int]:
-    """The contents of the gzip member at an offset, and where it ends; its checksum is right."""
-    unpacker, out, begin = zlib.decompressobj(31), [], at
-    while not unpacker.eof:
-        piece = source.read(at, _PIECE)
-        if not piece:
-            raise Damage("truncated member")
+class Member:
+    """The contents of the gzip member at an offset, in pieces; end is where it ends, once all is unpacked and its checksum is right."""
+
+    def __init__(self, source: Source, at: int) -> None:
+        self.source, self.at, self.end, self.unpacker, self.rest, self.broken = source, at, None, zlib.decompressobj(31), b"", False
+
+    def pull(self) -> bytes:
+        """The next piece, or nothing at the end."""
+        while self.end is None:
+            if self.broken:
+                raise Damage("bad member")
+            piece = self.rest or self.source.read(self.at, _PIECE)
+            if not piece:
+                raise Damage("truncated member")
+            self.at += 0 if self.rest else len(piece)
+            before = self.unpacker.copy()
+            try:
+                out = self.unpacker.decompress(piece, _PIECE)
+            except zlib.error as e:
+                self.broken = True
+                if out := self._salvaged(before, piece):
+                    return out
+                raise Damage(f"bad member: {e}") from e
+            self.rest = self.unpacker.unconsumed_tail
+            if self.unpacker.eof:
+                self.end = self.at - len(self.unpacker.unused_data)
+            if out:
+                return out
+        return b""
+
+
+    @staticmethod
+    def _salvaged(unpacker, piece: bytes) -> bytes:
+        """What comes out of a piece, byte by byte, before it fails."""
+        out = []
+        try:
+            for i in range(len(piece)):
+                out.append(unpacker.decompress(piece[i : i + 1]))
+        except zlib.error:
+            pass
+        return b"".join(out)
+
+
+def member_events(member: Member, at: int):
+    """("record", at, headers, block) for each whole record of a member that begins at offset at, and ("gap", at, length, reason) for stretches
+    of its contents between them; raises Damage, after all that could be read, where the member itself is damaged."""
+    data, place, gap, reason, broken, over = b"", 0, 0, "", None, False  # place and gap: offsets in data
+
+    def more() -> bool:
+        nonlocal data, broken, over
         try:
-            out.append(unpacker.decompress(piece))
-        except zlib.error as e:
-            raise Damage(f"bad member: {e}") from e
-        at += len(piece)
-    end = at - len(unpacker.unused_data)
-    assert end > begin
-    return b"".join(out), end
+            piece = member.pull()
+        except Damage as e:
+            broken, piece = e, b""
+        over = over or not piece
+        data += piece
+        return bool(piece)
+
+    while True:
+        if place > 1 << 20:
+            cut = min(place, gap)
+            data, place, gap = data[cut:], place - cut, gap - cut
+        try:
+            while not over and (need := record_end(data, place)) > len(data) and more():
+                pass
+            if place >= len(data):
+                break
+            headers, block, end = parse_record(data, place)
+        except Damage as e:
+            reason = reason or str(e)
+            while (line := _VERSION.search(data, place + 1)) is None and not over:
+                place = max(place, len(data) - 16)
+                more()
+            place = line.start() if line else len(data)
+            continue
+        if place > gap:
+            yield "gap", at, place - gap, f"inside a member: {reason}"
+        yield "record", at, headers, block
+        place = gap = end
+        reason = ""
+    if broken:
+        raise broken
+    if len(data) > gap:
+        yield "gap", at, len(data) - gap, f"inside a member: {reason}"
+
+
+def record_end(data: bytes, at: int) -> int:
+    """Where the record at an offset of data ends by its own words; one more than data has, while its headers haven't ended; a megabyte of them is Damage."""
+    stop = data.find(b"\r\n\r\n", at)
+    if stop < 0:
+        if len(data) - at > 1 << 20 or not _BEGIN.match(data, at):
+            raise Damage("headers don't end" if _BEGIN.match(data, at) else "no version line")
+        return len(data) + 1
+    length = re.search(rb"\r\ncontent-length:\s*(\d{1,18})\s*\r\n", data[at : stop + 4], re.IGNORECASE)
+    return stop + 8 + int(length[1]) if length else stop + 4
 
 
 def parse_record(data: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int]:
@@ -219,24 +301,26 @@ def salvage(file):
     at = gap = 0
     reason = ""
     while at < source.size:
+        events: list = []
         try:
-            found = []
             if source.read(at, 3) == _MAGIC:
-                data, end = unpack_member(source, at)
-                i = 0
-                while i < len(data):
-                    headers, block, i = parse_record(data, i)
-                    found.append(("record", at, headers, block))
+                member = Member(source, at)
+                for event in member_events(member, at):
+                    if at > gap:  # the member proves to be one
+                        yield "gap", gap, at - gap, reason
+                        gap, reason = at, ""
+                    yield event
+                end = member.end
             else:
                 headers, block, end = plain_record(source, at)
-                found.append(("record", at, headers, block))
+                events = [("record", at, headers, block)]
         except Damage as e:
             reason = reason or str(e)
             at = _next(source, at + 1)
             continue
         if at > gap:
             yield "gap", gap, at - gap, reason
-        yield from found
+        yield from events
         at = gap = end
         reason = ""
     if source.size > gap:
@@ -252,7 +336,7 @@ def _read(batches):
     size = 0
     for batch in batches:
         for path in batch.column(0).to_pylist():
-            with _open(path, "r") as file:
+            with open_shared(path, "r") as file:
                 for kind, at, x, y in salvage(file):
                     if kind == "gap":
                         out.append((kind, path, at, None, None, None, None, None, x, y, None))
@@ -273,7 +357,9 @@ def _read(batches):
 def read_archives(manifest: DataFrame) -> DataFrame:
     """All records and gaps of the archives at manifest's paths; kind is record or gap."""
     schema = "kind string, path string, at long, id long, payload_bytes long, payload_digest string, record_type string, refers_to long, length long, reason string, payload binary"
-    return manifest.select("path").repartition("path").mapInArrow(_read, schema)
+    size = manifest.agg(F.count("*").alias("archives"), F.sum("bytes").alias("bytes")).first()
+    tasks = max(1, min(size["archives"], max(4 * manifest.sparkSession.sparkContext.defaultParallelism, (size["bytes"] or 0) // (4 * ARCHIVE_BYTES))))
+    return manifest.select("path").repartition(tasks).mapInArrow(_read, schema)
 
 
 def op10_warc(spark, sf_dir: str) -> DataFrame:
