@@ -92,6 +92,55 @@ def test_near_dedup_of_nothing_and_of_null_ids(spark):
     assert {(r["doc_id"], r["component_id"], r["kept"]) for r in got} == {(None, 4, False), (4, 4, True)}
 
 
+def thue_morse(n):
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_near_dedup_of_repeated_ids_and_of_alike_words(spark):
+    """An id is one document, of its least text; words that sums of powers would confuse stay apart."""
+    a, b = (" ".join(f"{x}{i}" for i in range(30)) for x in "ab")
+    word = thue_morse(2048)
+    other = word.translate(str.maketrans("ab", "ba"))
+    rows_ = [(1, a), (1, b), (2, b), (3, a), (4, word), (5, other), (6, None), (6, " "), (None, a), (None, b)]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dedup.near_dedup(documents(spark, rows_)).collect()}
+    assert got == {1: (26, 1), 2: (26, 2), 3: (26, 1), 4: (1, 4), 5: (1, 5), 6: (0, 6), None: (26, 1)}
+
+
+def test_stages_keep_columns_and_judge_rows_by_themselves(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(30)) for x in "ab")
+    rows_ = [(1, a), (1, b), (2, b), (3, a + " end"), (None, b + " end"), (None, "c d e f g h"), (8, None), (9, ""), (9, "c  d e f g h")]
+    docs = documents(spark, rows_).withColumns({"key": F.lit("k"), "row": F.lit("r"), "a.b": F.lit("d"), "__id": F.lit("e"), "__digest": F.lit("f")})
+    copies, near = exact_dedup.drop_copies(docs), near_dedup.drop_near(docs)
+    assert copies.columns == near.columns == docs.columns
+    # None comes last; 8 and 9 have empty texts, which are copies but not near copies of one another.
+    assert sorted((r["doc_id"] or 99, (r["text"] or "")[:2]) for r in copies.collect()) == [(1, "a0"), (1, "b0"), (3, "a0"), (8, ""), (9, "c "), (99, "b0")]
+    assert sorted((r["doc_id"] or 99, (r["text"] or "")[:2]) for r in near.collect()) == [(1, "a0"), (1, "b0"), (8, ""), (9, ""), (9, "c ")]
+    assert {(r["key"], r["row"], r["a.b"], r["__id"], r["__digest"]) for r in near.union(copies).collect()} == {("k", "r", "d", "e", "f")}
+    assert near_dedup.drop_near(docs.limit(0)).count() == exact_dedup.drop_copies(docs.limit(0)).count() == 0
+
+
+def test_recall_just_above_the_limit():
+    """Pairs with similarities from 0.75 to 0.80 share a band, and no odd sketch rejects them."""
+    r, shared = np.random.default_rng(23), 0
+    pairs = []
+    for _ in range(400):
+        n = int(r.integers(40, 400))
+        pool = np.unique(r.integers(0, 2**63, 3 * n, dtype=np.uint64))
+        apart = int(n * r.uniform(0.112, 0.142))
+        pairs += [np.sort(pool[:n]), np.sort(np.concatenate([pool[: n - apart], pool[n : n + apart]]))]
+    keys = near_dedup.band_keys(near_dedup.superminhash(pairs))
+    for x, y in zip(keys[::2], keys[1::2]):
+        shared += bool((x == y).any())
+    assert shared == 400
+
+
+def test_frequent_values_are_dealt_out(spark):
+    rows_ = common.written(spark.range(5000).select(F.col("id"), F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k")), "rows")
+    groups = rows_.groupBy("k").agg(F.count("*").alias("n"))
+    got = common.join_groups(rows_, groups, "k")
+    assert got.count() == 5000 and got.filter("k = 'hot' and n = 1667").count() == 1667 and got.columns == ["k", "id", "n"]
+
+
 def test_superminhash_estimates_similarity_and_stops_early():
     r = np.random.default_rng(1)
     pool = r.integers(0, 2**63, 1500, dtype=np.uint64)
@@ -490,6 +539,14 @@ def test_events_fold_to_messages(spark):
     assert chat.format_events(df.limit(0)).count() == 0
 
 
+def test_conversations_with_ties_and_extra_columns(spark):
+    """Repeated rows are messages of their own; ties of turn and sequence follow kind, role and text; a very long text is a text."""
+    e = [(1, 0, 0, "message", "user", "b"), (1, 0, 0, "message", "user", "a"), (1, 0, 0, "message", "user", "a"), (None, 0, 0, "message", "x", "n"), (2, 0, 0, "message", "assistant", "y" * 3_000_000)]
+    df = spark.createDataFrame(e, "conv_id long, turn long, seq long, kind string, role string, text string").withColumns({"formatted": F.lit("clash"), "a.b": F.lit("clash")})
+    got = {r["conv_id"]: chat.parse(r["formatted"]) for r in chat.format_events(df.repartition(3)).collect()}
+    assert got == {1: [("user", "a"), ("user", "a"), ("user", "b")], None: [("x", "n")], 2: [("assistant", "y" * 3_000_000)]}
+
+
 # Quality
 
 
@@ -604,6 +661,60 @@ def test_query_is_its_sql(spark, name):
     assert sorted(got.columns) == sorted(want.columns) and rows(got) == rows(want)
 
 
+def test_registered_counts_and_ids_are_the_library(spark, library):
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
+    coded = {i: library.encode(t, add_special_tokens=False).ids for i, t in texts.items()}
+    want = {i: (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()) for i, ids in coded.items()}
+    assert {r["doc_id"]: (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in registered.QUERIES["op9_bpe"](spark, FOLDER).collect()} == want
+    counted = {r["doc_id"]: (r["n_bytes"], r["n_tokens"], r["over_limit"]) for r in registered.QUERIES["op4_token_counts"](spark, FOLDER).collect()}
+    assert counted == {i: (len(texts[i].encode()), len(ids), len(ids) > 1024) for i, ids in coded.items()}
+
+
+def test_registered_mix_is_brute_force(spark):
+    """Sizes, sources and targets by hand; taken words near targets, and no document more than twice."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").collect()
+    size = {r["doc_id"]: len(SPACE.findall(r["text"] or "")) for r in docs}
+    source = {r["doc_id"]: r["source"] for r in docs}
+    totals = Counter()
+    for i, s in source.items():
+        totals[s] += size[i]
+    names = sorted(totals, key=lambda s: (s is None, s))
+    weights, want, budget = {s: (3, 1, 2)[i % 3] for i, s in enumerate(names)}, {}, 1.5 * sum(totals.values())
+    while len(want) < len(names):
+        open_ = [s for s in names if s not in want]
+        share = {s: (budget - sum(want.values())) * weights[s] / sum(weights[x] for x in open_) for s in open_}
+        over = [s for s in open_ if share[s] > 2 * totals[s]]
+        want |= {s: 2.0 * totals[s] for s in over} if over else share
+    got, taken = registered.QUERIES["op3_mix"](spark, FOLDER).collect(), Counter()
+    assert {r["doc_id"]: r["size"] for r in got} == size
+    for r in got:
+        s = source[r["doc_id"]]
+        taken[s] += r["taken"]
+        assert r["source_size"] == totals[s] and r["target"] == pytest.approx(want[s]) and r["taken"] <= 2 * r["size"]
+    for s in names:  # the words taken are the nearest that whole documents allow
+        sums = {0}
+        for i in (i for i in source if source[i] == s):
+            sums |= {x + size[i] for x in sums}
+        whole = int(want[s] // totals[s]) * totals[s]
+        assert abs(taken[s] - want[s]) <= min(abs(whole + x - want[s]) for x in sums) + 1
+
+
+def test_registered_quality_is_kneser_ney(spark):
+    docs, labels = (spark.read.parquet(f"{FOLDER}/{x}.parquet") for x in ("documents", "labels"))
+    texts = docs.select("doc_id", "lang", F.coalesce("text", F.lit("")).alias("text"))
+    chosen = {r["doc_id"] for r in quality.sampled(texts, quality.trusted(labels)).collect()}
+    by_id = {r["doc_id"]: r["text"] for r in texts.collect()}
+    p = brute_kneser_ney([by_id[i] for i in chosen])
+    got = {r["doc_id"]: r for r in registered.QUERIES["op8_quality"](spark, FOLDER).collect()}
+    assert set(got) == set(by_id)
+    for i in sorted(by_id, key=lambda i: (len(by_id[i]), i))[20:60:8]:
+        data = by_id[i].encode()
+        x = b"\xff" * (quality.ORDER - 1) + data
+        total = sum(np.log(p(x[j : j + quality.ORDER - 1], x[j + quality.ORDER - 1 : j + quality.ORDER])) for j in range(len(data)))
+        assert got[i]["perplexity"] == pytest.approx(np.exp(-total / len(data)), rel=1e-5)
+        assert got[i]["kept"] == (got[i]["limit"] is None or got[i]["perplexity"] <= got[i]["limit"])
+
+
 def test_pipeline_stages_are_brute_force(spark):
     import corpus_pipeline as p
 
