@@ -29,12 +29,21 @@ def worded_date(text: Column) -> Column:
     return F.when(text.rlike(p), _ymd(*(F.regexp_extract(text, p, i) for i in (1, 2, 3))))
 
 
+_MAIL = r"^(?:[A-Za-z]{3},\s*)?(\d{1,2})\s+([A-Za-z]{3})\s+(\d{4})\s+(\d{2}:\d{2})(:\d{2})?\s*(?:(GMT|UTC|UT|Z)|([+-]\d{4}))?$"
+_ISO = r"^(\d{4}-\d{2}-\d{2})(?:[T ](\d{2}:\d{2})(:\d{2})?(\.\d{1,6})?)?(Z|[+-]\d{2}:?\d{2})?$"
+_DOTTED = r"^(\d{4})\.(\d{1,2})\.(\d{1,2})\. (\d{1,2}:\d{1,2})(:\d{1,2})?$"
+
+
 def published_at(text: Column) -> Column:
-    """RFC 2822, then ISO, then two dotted forms; times without a zone are of Seoul. A TIMESTAMP."""
-    mail = F.try_to_timestamp(F.regexp_replace(text, r"^[A-Za-z]{3},\s*", ""), F.lit("d MMM yyyy HH:mm:ss Z"))
-    zoned = F.try_to_timestamp(text, F.lit("yyyy-MM-dd'T'HH:mm:ssXXX"))
-    local = [F.to_utc_timestamp(F.try_to_timestamp(text, F.lit(f)), "Asia/Seoul") for f in ("yyyy-MM-dd'T'HH:mm:ss", "yyyy.MM.dd. HH:mm", "yyyy.MM.dd HH:mm")]
-    return F.coalesce(mail, zoned, *local)
+    """RFC 2822, ISO with T or a space, with or without seconds, fractions and zone, and a dotted form; times without a zone are of Seoul. A TIMESTAMP."""
+    text = F.trim(text)
+    part = lambda p, i, default="": F.when(F.regexp_extract(text, p, i) == "", default).otherwise(F.regexp_extract(text, p, i))
+    zone = F.when(F.regexp_extract(text, _MAIL, 6) != "", "+0000").otherwise(part(_MAIL, 7, "+0900"))
+    mail = F.concat_ws(" ", part(_MAIL, 1), F.initcap(part(_MAIL, 2)), part(_MAIL, 3), F.concat(part(_MAIL, 4), part(_MAIL, 5, ":00")), zone)
+    iso = F.concat(part(_ISO, 1), F.lit(" "), part(_ISO, 2, "00:00"), part(_ISO, 3, ":00"), part(_ISO, 4), F.regexp_replace(part(_ISO, 5, "+09:00"), r"^([+-]\d{2})(\d{2})$", "$1:$2"))
+    dotted = F.concat(F.concat_ws("-", part(_DOTTED, 1), F.lpad(part(_DOTTED, 2), 2, "0"), F.lpad(part(_DOTTED, 3), 2, "0")), F.lit(" "), part(_DOTTED, 4), part(_DOTTED, 5, ":00"), F.lit("+09:00"))
+    read = lambda x: x.try_cast("timestamp")
+    return F.when(text.rlike(_MAIL), F.try_to_timestamp(mail, F.lit("d MMM yyyy HH:mm:ss Z"))).when(text.rlike(_ISO), read(iso)).when(text.rlike(_DOTTED), read(dotted))
 
 
 def month_shift(yyyymm: Column, n: int) -> Column:
@@ -50,3 +59,8 @@ def month_windows(start: Column, end: Column) -> Column:
 
 def gap_hours(a: Column, b: Column) -> Column:
     return (F.unix_micros(a.cast("timestamp")) - F.unix_micros(b.cast("timestamp"))) / 3_600_000_000
+
+
+def effective_at(published: Column, collected: Column, now: Column) -> Column:
+    """The time that counts: of publication, else of collection, else now."""
+    return F.coalesce(published, collected, now)

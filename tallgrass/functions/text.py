@@ -1,19 +1,21 @@
 """URL keys, name keys, title cleaning and grounding checks, as column expressions."""
 
-from __future__ import annotations
-
 import html
-import re
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Forms of legal persons, punctuation of names, and words that hide a counterparty.
 LEGAL = r"(?i)주식회사|\(주\)|㈜|\(유\)|유한회사|\(재\)|\(사\)|Co\.,?\s*Ltd\.?|Corp(oration)?\.?|Inc\.?|LLC|Ltd\.?|Company"
 NAME_MARKS = r"[\s·․.,'\"\-()\[\]]+"
 HIDDEN = r"(국내|해외|국외|북미|미국|유럽|중국|일본|아시아|글로벌)\s*\S{0,8}\s*(기업|업체|회사|고객사|바이어)|비공개|영업\s*기밀|공시\s*유보|익명"
-#: Entities of HTML that text feeds hold.
-ENTITIES = ("quot", "lt", "gt", "nbsp", "apos", "#39", "amp")
+ENDINGS = ("...", "…")  # of titles that a feed cut
+PRESS = r"\s+[-|]\s+[^-|]{1,20}$"  # the press's name behind a page's title
+MASK = "[기업]"
+#: White space as Unicode has it.
+_WHITE = r"[\s\x0B\x1C-\x1F\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
 
 
 def url_key_lower(link: Column) -> Column:
@@ -56,38 +58,68 @@ def without_brackets(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"\([^)]*\)|（[^）]*）|\[[^\]]*\]", ""))
 
 
+def collapsed(text: Column) -> Column:
+    """Text with each run of white space as one space, and none at its ends."""
+    return F.trim(F.regexp_replace(text, _WHITE + "+", " "))
+
+
 def without_leading_brackets(title: Column) -> Column:
-    return F.trim(F.regexp_replace(title, r"^(\s*(\[[^\]]*\]|\([^)]*\)|<[^>]*>|【[^】]*】))+\s*", ""))
+    """A title without the square brackets before it."""
+    return F.regexp_replace(F.regexp_replace(title, rf"^(?:{_WHITE}*\[[^\]]*\])+{_WHITE}*", ""), rf"^{_WHITE}+|{_WHITE}+$", "")
+
+
+@F.pandas_udf(StringType())
+def _unescape(x: pd.Series) -> pd.Series:
+    return x.map(html.unescape, na_action="ignore")
 
 
 def unescaped(text: Column) -> Column:
-    """The entities of feeds replaced, the ampersand last."""
-    for e in ENTITIES:
-        text = F.replace(text, F.lit(f"&{e};"), F.lit(html.unescape(f"&{e};")))
-    return text
+    """All entities of HTML replaced; texts without an ampersand don't travel to Python."""
+    return F.when(text.contains("&"), _unescape(F.when(text.contains("&"), text))).otherwise(text)
+
+
+def printable(text: Column) -> Column:
+    """Text with entities replaced and without tags."""
+    return F.regexp_replace(F.regexp_replace(unescaped(text), r"<[^\n]*?>", ""), rf"^{_WHITE}+|{_WHITE}+$", "")
 
 
 def clean_text(text: Column) -> Column:
-    """Text without tags, entities replaced, white space folded."""
-    return F.trim(F.regexp_replace(unescaped(F.regexp_replace(text, r"<[^>]+>", "")), r"[\s ]+", " "))
+    """Letters (Latin and Korean) and digits of a printable text in lower case; what stands between them is one space. NULL is empty."""
+    bare = F.regexp_replace(unescaped(text), r"<[^\n]*?>", "")
+    return F.coalesce(F.lower(F.trim(F.regexp_replace(bare, "[^가-힣a-zA-Z0-9]+", " "))), F.lit(""))
+
+
+def restored_title(title: Column, page_title: Column) -> Column:
+    """A title that ends with an ellipsis, continued by the page's title where that begins alike and is longer; else the title itself."""
+    stripped = F.regexp_replace(title, _WHITE + "+$", "")
+    cut = F.coalesce(*(F.when(stripped.endswith(e), F.expr("'x'")) for e in ENDINGS))
+    prefix = collapsed(F.regexp_replace(stripped, r"(\.\.\.|…)$", ""))
+    page = without_leading_brackets(collapsed(printable(page_title)))
+    fits = lambda c: F.when(c.startswith(prefix) & (F.length(c) > F.length(prefix)), c)
+    return F.when(cut.isNotNull() & (prefix != ""), F.coalesce(fits(F.regexp_replace(page, PRESS, "")), fits(page), title)).otherwise(title)
 
 
 def sentences(text: Column) -> Column:
     return F.filter(F.transform(F.split(text, r"(?<=[.!?])\s+|\n+"), F.trim), lambda s: s != "")
 
 
+def bare(text: Column) -> Column:
+    """Letters (Latin and Korean) and digits only, in lower case."""
+    return F.lower(F.regexp_replace(F.coalesce(text, F.lit("")), "[^0-9A-Za-z가-힣]", ""))
+
+
 def grounded(quote: Column, block: Column) -> Column:
-    """Whether each fragment (of two letters or more) of a quote of at least four, letters and digits only, is in the block."""
-    bare = lambda x: F.lower(F.regexp_replace(x, r"[^A-Za-z0-9가-힣]", ""))
-    parts = F.filter(F.transform(F.split(quote, r"\.\.\.|…"), bare), lambda p: F.length(p) >= 2)
-    return (F.length(bare(quote)) >= 4) & F.forall(parts, lambda p: bare(block).contains(p))
+    """Whether a quote of four letters and digits or more is in the block; of one with ellipses, each part must be, and have two or more."""
+    parts = F.filter(F.transform(F.split(quote, r"\.\.\.|…|⋯"), bare), lambda p: p != "")
+    pieced = (F.size(parts) > 1) & F.forall(parts, lambda p: (F.length(p) >= 2) & bare(block).contains(p))
+    return (F.length(bare(quote)) >= 4) & (bare(block).contains(bare(quote)) | pieced)
 
 
-def masked(text: Column, aliases: Column, mask: str = "○○") -> Column:
-    """text with every alias replaced by the mask, longest alias first, and runs of masks made one."""
+def masked(text: Column, aliases: Column, mask: str = MASK) -> Column:
+    """text with every alias replaced by the mask, longest alias first; masks joined by white space or one sign become one."""
     ordered = F.array_sort(aliases, lambda a, b: F.when(F.length(a) != F.length(b), F.length(b) - F.length(a)).when(a < b, -1).when(a > b, 1).otherwise(0))
-    done = F.aggregate(ordered, text, lambda t, a: F.replace(t, a, F.lit(mask)))
-    return F.regexp_replace(done, f"{mask}(\\s*{mask})+", mask)
+    done = F.aggregate(ordered, text, lambda t, a: F.replace(t, a, F.lit("\x00")))
+    return collapsed(F.replace(F.regexp_replace(done, rf"\x00({_WHITE}*[·,/&–-]?{_WHITE}*\x00)+", "\x00"), F.lit("\x00"), F.lit(mask)))
 
 
 def overlap(a: Column, b: Column) -> Column:

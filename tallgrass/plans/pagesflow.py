@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from tallgrass.operators import cluster, html
@@ -58,7 +56,7 @@ def _ticks(spark, d):
 
 
 def _checkpoints(spark):
-    return f"{spark.conf.get('spark.checkpoint.dir', None) or '/tmp/checkpoints'}/stream-{uuid.uuid4().hex}"
+    return landed.scratch(spark, "stream")
 
 
 def q_stream_weeks(spark, d):

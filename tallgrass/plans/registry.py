@@ -6,7 +6,7 @@ import importlib
 
 FLAGSHIP = "q_daily_change_rate"
 #: Each module has QUERIES (name to function of session and folder) and ORACLE_SQL (name to DuckDB SQL).
-MODULES: tuple[str, ...] = ("timeseries", "merging", "analytics", "texts", "pagesflow", "signals")
+MODULES: tuple[str, ...] = ("timeseries", "merging", "analytics", "texts", "pagesflow", "signals", "rules")
 
 
 def _gather(what: str) -> dict:

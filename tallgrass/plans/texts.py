@@ -96,8 +96,9 @@ def q_title_filter(spark, d):
 
 
 def q_clean_text(spark, d):
-    """Tags out, entities replaced, white space folded."""
-    return table(spark, d, "pages").select("page_id", F.length(text.clean_text(F.regexp_extract("html", r"<title>(.*?)</title>", 1))).cast("long").alias("n"), F.sha2(text.clean_text(F.regexp_extract("html", r"<title>(.*?)</title>", 1)), 256).alias("digest"))
+    """Whole pages without entities and tags, letters and digits in lower case."""
+    p = table(spark, d, "pages").select("page_id", text.clean_text(F.col("html")).alias("t"))
+    return p.select("page_id", F.length("t").cast("long").alias("n"), F.sha2("t", 256).alias("digest"))
 
 
 def q_sentences(spark, d):
@@ -110,7 +111,7 @@ def q_masked(spark, d):
     """Aliases masked, longest first, runs collapsed."""
     c = table(spark, d, "conversations").select("conv_id", "turn", F.coalesce("text", F.lit("")).alias("text"))
     m = text.masked(F.col("text"), F.array(*map(F.lit, ["the", "in the", "que", "und", "of"])))
-    return c.select("conv_id", "turn", F.sha2(m, 256).alias("digest"), F.regexp_count(m, F.lit("○○")).cast("long").alias("masks"))
+    return c.select("conv_id", "turn", F.sha2(m, 256).alias("digest"), F.regexp_count(m, F.lit(r"\[기업\]")).cast("long").alias("masks"))
 
 
 def q_grounded(spark, d):
@@ -195,23 +196,22 @@ QUERIES = {k: v for k, v in list(globals().items()) if k.startswith("q_")}
 _NK = "lower(regexp_replace(regexp_replace({x}, '주식회사|\\(주\\)|㈜|\\(유\\)|유한회사|\\(재\\)|\\(사\\)|Co\\.,?\\s*Ltd\\.?|Corp(oration)?\\.?|Inc\\.?|LLC|Ltd\\.?|Company', ' ', 'gi'), '[\\s·․.,''\"\\-()\\[\\]]+', '', 'g'))"
 _BARE = "lower(regexp_replace({x}, '[^A-Za-z0-9가-힣]', '', 'g'))"
 ORACLE_SQL = {
-    "q_grounded": "WITH t AS (SELECT doc_id, text, substring(text, 1, 12) || '...' || CASE WHEN doc_id % 3 = 0 THEN 'zzzz' ELSE substring(text, 20, 10) END AS q FROM documents) SELECT doc_id, length(" + _BARE.format(x="q") + ") >= 4 AND len(list_filter(regexp_split_to_array(q, '\\.\\.\\.|…'), lambda p: length(" + _BARE.format(x="p") + ") >= 2 AND NOT contains(" + _BARE.format(x="text") + ", " + _BARE.format(x="p") + "))) = 0 AS grounded FROM t",
+    "q_grounded": "WITH t AS (SELECT doc_id, text, substring(text, 1, 12) || '...' || CASE WHEN doc_id % 3 = 0 THEN 'zzzz' ELSE substring(text, 20, 10) END AS q FROM documents), b AS (SELECT doc_id, " + _BARE.format(x="coalesce(text, '')") + " AS b, " + _BARE.format(x="q") + " AS n, list_filter(list_transform(regexp_split_to_array(q, '\\.\\.\\.|…|⋯'), lambda p: " + _BARE.format(x="p") + "), lambda p: p <> '') AS p FROM t) SELECT doc_id, length(n) >= 4 AND (contains(b, n) OR (len(p) > 1 AND len(list_filter(p, lambda x: length(x) < 2 OR NOT contains(b, x))) = 0)) AS grounded FROM b",
     "q_numbers": "WITH p AS (SELECT *, CASE p_partkey % 5 WHEN 0 THEN ' - ' WHEN 1 THEN format('{:,}', trunc(p_retailprice * 100)::BIGINT) WHEN 2 THEN '0' ELSE p_retailprice::VARCHAR END AS t, p_retailprice - p_size * 20.0 AS b FROM part), n AS (SELECT *, try_cast(replace(trim(t), ',', '') AS DOUBLE) AS x FROM p) SELECT p_partkey, x AS number, nullif(x, 0) AS amount, CASE WHEN x = floor(x) THEN x::BIGINT END AS whole, CASE WHEN b > 0 AND abs(p_retailprice / b - 1) <= 0.3 THEN round(b, 6) END AS base, CASE WHEN p_size * 3.0 <> 99 AND p_size * 3.0 <= 100 THEN (p_size * 3.0)::DOUBLE END AS sane, round(p_retailprice * CASE p_size % 3 WHEN 0 THEN 1000000.0 WHEN 1 THEN 1000.0 ELSE 1.0 END, 4) AS scaled, round(p_size::DOUBLE / nullif(p_partkey % 10, 0) * 100, 4) AS held FROM n",
-    "q_clean_text": "WITH t AS (SELECT page_id, regexp_replace(regexp_extract(html, '<title>(.*?)</title>', 1), '<[^>]+>', '', 'g') AS t FROM pages), c AS (SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(t, '&quot;', '\"'), '&lt;', '<'), '&gt;', '>'), '&nbsp;', chr(160)), '&apos;', chr(39)), '&#39;', chr(39)), '&amp;', '&'), '[\\s\\x{00A0}]+', ' ', 'g')) AS t FROM t) SELECT page_id, length(t) AS n, sha256(t) AS digest FROM c",
+    "q_clean_text": "WITH t AS (SELECT page_id, regexp_replace(replace(replace(replace(replace(coalesce(html, ''), '&quot;', '\"'), '&middot;', '·'), '&copy;', '©'), '&amp;', '&'), '<[^\\n]*?>', '', 'g') AS t FROM pages), c AS (SELECT page_id, lower(trim(regexp_replace(t, '[^가-힣a-zA-Z0-9]+', ' ', 'g'))) AS t FROM t) SELECT page_id, length(t) AS n, sha256(t) AS digest FROM c",
     "q_url_keys": "WITH p AS (SELECT page_id, regexp_replace(url, '^http', 'HTTP') || '/A/b//?q=' || page_id AS link FROM pages) SELECT page_id, rtrim(lower(split_part(link, '?', 1)), '/') AS stored_key, lower(regexp_extract(link, '^([A-Za-z]+)://([^/?#]+)([^?#;]*)', 1)) || '://' || lower(regexp_extract(link, '^([A-Za-z]+)://([^/?#]+)([^?#;]*)', 2)) || rtrim(regexp_extract(link, '^([A-Za-z]+)://([^/?#]+)([^?#;]*)', 3), '/') AS url_key FROM p",
-    "q_url_groups": "WITH RECURSIVE o AS (SELECT o_orderkey AS k, 'c' || o_custkey AS u, 'p' || floor(o_totalprice / 40)::BIGINT AS v FROM orders WHERE o_orderkey < 3000), e AS (SELECT k, u FROM o UNION SELECT k, v FROM o), r AS (SELECT k AS node, k AS label FROM o UNION SELECT b.k, r.label FROM r JOIN e a ON r.node = a.k JOIN e b ON a.u = b.u) SELECT node AS o_orderkey, min(label) AS survivor FROM r GROUP BY 1",
     "q_name_keys": "WITH s AS (SELECT s_suppkey, CASE s_suppkey % 3 WHEN 0 THEN '(주) ' WHEN 1 THEN '' ELSE '주식회사 ' END || 'Acme-' || (s_suppkey % 17) || CASE WHEN s_suppkey % 2 = 0 THEN ' Co., Ltd. (ACME Korea)' ELSE ', Inc.' END AS name FROM supplier), b AS (SELECT *, trim(regexp_replace(name, '\\((주|유|재|사)\\)|㈜', '', 'g')) AS bare FROM s) SELECT s_suppkey, " + _NK.format(x="name") + " AS key, 'original=' || name || CASE WHEN s_suppkey % 2 = 0 THEN ';paren_outer=' || trim(split_part(bare, '(', 1)) || ';paren_inner=ACME Korea' ELSE '' END AS forms, false AS several FROM b",
     "q_single_owner": "WITH c AS (SELECT p_name AS alias, p_partkey % 50 AS entity, p_size + 1 AS priority FROM part UNION ALL SELECT p_brand || ' ' || p_type, p_partkey % 40, p_size FROM part), p AS (SELECT alias, entity, min(priority) AS priority FROM c GROUP BY 1, 2), w AS (SELECT * FROM p QUALIFY priority = min(priority) OVER (PARTITION BY alias)) SELECT alias, min(entity) AS entity FROM w GROUP BY 1 HAVING count(*) = 1",
     "q_nearest_day": "WITH a AS (SELECT o_custkey AS k, o_orderdate::DATE + 1 AS day, o_orderkey AS asked FROM orders WHERE o_orderkey % 5 = 0), m AS (SELECT asked, o.o_orderkey, abs(o.o_orderdate::DATE - day) AS off FROM a JOIN orders o ON o.o_custkey = k AND o.o_orderkey % 5 <> 0 AND abs(o.o_orderdate::DATE - day) <= 3), b AS (SELECT asked, o_orderkey FROM m QUALIFY row_number() OVER (PARTITION BY asked ORDER BY off, o_orderkey) = 1) SELECT asked, o_orderkey FROM a LEFT JOIN b USING (asked)",
     "q_theme_overlap": "WITH p AS (SELECT p_brand, p_type, list(DISTINCT p_size) AS m FROM part GROUP BY 1, 2) SELECT a.p_brand, b.p_brand AS other, a.p_type, round(len(list_intersect(a.m, b.m)) / least(len(a.m), len(b.m)), 6) AS o FROM p a JOIN p b ON a.p_type = b.p_type AND a.p_brand < b.p_brand WHERE o >= 0.3",
     "q_constituents": "SELECT DISTINCT s_suppkey, s_name FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_linenumber % 2 = 0 AND s_name = 'Supplier#' || lpad(l_suppkey::VARCHAR, 9, '0')",
-    "q_title_filter": "WITH t AS (SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN '[단독] (종합) ' ELSE '' END || split_part(text, chr(10), 1) AS title FROM documents), w AS (SELECT *, CASE WHEN len(regexp_extract_all(title, '[|]')) >= 4 THEN 'listing' WHEN len(regexp_extract_all(title, '[#$%&*]')) * 5 > length(title) THEN 'noise' WHEN regexp_matches(title, '(?i)all rights reserved|license') THEN 'excluded' END AS reason FROM t) SELECT doc_id, reason, CASE WHEN reason IS NULL THEN trim(regexp_replace(title, '^(\\s*(\\[[^\\]]*\\]|\\([^)]*\\)|<[^>]*>|【[^】]*】))+\\s*', '')) END AS title FROM w",
+    "q_title_filter": "WITH t AS (SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN '[단독] (종합) ' ELSE '' END || split_part(text, chr(10), 1) AS title FROM documents), w AS (SELECT *, CASE WHEN len(regexp_extract_all(title, '[|]')) >= 4 THEN 'listing' WHEN len(regexp_extract_all(title, '[#$%&*]')) * 5 > length(title) THEN 'noise' WHEN regexp_matches(title, '(?i)all rights reserved|license') THEN 'excluded' END AS reason FROM t) SELECT doc_id, reason, CASE WHEN reason IS NULL THEN trim(regexp_replace(title, '^(\\s*\\[[^\\]]*\\])+\\s*', '')) END AS title FROM w",
     "q_sentences": "WITH a AS (SELECT doc_id, regexp_replace(text, '([.!?])\\s+', '\\1' || chr(10), 'g') AS t FROM documents), s AS (SELECT doc_id, list_filter(list_transform(string_split(t, chr(10)), lambda x: trim(x)), lambda x: x <> '') AS s FROM a) SELECT doc_id, len(s) AS n, sha256(coalesce(s[1], '')) AS lead, len(list_filter(s, lambda x: contains(x, 'the'))) AS with_word FROM s",
-    "q_masked": "WITH m AS (SELECT conv_id, turn, regexp_replace(replace(replace(replace(replace(replace(coalesce(text, ''), 'in the', '○○'), 'que', '○○'), 'the', '○○'), 'und', '○○'), 'of', '○○'), '○○(\\s*○○)+', '○○', 'g') AS m FROM conversations) SELECT conv_id, turn, sha256(m) AS digest, len(regexp_extract_all(m, '○○')) AS masks FROM m",
+    "q_masked": "WITH m AS (SELECT conv_id, turn, trim(regexp_replace(replace(regexp_replace(replace(replace(replace(replace(replace(coalesce(text, ''), 'in the', chr(1)), 'que', chr(1)), 'the', chr(1)), 'und', chr(1)), 'of', chr(1)), '\\x01(\\s*[·,/&–-]?\\s*\\x01)+', chr(1), 'g'), chr(1), '[기업]'), '\\s+', ' ', 'g')) AS m FROM conversations) SELECT conv_id, turn, sha256(m) AS digest, len(regexp_extract_all(m, '\\[기업\\]')) AS masks FROM m",
     "q_summary_rules": "WITH t AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents) SELECT doc_id, len(l) <= 4 AND len(list_filter(l, lambda x: length(x) > 400)) = 0 AND len(list_distinct(l)) = len(l) AS valid FROM t",
     "q_dates": "SELECT o_orderkey, CASE WHEN o_orderkey % 4 < 3 THEN o_orderdate::DATE END AS day, CASE WHEN o_orderkey % 4 < 3 THEN o_orderdate::DATE END AS start, o_orderdate::DATE + 3 AS stop, o_orderdate::DATE AS worded FROM orders",
-    "q_published": "SELECT event_id, CASE event_id % 4 WHEN 0 THEN epoch(date_trunc('minute', ts))::BIGINT - 32400 WHEN 1 THEN epoch(date_trunc('minute', ts))::BIGINT WHEN 2 THEN epoch(date_trunc('minute', ts))::BIGINT - 32400 END AS at FROM events WHERE event_id < 4000",
-    "q_month_windows": "WITH o AS (SELECT o_orderkey, o_orderdate::DATE AS a, o_orderdate::DATE + 75 AS b FROM orders WHERE o_orderkey < 500), w AS (SELECT *, unnest(generate_series(date_trunc('month', a), date_trunc('month', b), INTERVAL 1 MONTH))::DATE AS m FROM o) SELECT o_orderkey, greatest(m, a) AS start, least(last_day(m), b) AS stop, strftime((date_trunc('month', a) - INTERVAL 5 MONTH), '%Y%m')::BIGINT AS shifted FROM w",
+    "q_published": "SELECT event_id, CASE event_id % 4 WHEN 0 THEN epoch(date_trunc('minute', ts))::BIGINT - 32400 WHEN 1 THEN epoch(date_trunc('minute', ts))::BIGINT WHEN 2 THEN epoch(date_trunc('minute', ts))::BIGINT - 32400 END AS at FROM events ",
+    "q_month_windows": "WITH o AS (SELECT o_orderkey, o_orderdate::DATE AS a, o_orderdate::DATE + 75 AS b FROM orders), w AS (SELECT *, unnest(generate_series(date_trunc('month', a), date_trunc('month', b), INTERVAL 1 MONTH))::DATE AS m FROM o) SELECT o_orderkey, greatest(m, a) AS start, least(last_day(m), b) AS stop, strftime((date_trunc('month', a) - INTERVAL 5 MONTH), '%Y%m')::BIGINT AS shifted FROM w",
     "q_calendar_events": "SELECT o_orderkey, 'record' AS kind, o_orderdate::DATE AS event_day FROM orders UNION ALL SELECT o_orderkey, 'pay', o_orderdate::DATE + 30 FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT o_orderkey, 'ex', o_orderdate::DATE - 1 FROM orders WHERE o_orderstatus <> 'O'",
     "q_agenda": "WITH f AS (SELECT l_orderkey, l_returnflag, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_returnflag) AS p FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_returnflag FROM lineitem)), g AS (SELECT l_orderkey, l_returnflag, min(p) AS p FROM f GROUP BY 1, 2), c AS (SELECT l_orderkey, bool_or(l_quantity > 49) AS cut FROM lineitem GROUP BY 1) SELECT l_orderkey, string_agg(l_returnflag, ',' ORDER BY p) AS agenda, any_value(cut) AS cut FROM g JOIN c USING (l_orderkey) GROUP BY 1",
     "q_filing_heads": "SELECT o_custkey, arg_min(o_orderstatus, CASE o_orderstatus WHEN 'P' THEN 0 WHEN 'O' THEN 1 ELSE 2 END) AS status, first(o_orderkey ORDER BY o_orderdate, o_orderkey) AS first, last(o_orderkey ORDER BY o_orderdate, o_orderkey) AS latest, last(o_totalprice ORDER BY o_orderdate, o_orderkey) FILTER (o_orderpriority = '1-URGENT') AS terms FROM orders GROUP BY 1",
