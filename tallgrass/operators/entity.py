@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tallgrass.sources.landed import settled
+
 from tallgrass.functions.text import hides_name, name_forms, name_key, names_several
 
 
@@ -82,15 +84,16 @@ def url_survivors(items: DataFrame, key: str, urls: Column) -> DataFrame:
     pairs = items.select(key, F.explode(F.array_distinct(F.filter(urls, lambda u: u != ""))).alias("url"))
     first = pairs.groupBy("url").agg(F.min(key).alias("b"))
     edges = pairs.join(first, "url").select(F.col(key).alias("a"), "b").distinct()
-    labels = items.select(F.col(key).alias("node"), F.col(key).alias("label"))
-    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).persist()
-    while True:
+    both = settled(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))))
+    labels = settled(items.select(F.col(key).alias("node"), F.col(key).alias("label")))
+    while True:  # labels jump to their labels' labels, so rounds grow with the logarithm of the longest path
         near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("near"))
-        step = labels.join(near, F.col("node") == F.col("a"), "left").select("node", F.least("label", "near").alias("label"), (F.col("near") < F.col("label")).alias("moved"))
-        step = step.checkpoint() if items.sparkSession.sparkContext.getCheckpointDir() else step.persist()
+        step = labels.join(near, F.col("node") == F.col("a"), "left").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
+        hop = labels.select(F.col("node").alias("label"), F.col("label").alias("hop"))
+        step = settled(step.join(hop, "label", "left").select("node", "old", F.least("label", "hop").alias("label")))
+        if step.filter("old <> label").isEmpty():
+            return step.select(F.col("node").alias(key), F.col("label").alias("survivor"))
         labels = step.select("node", "label")
-        if step.filter("moved").isEmpty():
-            return labels.select(F.col("node").alias(key), F.col("label").alias("survivor"))
 
 
 def merged_themes(themes: DataFrame) -> DataFrame:

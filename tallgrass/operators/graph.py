@@ -6,15 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tallgrass.sources.landed import settled
 
 def roots(parents: DataFrame, node: str = "node", parent: str = "parent", cut=None) -> DataFrame:
     """(node, root) of each row (node, parent), a NULL or unknown parent making its own root; rounds are logarithmic in the depth.
 
-    cut, a function of DataFrame, cuts the lineage after each round; by default the table is checkpointed where the session has a folder.
+    cut, a function of DataFrame, cuts the lineage after each round; by default the table is written below the shared folder.
     """
     known = parents.select(F.col(node).alias("__p"))
     x = parents.join(known, F.col(parent) == F.col("__p"), "left").select(F.col(node).alias("node"), F.coalesce("__p", node).alias("root"))
-    cut = cut or (lambda df: df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.persist())
+    cut = cut or settled
     x = cut(x)
     while True:
         up = x.select(F.col("node").alias("root"), F.col("root").alias("__up"))

@@ -24,6 +24,12 @@ def document_frequencies(terms: DataFrame, field: str) -> DataFrame:
     return terms.groupBy("token").agg(F.count("*").alias("df")).select(F.lit(field).alias("field"), "token", "df")
 
 
+def token_frequencies(docs: DataFrame, text: str, field: str) -> DataFrame:
+    """(field, token, df) of texts: each text's distinct tokens, counted with one shuffle of partial sums."""
+    tokens_ = docs.select(F.explode(F.array_distinct(tokens(F.col(text)))).alias("token"))
+    return tokens_.groupBy("token").agg(F.count("*").alias("df")).select(F.lit(field).alias("field"), "token", "df")
+
+
 def inverse(df: Column, n: Column) -> Column:
     return F.ln((1 + n) / (1 + df)) + 1
 

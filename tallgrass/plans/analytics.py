@@ -113,8 +113,8 @@ def _terms(spark, d):
 
 def q_idf(spark, d):
     """Document frequencies of each field; the text holds the title, so it is the union of both."""
-    t, b = _terms(spark, d)
-    return vectors.document_frequencies(t, "title").unionByName(vectors.document_frequencies(b, "all"))
+    x = table(spark, d, "documents").select(F.split("text", "\n")[0].alias("title"), "text")
+    return vectors.token_frequencies(x, "title", "title").unionByName(vectors.token_frequencies(x, "text", "all"))
 
 
 def q_tf_idf(spark, d):

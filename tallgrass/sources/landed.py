@@ -93,6 +93,13 @@ def scratch(spark: SparkSession, tag: str) -> str:
     return f"{shared.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
 
 
+def settled(df: DataFrame, tag: str = "settled") -> DataFrame:
+    """df as a table below the shared folder: its lineage ends here, and a lost executor costs no more than a reread."""
+    path = scratch(df.sparkSession, tag)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def stock_master(lines: DataFrame, column: str, tail: dict[str, int]) -> DataFrame:
     """Rows of a master file: nine characters of code, twelve of standard code, a name, and fields of fixed widths at the end, kept as a map as well.
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,34 +31,73 @@ def sessions(ticks: DataFrame, gap: str = "6 hours", delay: str = "1 day") -> Da
 
 
 def drained(stream: DataFrame, mode: str, checkpoint: str) -> DataFrame:
-    """What a stream yields on all input there is, as a table of the session."""
-    name = f"s_{uuid.uuid4().hex}"
-    query = stream.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", f"{checkpoint}/{name}").trigger(availableNow=True).start()
+    """What a stream with complete output yields on all input there is: each batch replaces a table below the checkpoint folder, and no rows come to the driver."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{checkpoint}/out/version={number:012d}")
+
+    query = stream.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", f"{checkpoint}/log").trigger(availableNow=True).start()
     query.awaitTermination()
-    return stream.sparkSession.table(name)
+    spark = stream.sparkSession
+    found = _complete(spark, f"{checkpoint}/out")
+    return spark.read.schema(stream.schema).parquet(found[max(found)]) if found else spark.createDataFrame([], stream.schema)
+
 
+#: Parts of an upserted table; a batch rewrites those that its keys fall into.
+PARTS = 64
 
-def upserting(path: str, keys: list[str], policy: dict[str, str]) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch sink that merges each batch into a table of versions below path; a batch that comes again changes nothing.
 
-    Each version is a folder named by its batch; readers take the newest that is complete.
+def upserting(path: str, keys: list[str], policy: dict[str, str], parts: int = PARTS) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch sink that merges each batch into a table below path; a batch that comes again changes nothing.
+
+    Keys are dealt to parts. A batch's folder holds only the parts that it touched, each as a whole; readers take
+    the newest of each part. Versions of a part that two later batches have replaced are removed.
     """
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        old = newest_version(spark, path, before=number)
+        part = F.pmod(F.xxhash64(*keys), F.lit(parts)).alias("part")
         rows = merge.last_wins(batch, keys, F.struct(*batch.columns))
-        merged = rows if old is None else merge.upsert(old, rows, keys, policy)
-        merged.write.mode("overwrite").parquet(f"{path}/version={number:012d}")
+        touched = {str(r["part"]) for r in rows.select(part).distinct().collect()}  # numbers of parts
+        stored = _parts(spark, path, number)
+        old = [versions[-1] for p, versions in stored.items() if p in touched]
+        merged = merge.upsert(spark.read.schema(batch.schema).parquet(*old), rows, keys, policy) if old else rows
+        merged.withColumn("part", part).repartition("part").write.mode("overwrite").partitionBy("part").parquet(f"{path}/version={number:012d}")
+        for p in touched & set(stored):
+            for gone in stored[p][:-1]:
+                _path, fs = _file_system(spark, gone)
+                fs.delete(_path, True)
 
     return write
 
 
-def newest_version(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
+def _file_system(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return None
-    names = sorted(s.getPath().getName() for s in fs.listStatus(p) if s.getPath().getName().startswith("version="))
-    names = [n for n in names if (before is None or int(n[8:]) < before) and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS"))]
-    return spark.read.parquet(f"{path}/{names[-1]}") if names else None
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _listed(spark: SparkSession, path: str) -> list[str]:
+    p, fs = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def _complete(spark: SparkSession, path: str, before: int | None = None) -> dict[int, str]:
+    """The folders of complete versions, by number."""
+    names = [n for n in _listed(spark, path) if n.startswith("version=") and "_SUCCESS" in _listed(spark, f"{path}/{n}")]
+    return {int(n[8:]): f"{path}/{n}" for n in names if before is None or int(n[8:]) < before}
+
+
+def _parts(spark: SparkSession, path: str, before: int | None = None) -> dict[str, list[str]]:
+    """The folders of each part, oldest first."""
+    out: dict[str, list[str]] = {}
+    for _, folder in sorted(_complete(spark, path, before).items()):
+        for name in _listed(spark, folder):
+            if name.startswith("part="):
+                out.setdefault(name[5:], []).append(f"{folder}/{name}")
+    return out
+
+
+def newest_version(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table that upserting() has written: the newest folder of each part."""
+    newest = [versions[-1] for versions in _parts(spark, path).values()]
+    return spark.read.parquet(*newest) if newest else None
