@@ -68,14 +68,27 @@ def _cosine(a: dict, b: dict) -> float:
 
 def fold(docs: list[tuple], idf: dict[str, dict], documents: int, options: Options) -> list[tuple]:
     """(key, cluster, score) for docs (key, epoch, title, body, entities); a cluster is named by its first document's key, whose score is None."""
+    return fold_from([], docs, idf, documents, options)[0]
+
+
+def fold_from(seeds: list[tuple], docs: list[tuple], idf: dict[str, dict], documents: int, options: Options) -> tuple[list[tuple], list[tuple]]:
+    """fold() that begins with stored clusters, and all clusters as they are after it: seeds (number, first, last, seconds, size, title, body, entities).
+
+    seconds is the sum of the members' times. A cluster that a document finds too old, or begun more than candidate_days after it, takes no
+    further document of the run. Running parts of the documents one after the other, in order of time, gives what one run gives.
+    """
     unseen = math.log(1 + documents) + 1
     vectorise = lambda d: {f: _unit(t, idf.get(f, {}), unseen) for f, t in _whole(d).items()}
-    live: list[_Cluster] = []
-    out = []
+    centroid = lambda c: vectorise({f: {t: w / c.size for t, w in s.items()} for f, s in c.sums.items()})
+    every = [_Cluster(*s[:5], sums={f: dict(m or {}) for f, m in zip(("title", "body", "entities"), s[5:])}) for s in seeds]
+    for c in every:
+        c.vectors = centroid(c)
+    live, out = list(every), []
     for key, epoch, title, body, entities in sorted(docs, key=lambda x: (x[1], x[0])):
         doc = {"title": title or {}, "body": body or {}, "entities": entities or {}}
         mine = vectorise(doc)
-        live = [c for c in live if c.last >= epoch - options.candidate_days * DAY and c.first >= epoch - options.span_days * DAY]
+        reach = options.candidate_days * DAY
+        live = [c for c in live if c.last >= epoch - reach and c.first <= epoch + reach and c.first >= epoch - options.span_days * DAY]
         best, top = None, -math.inf
         for c in live:
             marks = (c.last, c.seconds / c.size, c.first)
@@ -86,13 +99,21 @@ def fold(docs: list[tuple], idf: dict[str, dict], documents: int, options: Optio
         if best is None or top <= options.threshold:
             best, top = _Cluster(key, epoch, epoch), None
             live.append(best)
+            every.append(best)
         best.first, best.last, best.seconds, best.size = min(best.first, epoch), max(best.last, epoch), best.seconds + epoch, best.size + 1
         for f, sums in best.sums.items():
             for t, w in doc[f].items():
                 sums[t] = sums.get(t, 0.0) + w
-        best.vectors = vectorise({f: {t: w / best.size for t, w in s.items()} for f, s in best.sums.items()})
+        best.vectors = centroid(best)
         out.append((key, best.number, top))
-    return out
+    return out, [(c.number, c.first, c.last, c.seconds, c.size, c.sums["title"], c.sums["body"], c.sums["entities"]) for c in every]
+
+
+_SEED = "number long, first double, last double, seconds double, size long, title map<string,double>, body map<string,double>, entities map<string,double>"
+
+
+def _document_rows(group: pd.DataFrame) -> list[tuple]:
+    return [(r.key, r.epoch, *(dict(m) if m is not None else {} for m in (r.title, r.body, r.entities))) for r in group.itertuples()]
 
 
 def online_clusters(docs: DataFrame, block: str, idf: dict[str, dict], documents: int, options: Options = Options()) -> DataFrame:
@@ -102,12 +123,40 @@ def online_clusters(docs: DataFrame, block: str, idf: dict[str, dict], documents
     """
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        rows = [(r.key, r.epoch, *(dict(m) if m is not None else {} for m in (r.title, r.body, r.entities))) for r in group.itertuples()]
-        return pd.DataFrame(fold(rows, idf, documents, options), columns=["key", "cluster", "score"])
+        return pd.DataFrame(fold(_document_rows(group), idf, documents, options), columns=["key", "cluster", "score"])
 
     return docs.groupBy(block).applyInPandas(run, "key long, cluster long, score double")
 
 
+def online_step(docs: DataFrame, seeds: DataFrame | None, block: str, idf: dict[str, dict], documents: int, options: Options = Options()) -> DataFrame:
+    """One incremental run: rows of docs with their clusters (key, cluster, score), and stored clusters as they are afterwards (the columns of seeds), together.
+
+    seeds has the block column, number, first, last, seconds, size, and sums of terms as maps; None where nothing is stored yet. Rows of the
+    stored clusters have a NULL key; assigned(), and stored() of the written result part the two.
+    """
+    spark, kind = docs.sparkSession, docs.schema[block].dataType.simpleString()
+    seeds = spark.createDataFrame([], f"`{block}` {kind}, {_SEED}") if seeds is None else seeds
+    names = [f.split()[0] for f in _SEED.split(", ")]
+
+    def run(key: tuple, group: pd.DataFrame, kept: pd.DataFrame) -> pd.DataFrame:
+        old = [(r.number, r.first, r.last, r.seconds, r.size_, *(dict(m) if m is not None else {} for m in (r.title, r.body, r.entities))) for r in kept.rename(columns={"size": "size_"}).itertuples()]
+        old.sort(key=lambda r: (r[1], r[0]))
+        found, clusters = fold_from(old, _document_rows(group), idf, documents, options)
+        rows = [(*f, key[0], *[None] * len(names)) for f in found] + [(None, None, None, key[0], *c) for c in clusters]
+        return pd.DataFrame(rows, columns=["key", "cluster", "score", block, *names], dtype=object)
+
+    both = docs.groupBy(block).cogroup(seeds.groupBy(block))
+    return both.applyInPandas(run, f"key long, cluster long, score double, `{block}` {kind}, {_SEED}")
+
+
+def assigned(step: DataFrame) -> DataFrame:
+    return step.filter("key IS NOT NULL").select("key", "cluster", "score")
+
+
+def stored(step: DataFrame) -> DataFrame:
+    return step.filter("key IS NULL").drop("key", "cluster", "score")
+
+
 def _words(docs: DataFrame) -> DataFrame:
     words = lambda c: F.coalesce(vectors.tokens(F.col(c)), F.array().cast("array<string>")).alias(c)
     return docs.select("block", "epoch", "key", words("title"), words("body"))

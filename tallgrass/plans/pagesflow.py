@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallgrass.operators import cluster, html
+from tallgrass.operators import cluster, html, vectors
 from tallgrass.sources import landed
 from tallgrass.sources.tables import table
 from tallgrass.streaming import streams
@@ -51,6 +51,18 @@ def q_online_clusters(spark, d):
     return cluster.online_clusters_of_texts(docs, docs.count()).select("key", "cluster", F.round("score", 6).alias("score"))
 
 
+def q_online_seeds(spark, d):
+    """ST1 W11: two runs in order of time, the second of which begins with the clusters that the first has stored; all tokens weigh alike."""
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("key"), (F.col("doc_id") * 1800.0).alias("epoch"), F.col("source").alias("block"), F.split("text", "\n")[0].alias("title"))
+    counts = lambda c: F.aggregate(vectors.tokens(F.coalesce(c, F.lit(""))), F.create_map().cast("map<string,double>"), lambda m, t: F.map_zip_with(m, F.create_map(t, F.lit(1.0)), lambda _, a, b: F.coalesce(a, F.lit(0.0)) + F.coalesce(b, F.lit(0.0))))
+    docs = docs.select("key", "epoch", "block", counts(F.col("title")).alias("title"), F.lit(None).cast("map<string,double>").alias("body"), F.lit(None).cast("map<string,double>").alias("entities"))
+    n = docs.count()
+    middle = docs.agg(F.percentile("key", F.lit(0.5))).first()[0]
+    one = landed.settled(cluster.online_step(docs.filter(F.col("key") <= middle), None, "block", {}, n))
+    two = landed.settled(cluster.online_step(docs.filter(F.col("key") > middle), cluster.stored(one), "block", {}, n))
+    return cluster.assigned(one).unionByName(cluster.assigned(two)).select("key", "cluster", F.round("score", 6).alias("score"))
+
+
 def _ticks(spark, d):
     return streams.stream_of(spark, d, "events").select(F.col("user_id").alias("id"), "ts", "value")
 

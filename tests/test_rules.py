@@ -1,9 +1,11 @@
 """Rules of linking, filings and landed files by hand."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
-from tallgrass.operators import linking, merge
+from tallgrass.operators import cluster, linking, merge
 from tallgrass.sources import landed
 
 
@@ -64,3 +66,27 @@ def test_replacement_is_refused_below_half(spark):
     assert merge.replace_guarded(old, new).count() == 5
     with pytest.raises(ValueError):
         merge.replace_guarded(old, spark.range(4))
+
+
+def test_runs_in_sequence_equal_one_run(spark):
+    r = random.Random(3)
+    words = [f"w{i}" for i in range(12)]
+    docs = [(i, i * 20_000.0, f"b{i % 2}", {r.choice(words): 1.0 for _ in range(4)}, {r.choice(words): 2.0 for _ in range(3)}, {}) for i in range(120)]
+    schema = "key long, epoch double, block string, title map<string,double>, body map<string,double>, entities map<string,double>"
+    df, options = spark.createDataFrame(docs, schema), cluster.Options(candidate_days=5.0, span_days=8.0, threshold=1.5)
+    want = {tuple(x) for x in cluster.online_clusters(df, "block", {}, 120, options).collect()}
+    step, got = None, set()
+    for a, b in ((0, 50), (50, 51), (51, 120)):
+        part = df.filter((F.col("key") >= a) & (F.col("key") < b))
+        step = landed.settled(cluster.online_step(part, None if step is None else cluster.stored(step), "block", {}, 120, options))
+        got |= {tuple(x) for x in cluster.assigned(step).collect()}
+    assert {x[:2] for x in got} == {x[:2] for x in want} and len({x[1] for x in want}) > 5 and sum(x[2] is not None for x in want) > 20
+
+
+def test_stored_clusters_take_late_documents_within_days():
+    day, text = 86_400.0, {"chip": 1.0, "supply": 1.0}
+    seed = lambda d: (7, d * day, d * day, d * day, 1, text, {}, {})
+    run = lambda d, at: cluster.fold_from([seed(d)], [(1, at * day, text, {}, {})], {}, 2, cluster.Options())
+    assert run(20, 1)[0][0][1] == 1 and run(10, 1)[0][0][1] == 7 and run(1, 11.01)[0][0][1] == 1
+    ((number, first, last, seconds, size, *_),) = run(3, 2)[1]
+    assert (number, first, last, seconds, size) == (7, 2 * day, 3 * day, 5 * day, 2)
