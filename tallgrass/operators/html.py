@@ -45,9 +45,9 @@ class _Reader(HTMLParser):
         if tag == "tr" and self.tables:
             self.tables[-1].append([])
         if tag in ("td", "th") and self.tables and self.tables[-1]:
-            span = lambda k: max(1, min(int(a[k]), 1000)) if (a.get(k) or "").isdigit() else 1
+            span = lambda k, most: max(1, min(int(a[k]), most)) if (a.get(k) or "").isdigit() else 1
             self._end_cell()
-            self.cell = (len(self.text), span("rowspan"), span("colspan"))
+            self.cell = (len(self.text), span("rowspan", 65_534), span("colspan", 1000))  # the limits that HTML sets
 
     def handle_endtag(self, tag):
         if tag in _SILENT and self.silent:

@@ -6,7 +6,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallgrass.functions import dates, text
-from tallgrass.operators import linking, merge
+from tallgrass.operators import filings, linking, merge
 from tallgrass.sources import landed
 from tallgrass.sources.tables import table
 
@@ -270,6 +270,23 @@ def q_canonical_text(spark, d):
     return c.select("o_orderkey", linking.canonical(F.col("t"), names).alias("text"))
 
 
+def q_contract_filings(spark, d):
+    """Filings of contracts: sections, labels and values of tables with spans, typed fields, conditions, notes and corrections."""
+    o = table(spark, d, "orders").select("o_orderkey", F.col("o_orderkey").cast("string").alias("k"), F.date_format("o_orderdate", "yyyy.MM.dd").alias("day"), "o_orderstatus", F.floor("o_totalprice").cast("long").cast("string").alias("price"))
+    tr = lambda *cells: F.concat(F.lit("<tr>"), *cells, F.lit("</tr>"))
+    td = lambda value, more="": F.concat(F.lit(f"<td{more}>"), value if not isinstance(value, str) else F.lit(value), F.lit("</td>"))
+    fixes = F.concat(F.lit("<table>"), tr(td("1. 정정관련 공시서류", " colspan=2"), td("단일판매 공급계약체결")), tr(td("2. 정정관련 공시서류제출일", " colspan=2"), td(F.col("day"))), tr(td("정정항목"), td("정정전"), td("정정후")), tr(td("계약금액"), td("10"), td(F.col("price"))), F.lit("</table>"))
+    body = F.concat(
+        F.lit("<table>"), tr(td("1. 판매ㆍ공급계약 구분", " colspan=2"), td("공사수주")), tr(td("- 체결계약명", " colspan=2"), td(F.concat(F.lit("Plant "), F.col("k")))), tr(td("2. 계약내역", " rowspan=3"), td("계약금액(원)"), td(F.concat(F.lit("1,"), F.substring(F.concat(F.lit("00"), F.col("k")), -3, 3)))),
+        tr(td("최근매출액(원)"), td(F.col("price"))), tr(td("매출액대비(%)"), td("12.5 %")), tr(td("3. 계약상대", " colspan=2"), td(F.when(F.col("o_orderstatus") == "O", "-").otherwise("Buyer"))), tr(td("- 최근매출액(원)", " colspan=2"), td("n/a")),
+        tr(td("5. 계약기간", " rowspan=2"), td("시작일"), td(F.col("day"))), tr(td("종료일"), td("계약 종료시")), tr(td("6. 주요 계약조건", " rowspan=2"), td("대금 지급"), td("monthly")), tr(td("선급금"), td("-")),
+        tr(td("9. 기타 투자판단에 참고할 사항", " colspan=3")), tr(td("text one", " colspan=3")), tr(td("text two", " colspan=3")), tr(td("※ 관련공시", " colspan=2"), td("-")), F.lit("</table>"),
+    )
+    pages = o.select("o_orderkey", F.concat(F.when(F.col("o_orderstatus") == "F", fixes).otherwise(""), body).alias("html"))
+    x = filings.contract_fields(filings.filing_entries(pages, "o_orderkey", "html"), "o_orderkey")
+    return x.select("o_orderkey", "contract_type", "contract_name", "contract_amount", "recent_sales", "counterparty_recent_sales", "sales_ratio", "counterparty", "start_date", "end_date", F.col("conditions")["대금 지급"].alias("payment"), F.col("conditions")["선급금"].alias("advance"), "note", "related_disclosures", "is_correction", "correction_target_report", "correction_target_date", F.get("corrected", F.lit(0))["after"].alias("after"))
+
+
 def q_reset(spark, d):
     """A full reset: assignments and derived tables are emptied, sources stay."""
     o = table(spark, d, "orders")
@@ -349,5 +366,11 @@ SELECT lpad(p_partkey::VARCHAR, greatest(6, length(p_partkey::VARCHAR))::INTEGER
   CASE WHEN p_size % 2 = 0 THEN 'ST' ELSE 'EF' END AS "group", p_size % 3 = 0 AS suspended, p_size::BIGINT * 1000 AS listed_shares, lpad(p_size::VARCHAR, 15, '0') AS raw_shares FROM part
 """,
     "q_canonical_text": "SELECT o_orderkey, 'LT Chemicals and Beta Bio vs LT Corp; BetaX ' || o_orderstatus AS text FROM orders",
+    "q_contract_filings": """
+SELECT o_orderkey, '공사수주' AS contract_type, 'Plant ' || o_orderkey AS contract_name, ('1' || right('00' || o_orderkey, 3))::BIGINT AS contract_amount, floor(o_totalprice)::BIGINT AS recent_sales, NULL::BIGINT AS counterparty_recent_sales, 12.5::DOUBLE AS sales_ratio,
+  CASE WHEN o_orderstatus <> 'O' THEN 'Buyer' END AS counterparty, strftime(o_orderdate, '%Y-%m-%d') AS start_date, '계약 종료시' AS end_date, 'monthly' AS payment, '-' AS advance, 'text one text two' AS note, NULL::VARCHAR AS related_disclosures,
+  o_orderstatus = 'F' AS is_correction, CASE WHEN o_orderstatus = 'F' THEN '단일판매 공급계약체결' END AS correction_target_report, CASE WHEN o_orderstatus = 'F' THEN strftime(o_orderdate, '%Y-%m-%d') END AS correction_target_date,
+  CASE WHEN o_orderstatus = 'F' THEN floor(o_totalprice)::BIGINT::VARCHAR END AS after FROM orders
+""",
     "q_reset": "SELECT 'source' AS what, count(*) AS rows FROM orders UNION ALL SELECT 'clusters', 0",
 }

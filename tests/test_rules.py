@@ -90,3 +90,17 @@ def test_stored_clusters_take_late_documents_within_days():
     assert run(20, 1)[0][0][1] == 1 and run(10, 1)[0][0][1] == 7 and run(1, 11.01)[0][0][1] == 1
     ((number, first, last, seconds, size, *_),) = run(3, 2)[1]
     assert (number, first, last, seconds, size) == (7, 2 * day, 3 * day, 5 * day, 2)
+
+
+def test_entries_of_filings():
+    from tallgrass.operators import filings, html
+
+    page = """<table><tr><td colspan=3>정정신고</td></tr><tr><td>정정항목</td><td>정정전</td><td>정정후</td></tr><tr><td>금액</td><td>1</td><td>2</td></tr><tr><td>-</td><td></td><td>-</td></tr><tr><td>사유</td><td>오기</td></tr></table>
+    <table><tr><td colspan=2>1. 판매ㆍ공급계약 내용</td><td>A</td></tr><tr><td rowspan=2>2. 계약내역</td><td>x</td><td>1</td></tr><tr><td>y</td><td> 2 3 </td></tr><tr><td>label</td><td colspan=2>v</td></tr>
+    <tr><td colspan=3>7. 기타</td></tr><tr><td colspan=3>more</td></tr><tr><td colspan=3>text</td></tr><tr><td>single</td></tr><tr><td colspan=3>※ 관련</td></tr></table>"""
+    fixes, body = filings.scopes(html.tables_of(page))
+    assert list(filings.entries(fixes)) == [("정정사항", "금액", "2", "1"), ("", "사유", "오기", None)]
+    assert list(filings.entries(body)) == [
+        ("1. 판매ㆍ공급계약 내용", "1. 판매ㆍ공급계약 내용", "A", None), ("2. 계약내역", "x", "1", None), ("2. 계약내역", "y", "2 3", None), ("2. 계약내역", "label", "v", None),
+        ("7. 기타", "7. 기타", "more text", None), ("※ 관련", "※ 관련", "", None),
+    ]
