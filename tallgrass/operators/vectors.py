@@ -100,12 +100,21 @@ def best_cosines(rows: DataFrame, key: str, group: str, vector: str, size: int =
     return x.groupBy("a_group", "b_group", "key").agg(F.max("cosine").alias("cosine"))
 
 
+def eligible(members: DataFrame, cluster: str, length: str, least: int) -> DataFrame:
+    """The members that may stand for their cluster: those of the least length, or all that have any where none is so long."""
+    longest = members.groupBy(F.col(cluster).alias("_cluster")).agg(F.max(length).alias("_longest"))
+    x = members.filter(F.col(length) > 0).join(longest, F.col(cluster).eqNullSafe(F.col("_cluster")))
+    return x.filter((F.col(length) >= least) | (F.col("_longest") < least)).drop("_cluster", "_longest")
+
+
 def medoids(weights: DataFrame, members: DataFrame, key: str, cluster: str) -> DataFrame:
-    """(cluster, medoid): the member with the largest summed cosine to its cluster, ties to the smallest key.
+    """(cluster, medoid): the member with the largest summed cosine to the others of its cluster, ties to the smallest key; one without tokens sums to 0.
 
     The sum over members of a dot product is the product with the members' sum, so no pairs are formed.
     """
-    x = weights.join(members, key)
-    total = x.groupBy(cluster, "token").agg(F.sum("weight").alias("total"))
-    score = x.join(total, [cluster, "token"]).groupBy(cluster, key).agg(F.round(F.sum(F.col("weight") * F.col("total")), 9).alias("score"))
-    return score.groupBy(cluster).agg(F.max_by(key, F.struct("score", -F.col(key))).alias("medoid"))
+    x = weights.join(members.select(key, cluster), key)
+    total = x.groupBy(F.col(cluster).alias("_cluster"), "token").agg(F.sum("weight").alias("total"))
+    others = F.col("weight") * (F.col("total") - F.col("weight"))
+    score = x.join(total, (x["token"] == total["token"]) & x[cluster].eqNullSafe(total["_cluster"])).groupBy(key).agg(F.round(F.sum(others), 9).alias("score"))
+    ranked = members.select(key, cluster).join(score, key, "left")
+    return ranked.groupBy(cluster).agg(F.max_by(key, F.struct(F.coalesce("score", F.lit(0.0)), -F.col(key))).alias("medoid"))

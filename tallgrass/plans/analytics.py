@@ -107,8 +107,7 @@ def q_visible(spark, d):
 
 
 def _terms(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", F.split("text", "\n")[0].alias("title"), "text")
-    return vectors.term_counts(docs, "doc_id", "title"), vectors.term_counts(docs, "doc_id", "text")
+    return vectors.term_counts(table(spark, d, "documents").select("doc_id", "text"), "doc_id", "text")
 
 
 def q_idf(spark, d):
@@ -118,32 +117,33 @@ def q_idf(spark, d):
 
 
 def q_tf_idf(spark, d):
-    """M3 H7: unit TF-IDF vectors of titles, as their length, largest weight and number of tokens."""
-    t, _ = _terms(spark, d)
+    """M3 H7: unit TF-IDF vectors of whole texts, as their length, largest weight and number of tokens."""
+    t = _terms(spark, d)
     n = table(spark, d, "documents").count()
-    w = vectors.tf_idf(t, vectors.document_frequencies(t, "title"), n, "doc_id")
+    w = vectors.tf_idf(t, vectors.document_frequencies(t, "all"), n, "doc_id")
     return w.groupBy("doc_id").agg(F.round(F.sum("weight"), 6).alias("l1"), F.round(F.max("weight"), 6).alias("largest"), F.count("*").alias("tokens"))
 
 
 def q_centroids(spark, d):
     """Centroids of clusters, here of sources, with documents without a token counted."""
-    t, _ = _terms(spark, d)
+    t = _terms(spark, d)
     m = table(spark, d, "documents").select("doc_id", "source")
     return vectors.centroids(t, m, "doc_id", "source").select("source", "token", "total", F.round("mean", 9).alias("mean"))
 
 
 def q_top_keywords(spark, d):
     """T5: five heaviest tokens of a source, ties in order of the token."""
-    t, _ = _terms(spark, d)
+    t = _terms(spark, d)
     x = t.join(table(spark, d, "documents").select("doc_id", "source"), "doc_id").groupBy("source", "token").agg(F.sum("n").alias("n"))
     return x.withColumn("rank", F.row_number().over(W.partitionBy("source").orderBy(F.desc("n"), "token")).cast("long")).filter("rank <= 5")
 
 
 def q_medoids(spark, d):
-    """The document that is nearest to all of its source."""
-    t, _ = _terms(spark, d)
-    w = vectors.tf_idf(t, vectors.document_frequencies(t, "title"), table(spark, d, "documents").count(), "doc_id")
-    return vectors.medoids(w, table(spark, d, "documents").select("doc_id", "source"), "doc_id", "source")
+    """Of a source's documents of 200 characters or more, or of all that have text where none is so long, the one nearest to all of them."""
+    t = _terms(spark, d)
+    w = vectors.tf_idf(t, vectors.document_frequencies(t, "all"), table(spark, d, "documents").count(), "doc_id")
+    m = vectors.eligible(table(spark, d, "documents").select("doc_id", "source", F.length("text").alias("n")), "source", "n", 200)
+    return vectors.medoids(w, m, "doc_id", "source")
 
 
 def q_similar_earlier(spark, d):
@@ -162,8 +162,8 @@ def q_link_decision(spark, d):
 
 
 def q_votes(spark, d):
-    """Two of three votes pass, and the winner is the largest (votes, score, key)."""
-    li = table(spark, d, "lineitem").filter("l_linenumber <= 3").select("l_orderkey", "l_partkey", (F.col("l_quantity") > 20).alias("yes"))
+    """Each line votes, two votes pass, and the winner is the largest (votes, score, key)."""
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", (F.col("l_quantity") > 20).alias("yes"))
     per = li.groupBy("l_orderkey", (F.col("l_partkey") % 4).alias("candidate")).agg(F.count_if("yes").alias("votes"), F.count("*").alias("n"))
     ok = per.filter("votes >= 2")
     return ok.groupBy("l_orderkey").agg(F.max(F.struct("votes", "n", "candidate")).alias("m")).select("l_orderkey", F.col("m.candidate").alias("winner"), F.col("m.votes").alias("votes"))
@@ -231,7 +231,7 @@ QUERIES = {k: v for k, v in list(globals().items()) if k.startswith("q_")}
 
 _CORR = "o AS (SELECT o_orderkey, o_custkey AS owner, date_trunc('month', o_orderdate)::DATE AS day, o_orderstatus FROM orders), m AS (SELECT owner, day, lag(day) OVER (PARTITION BY owner ORDER BY day) AS target FROM (SELECT DISTINCT owner, day FROM o)), x AS (SELECT * FROM o JOIN m USING (owner, day)), p AS (SELECT x.o_orderkey, max(b.o_orderkey) AS parent FROM x LEFT JOIN x b ON x.o_orderstatus = 'P' AND b.owner = x.owner AND b.day = x.target AND b.o_orderkey < x.o_orderkey GROUP BY 1)"
 _ROOT = "r AS (SELECT o_orderkey AS node, o_orderkey AS root FROM p WHERE parent IS NULL UNION ALL SELECT p.o_orderkey, r.root FROM p JOIN r ON p.parent = r.node)"
-_TOK = "d AS (SELECT doc_id, source, list_filter(regexp_split_to_array(lower(split_part(text, chr(10), 1)), '[^\\p{L}\\p{N}]+'), lambda t: length(t) >= 2) AS t, list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda t: length(t) >= 2) AS b FROM documents), tt AS (SELECT doc_id, source, token, count(*) AS n FROM (SELECT doc_id, source, unnest(t) AS token FROM d) GROUP BY 1, 2, 3)"
+_TOK = "d AS (SELECT doc_id, source, list_filter(regexp_split_to_array(lower(split_part(text, chr(10), 1)), '[^\\p{L}\\p{N}]+'), lambda t: length(t) >= 2) AS t, list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda t: length(t) >= 2) AS b FROM documents), tt AS (SELECT doc_id, source, token, count(*) AS n FROM (SELECT doc_id, source, unnest(b) AS token FROM d) GROUP BY 1, 2, 3)"
 _TFIDF = _TOK + ", f AS (SELECT token, count(*) AS df FROM tt GROUP BY 1), w0 AS (SELECT doc_id, source, token, ln(1 + n) * (ln((1 + (SELECT count(*) FROM documents)) / (1 + df)) + 1) AS w FROM tt JOIN f USING (token)), w AS (SELECT doc_id, source, token, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS w FROM w0)"
 _NORM = "v AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE / sqrt(list_sum(list_transform(embedding, lambda y: y::DOUBLE * y::DOUBLE)))) AS v FROM embeddings)"
 _SIM = _NORM + ", c AS (SELECT a.vec_id, b.vec_id AS candidate, round(list_dot_product(a.v, b.v), 6) AS cosine FROM v a JOIN v b ON a.label = b.label AND b.vec_id < a.vec_id AND b.vec_id >= a.vec_id - 200), s AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY cosine DESC, candidate DESC) AS rank FROM c WHERE cosine >= 0.10)"
@@ -259,14 +259,15 @@ ORACLE_SQL = {
     "q_best_member": "SELECT p_brand, p_partkey FROM part QUALIFY row_number() OVER (PARTITION BY p_brand ORDER BY p_size % 5 = 0, p_size DESC, p_retailprice, p_partkey) = 1",
     "q_edge_diff": "WITH s AS (SELECT o_custkey, o_orderpriority, count(*) AS n FROM orders WHERE o_orderdate < '2000-01-01' GROUP BY 1, 2), w AS (SELECT o_custkey, o_orderpriority, count(*) AS n FROM orders WHERE o_orderdate >= '1995-06-01' GROUP BY 1, 2) SELECT o_custkey, o_orderpriority, w.n AS n, CASE WHEN s.n IS NULL THEN 'insert' WHEN w.n IS NULL THEN 'delete' ELSE 'update' END AS action FROM s FULL JOIN w USING (o_custkey, o_orderpriority) WHERE s.n IS DISTINCT FROM w.n",
     "q_visible": "SELECT c_custkey, EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT' AND o_orderstatus = 'O') AS visible FROM customer",
-    "q_idf": f"WITH {_TOK} SELECT 'title' AS field, token, count(DISTINCT doc_id) AS df FROM tt GROUP BY 2 UNION ALL SELECT 'all', token, count(DISTINCT doc_id) FROM (SELECT doc_id, unnest(b) AS token FROM d) GROUP BY 2",
+    "q_idf": f"WITH {_TOK} SELECT 'title' AS field, token, count(DISTINCT doc_id) AS df FROM (SELECT doc_id, unnest(t) AS token FROM d) GROUP BY 2 UNION ALL SELECT 'all', token, count(*) FROM tt GROUP BY 2",
     "q_tf_idf": f"WITH {_TFIDF} SELECT doc_id, round(sum(w), 6) AS l1, round(max(w), 6) AS largest, count(*) AS tokens FROM w GROUP BY 1",
     "q_centroids": f"WITH {_TOK}, z AS (SELECT source, count(*) AS size FROM documents GROUP BY 1) SELECT source, token, sum(n)::BIGINT AS total, round(sum(n) / any_value(size), 9) AS mean FROM tt JOIN z USING (source) GROUP BY 1, 2",
     "q_top_keywords": f"WITH {_TOK} SELECT source, token, sum(n)::BIGINT AS n, row_number() OVER (PARTITION BY source ORDER BY sum(n) DESC, token) AS rank FROM tt GROUP BY 1, 2 QUALIFY rank <= 5",
-    "q_medoids": f"WITH {_TFIDF}, t AS (SELECT source, token, sum(w) AS total FROM w GROUP BY 1, 2), s AS (SELECT source, doc_id, round(sum(w * total), 9) AS score FROM w JOIN t USING (source, token) GROUP BY 1, 2) SELECT source, doc_id AS medoid FROM s QUALIFY row_number() OVER (PARTITION BY source ORDER BY score DESC, doc_id) = 1",
+    "q_medoids": f"WITH {_TFIDF}, e AS (SELECT doc_id, source FROM documents WHERE length(text) > 0 QUALIFY length(text) >= 200 OR max(length(text)) OVER (PARTITION BY source) < 200), v AS (SELECT w.* FROM w JOIN e USING (doc_id)), t AS (SELECT source, token, sum(w) AS total FROM v GROUP BY 1, 2), "
+    "s AS (SELECT source, doc_id, round(sum(w * (total - w)), 9) AS score FROM v JOIN t USING (source, token) GROUP BY 1, 2) SELECT e.source, e.doc_id AS medoid FROM e LEFT JOIN s USING (doc_id) QUALIFY row_number() OVER (PARTITION BY e.source ORDER BY coalesce(score, 0) DESC, e.doc_id) = 1",
     "q_similar_earlier": f"WITH {_SIM} SELECT vec_id, candidate, cosine, rank FROM s WHERE rank <= 12",
     "q_link_decision": f"WITH {_SIM} SELECT vec_id, candidate AS parent, cosine, CASE WHEN vec_id - candidate <= 24 OR (cosine >= 0.75 AND vec_id - candidate <= 168) THEN 'same_event' ELSE 'follow_up' END AS relation FROM s WHERE rank = 1",
-    "q_votes": "WITH p AS (SELECT l_orderkey, l_partkey % 4 AS candidate, count(*) FILTER (l_quantity > 20) AS votes, count(*) AS n FROM lineitem WHERE l_linenumber <= 3 GROUP BY 1, 2) SELECT l_orderkey, candidate AS winner, votes FROM p WHERE votes >= 2 QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY votes DESC, n DESC, candidate DESC) = 1",
+    "q_votes": "WITH p AS (SELECT l_orderkey, l_partkey % 4 AS candidate, count(*) FILTER (l_quantity > 20) AS votes, count(*) AS n FROM lineitem GROUP BY 1, 2) SELECT l_orderkey, candidate AS winner, votes FROM p WHERE votes >= 2 QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY votes DESC, n DESC, candidate DESC) = 1",
     "q_relevance": "SELECT doc_id, CASE WHEN quality IS NOT NULL THEN quality * 0.8 >= 0.7 AND greatest((n_chars % 100) / 100.0, toxic * 0.6) >= 0.55 END AS passed FROM documents LEFT JOIN labels USING (doc_id)",
     "q_percentiles": "SELECT event_type, quantile_disc(value, 0.5) AS p50, quantile_disc(value, 0.95) AS p95, max(value) AS most FROM events GROUP BY 1",
     "q_invariant": "SELECT count(*) AS total, " + ", ".join(f"count(*) FILTER (event_type = '{k}') AS {k}" for k in ("view", "click", "error", "signup", "purchase")) + ", true AS balanced FROM events",

@@ -29,8 +29,8 @@ def q_parents_by_vote(spark, d):
 
 
 def q_vote_passes(spark, d):
-    """Three votes, two of which must accept."""
-    li = table(spark, d, "lineitem").filter("l_linenumber <= 3").select("l_suppkey", "l_linestatus", (F.col("l_quantity") > 25).alias("ok"))
+    """Every line votes, and so many votes must accept."""
+    li = table(spark, d, "lineitem").select("l_suppkey", "l_linestatus", (F.col("l_quantity") > 25).alias("ok"))
     return voting.passes(li, ["l_suppkey", "l_linestatus"], "ok", 40)
 
 
@@ -127,7 +127,7 @@ ORACLE_SQL = {
     "q_roles": "SELECT event_id, CASE WHEN event_id % 10 / 10.0 < 0.5 THEN 'not_company' WHEN user_id % 10 / 10.0 >= 0.5 THEN 'party' WHEN event_id % 7 >= user_id % 7 THEN 'mention' ELSE 'source' END AS role FROM events",
     "q_escalation": "SELECT p_partkey, p_size % 10 = 9 OR p_size % 3 = 0 OR (p_size % 3 = 1 AND regexp_matches(p_name, '^(red|small)')) AS again FROM part",
     "q_parents_by_vote": "WITH a AS (SELECT l_orderkey AS child, l_partkey AS parent, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, greatest(l_tax, l_discount) DESC, l_shipdate DESC, l_partkey DESC) AS r FROM lineitem WHERE l_quantity > 10 AND l_discount < 0.08 AND (l_tax > 0.03 OR l_returnflag = 'R')) SELECT o.child, a.parent FROM (SELECT DISTINCT l_orderkey AS child FROM lineitem) o LEFT JOIN a ON o.child = a.child AND r = 1",
-    "q_vote_passes": "SELECT l_suppkey, l_linestatus, count(*) FILTER (l_quantity > 25) AS yes, count(*) AS n, count(*) FILTER (l_quantity > 25) >= 40 AS passed FROM lineitem WHERE l_linenumber <= 3 GROUP BY 1, 2",
+    "q_vote_passes": "SELECT l_suppkey, l_linestatus, count(*) FILTER (l_quantity > 25) AS yes, count(*) AS n, count(*) FILTER (l_quantity > 25) >= 40 AS passed FROM lineitem GROUP BY 1, 2",
     "q_relation_kind": "WITH e AS (SELECT event_id, epoch_us(ts) / 3.6e9 - epoch_us(TIMESTAMP '2024-01-10') / 3.6e9 AS gap, user_id % 100 / 100.0 AS c, event_id % 3 AS s FROM events WHERE ts >= TIMESTAMP '2024-01-10') SELECT event_id, CASE WHEN gap <= 24 OR (c >= 0.75 AND gap <= 168) OR (s >= 2 AND gap <= 168) THEN 'same_event' ELSE 'follow_up' END AS relation FROM e",
     "q_triple_rules": "WITH x AS (SELECT l_linenumber % 3 AS r, l_suppkey AS s, l_partkey % 100 AS o, l_quantity > 5 AS item, l_tax > 0.07 AS long, l_discount > 0.09 AS other FROM lineitem JOIN supplier ON l_suppkey = s_suppkey) SELECT CASE WHEN r = 2 THEN 'unknown_relation' WHEN s = o THEN 'same_ends' WHEN r = 0 AND NOT item THEN 'no_item' WHEN long THEN 'long_evidence' WHEN other THEN 'not_in_sentence' ELSE 'kept' END AS reason, count(*) AS n FROM x GROUP BY 1",
     "q_members_as_of": "SELECT o_custkey, greatest(count(*) FILTER (o_orderdate <= TIMESTAMP '1996-01-01'), 1) AS n, min(o_orderdate)::DATE AS first FROM orders GROUP BY 1",
