@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallgrass.functions import text
 from tallgrass.operators.html import tables_of
 
 # The head of a table of corrections, the section its rows get, and the labels of a contract's fields.
@@ -23,6 +24,8 @@ LABELS = {
 MAPS = {"주요계약조건": "conditions", "판매공급방식": "supply_method", "공시유보관련내용": "reservation"}
 COUNTERPARTY = "계약상대"
 TARGETS = {"정정관련공시서류": "correction_target_report", "정정관련공시서류제출일": "correction_target_date", "정정사유": "correction_reason"}
+# Titles of the section that tells of the business, best first, the keywords that stand in for them, and how much of it counts.
+SECTION_TITLES, SECTION_WORDS, SECTION_LENGTH = ("사업의 개요", "회사의 개요"), ("주요 사업의 내용", "사업의 개요", "회사의 개요"), 4000
 AMOUNTS = ("contract_amount", "fixed_amount", "conditional_amount", "recent_sales", "counterparty_recent_sales")
 DAYS = ("start_date", "end_date", "order_date")
 _BLANK = ("", "-", "–")
@@ -150,3 +153,20 @@ def contract_fields(found: DataFrame, key: str) -> DataFrame:
     out.append(F.transform(items, lambda p: F.struct(p["label"].alias("item"), p["before"].alias("before"), p["value"].alias("after"))).alias("corrected"))
     out += [(_day(last("target", n)) if n == "correction_target_date" else last("target", n)).alias(n) for n in TARGETS.values()]
     return x.groupBy(key).agg(*out, F.max((F.col("scope") == "correction")).alias("is_correction"))
+
+
+def business_section(report: Column) -> Column:
+    """What a report says of the business, empty where it says nothing: the first section that has the best title and text besides tables, else what follows a keyword.
+
+    A section that isn't closed ends where the next begins.
+    """
+    bare = lambda x: F.regexp_replace(x, "<[^>]+>", "")
+    without = lambda x, tag: F.regexp_replace(x, rf"(?s)<{tag}\b[^>]*>.*?</{tag}\s*>", "")
+    pieces = F.transform(F.split(F.coalesce(report, F.lit("")), r"<SECTION-2\b[^>]*>"), lambda x: F.split(x, r"</SECTION-[12]\s*>")[0])
+    sections = F.transform(F.filter(pieces, lambda _, i: i > 0), lambda x: F.struct(
+        text.collapsed(bare(F.regexp_extract(x, r"(?s)<TITLE\b[^>]*>(.*?)</TITLE\s*>", 1))).alias("title"), text.collapsed(bare(text.entities(bare(without(without(x, "TITLE"), "TABLE"))))).alias("text")))
+    having = lambda title: F.filter(sections, lambda x: x["title"].contains(title) & (x["text"] != ""))
+    titled = [F.get(having(t), F.lit(0))["text"] for t in SECTION_TITLES]
+    plain = text.collapsed(F.regexp_replace(F.coalesce(report, F.lit("")), "<[^>]+>", " "))
+    behind = [F.when(plain.contains(w), F.substring(plain, F.instr(plain, w) + len(w), F.lit(SECTION_LENGTH))) for w in SECTION_WORDS]
+    return text.collapsed(F.coalesce(*(F.substring(x, 1, SECTION_LENGTH) for x in titled), *behind, F.lit("")))

@@ -11,9 +11,9 @@ from tallgrass.streaming import streams
 
 
 def q_article_text(spark, d):
-    """The main text of pages, as length and digest."""
-    x = html.page_texts(table(spark, d, "pages"), "page_id", "html")
-    return x.select("page_id", F.length("text").alias("n"), F.sha2("text", 256).alias("digest"))
+    """Title and main text of pages, the text as length and digest."""
+    x = html.page_texts(table(spark, d, "pages"), "page_id", "html", "url", "example.com")
+    return x.select("page_id", "title", F.length("text").alias("n"), F.sha2("text", 256).alias("digest"))
 
 
 def q_table_cells(spark, d):

@@ -6,7 +6,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallgrass.functions import dates, text
-from tallgrass.operators import filings, linking, merge
+from tallgrass.operators import filings, html, linking, merge
 from tallgrass.sources import landed
 from tallgrass.sources.tables import table
 
@@ -54,6 +54,42 @@ def q_clean_forms(spark, d):
     return _forms(spark, [c[:1] for c in _CLEAN], "t string").select("n", text.clean_text(F.col("t")).alias("result"))
 
 
+_LONG, _LONGER = "many words " * 11, "more words than many " * 8
+# Pages, whether they are the anchor's, and their text, title and time.
+_PAGES = (
+    (f"<article>{_LONGER}</article><div id=articleBody><b>{_LONG}</b> end </div>", False, f"{_LONG.strip()}\nend", None, None),
+    (f"<article>{_LONGER}</article><div id=articleBody>short</div>", False, _LONGER.strip(), None, None),
+    (f"<div class='x content'>{_LONG}</div><div class=content>{_LONGER}<p>tail<script>no()</script></div>", False, f"{_LONGER.strip()}\ntail", None, None),
+    (f"<header>h</header><p>{_LONG}<form>f</form><p>tiny</p></p><nav><p>{_LONGER}</p></nav>", False, f"{_LONG.strip()}\ntiny", None, None),
+    ("<p>nothing here</p><meta property=og:title content=' &lt;b&gt;A &amp;amp; B&lt;/b&gt; '>", False, None, "A & B", None),
+    ("<meta property=og:title content=second><h2 id=title_area><span>The</span> first</h2>", False, None, "The first", None),
+    (f"<article>{_LONGER}</article><div itemprop=articleBody>{_LONG}</div><span class=_ARTICLE_DATE_TIME data-date-time='2024-01-01 10:00:00'>", True, _LONGER.strip(), None, "2024-01-01 10:00:00"),
+    ("<meta name=article:published_time content=2024-01-02><meta property=article:published_time content=''>", True, None, None, "2024-01-02"),
+    ("<meta name=article:published_time content=2024-01-02>", False, None, None, None), ("", False, None, None, None), (None, False, None, None, None),
+)
+
+
+def q_page_forms(spark, d):
+    """Pages by ordered selectors: text, title and time, each empty where it lacks."""
+    pages = _forms(spark, [(p, "https://news.example.com/1" if own else "https://example.org/1") for p, own, *_ in _PAGES], "html string, url string")
+    x = html.page_texts(pages, "n", "html", "url", "example.com")
+    return x.select("n", F.concat_ws("|", *(F.coalesce(c, F.lit("")) for c in ("title", "published", "text"))).alias("result"))
+
+
+# Reports with sections in broken markup, and the part that tells of the business.
+_SECTIONS = (
+    ("<SECTION-1><SECTION-2><TITLE>1. 회사의 개요</TITLE><P>name</P></SECTION-2><SECTION-2><TITLE>1. 사업의 개요</TITLE><P>makes\n <b>cells</b></P><TABLE><TR><TD>9</TD></TR></TABLE> and sells &amp; ships</SECTION-2>", "makes cells and sells & ships"),
+    ("<SECTION-2><TITLE ATOC='Y'>사업의 개요</TITLE><TABLE>only</TABLE></SECTION-2><SECTION-2><TITLE>회사의 <b>개요</b></TITLE>who it is<SECTION-2><TITLE>x</TITLE>y", "who it is"),
+    ("<P>목 차</P><P>사업의 개요</P> <P>주요 사업의 내용</P><P>sells</P>", "sells"), ("<P>회사의 개요 </P>told here", "told here"), ("<P>nothing</P>", ""), ("", ""), (None, ""),
+    ("<SECTION-2><TITLE>사업의 개요</TITLE>" + "a" * 5000 + "</SECTION-2>", "a" * 4000),
+)
+
+
+def q_business_section(spark, d):
+    """The section of a report that tells of the business, by title, else behind a keyword; its first 4,000 characters."""
+    return _forms(spark, [c[:1] for c in _SECTIONS], "t string").select("n", filings.business_section(F.col("t")).alias("result"))
+
+
 _BRACKETS = (("[속보] [단독] 제목", "제목"), (" [1보]제목 [사진]", "제목 [사진]"), ("(종합) 제목", "(종합) 제목"), ("<b> 제목", "<b> 제목"), ("【속보】 제목", "【속보】 제목"), ("[속보", "[속보"), ("[]", ""), (None, None))
 
 
@@ -299,6 +335,8 @@ QUERIES = {k: v for k, v in list(globals().items()) if k.startswith("q_")}
 ORACLE_SQL = {
     "q_published_forms": _stated([c[-1] for c in _TIMES], "BIGINT"),
     "q_clean_forms": _stated([c[-1] for c in _CLEAN], "VARCHAR"),
+    "q_page_forms": _stated(["|".join(x or "" for x in (title, time, t)) for _, _, t, title, time in _PAGES], "VARCHAR"),
+    "q_business_section": _stated([c[-1] for c in _SECTIONS], "VARCHAR"),
     "q_bracket_forms": _stated([c[-1] for c in _BRACKETS], "VARCHAR"),
     "q_restored_titles": _stated([c[-1] for c in _RESTORED], "VARCHAR"),
     "q_masked_forms": _stated([c[-1] for c in _MASKED], "VARCHAR"),
