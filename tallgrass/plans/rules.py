@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallgrass.functions import dates, text
 from tallgrass.operators import filings, html, linking, merge
-from tallgrass.sources import landed
+from tallgrass.sources import landed, scans
 from tallgrass.sources.tables import table
 
 
@@ -280,6 +282,12 @@ def q_search_pages(spark, d):
     return linking.collected_pages(p, "o_orderpriority", "place", "link", "day", F.lit("1997-06-01").cast("date"), 25).select("o_orderpriority", "o_orderkey", "place")
 
 
+def q_range_scan(spark, d):
+    """The requests that bring all rows of a source that cuts responses at 30: ranges halved, crowded days by kind, then ticker by ticker."""
+    o = table(spark, d, "orders").select(F.trunc("o_orderdate", "month").alias("day"), "o_orderpriority", (F.col("o_custkey") % 7).alias("ticker"))
+    return scans.scan(o, "day", "ticker", datetime.date(1990, 1, 1), datetime.date(2001, 12, 31), 30, "o_orderpriority")
+
+
 def q_newest_folder(spark, d):
     """Of dated folders, the newest that holds all required files, read back."""
     root = landed.scratch(spark, "dated")
@@ -397,6 +405,21 @@ WITH p AS (SELECT o_orderkey, o_custkey, o_orderpriority AS g, o_orderdate::DATE
 l AS (SELECT g, place // 25 AS page, arg_max(day, place) AS last FROM p GROUP BY 1, 2),
 e AS (SELECT g, min(page) AS stop FROM l WHERE last < DATE '1997-06-01' GROUP BY 1)
 SELECT g AS o_orderpriority, o_orderkey, place FROM p LEFT JOIN e USING (g) WHERE place // 25 <= coalesce(stop, 1000000000) QUALIFY row_number() OVER (PARTITION BY g, o_custkey ORDER BY place) = 1
+""",
+    "q_range_scan": """
+WITH RECURSIVE c AS (SELECT date_trunc('month', o_orderdate)::DATE AS d, o_orderpriority AS s, o_custkey % 7 AS t, count(*) AS n FROM orders GROUP BY ALL), v(side) AS (VALUES (0), (1)),
+r(lo, hi) AS (SELECT DATE '1990-01-01', DATE '2001-12-31' UNION ALL
+  SELECT CASE side WHEN 0 THEN lo ELSE lo + ((hi - lo) // 2 + 1)::INTEGER END, CASE side WHEN 0 THEN lo + ((hi - lo) // 2)::INTEGER ELSE hi END
+  FROM r, v WHERE lo < hi AND (SELECT sum(n) FROM c WHERE d BETWEEN r.lo AND r.hi) > 30),
+f AS (SELECT lo, hi, sum(n) AS n FROM r JOIN c ON d BETWEEN lo AND hi GROUP BY 1, 2),
+o AS (SELECT s, d, sum(n) AS n FROM c WHERE d IN (SELECT lo FROM f WHERE lo = hi AND n > 30) GROUP BY 1, 2),
+k AS (SELECT s, d FROM o WHERE n > 30), b AS (SELECT s, min(d) AS lo, max(d) AS hi FROM k GROUP BY 1),
+q(s, t, lo, hi) AS (SELECT b.s, x.t, b.lo, b.hi FROM b, (SELECT DISTINCT t FROM c) x UNION ALL
+  SELECT s, t, CASE side WHEN 0 THEN lo ELSE lo + ((hi - lo) // 2 + 1)::INTEGER END, CASE side WHEN 0 THEN lo + ((hi - lo) // 2)::INTEGER ELSE hi END
+  FROM q, v WHERE lo < hi AND (SELECT sum(c.n) FROM c WHERE c.s = q.s AND c.t = q.t AND d BETWEEN q.lo AND q.hi) > 30),
+g AS (SELECT q.s, q.t, lo, hi, sum(c.n) AS n, sum(CASE WHEN k.d IS NOT NULL THEN c.n ELSE 0 END) AS kept FROM q JOIN c ON c.s = q.s AND c.t = q.t AND c.d BETWEEN lo AND hi LEFT JOIN k ON k.s = c.s AND k.d = c.d GROUP BY 1, 2, 3, 4)
+SELECT NULL::VARCHAR AS split, NULL::VARCHAR AS ticker, lo, hi, n::BIGINT AS n, false AS cut FROM f WHERE n <= 30 UNION ALL SELECT s, NULL, d, d, n::BIGINT, false FROM o WHERE n <= 30
+UNION ALL SELECT s, t::VARCHAR, lo, hi, kept::BIGINT, n > 30 FROM g WHERE (n <= 30 OR lo = hi) AND kept > 0
 """,
     "q_newest_folder": "SELECT '20240203' AS folder, n_nationkey FROM nation",
     "q_stock_master": """

@@ -104,3 +104,60 @@ def test_entries_of_filings():
         ("1. 판매ㆍ공급계약 내용", "1. 판매ㆍ공급계약 내용", "A", None), ("2. 계약내역", "x", "1", None), ("2. 계약내역", "y", "2 3", None), ("2. 계약내역", "label", "v", None),
         ("7. 기타", "7. 기타", "more text", None), ("※ 관련", "※ 관련", "", None),
     ]
+
+
+def test_scans_bring_all_rows(spark):
+    from collections import Counter
+    from datetime import date, timedelta
+
+    from tallgrass.sources.scans import scan
+
+    r = random.Random(3)
+    start, end, page = date(2024, 1, 1), date(2024, 2, 9), 8
+    rows = [(start + timedelta(r.choice([0, 3, 3, 9, 9, 9, 9, 20, 39, 60])), r.choice(["a", "b", None]), r.choice(["x", "y", None])) for _ in range(150)]
+    df = spark.createDataFrame(rows, "day date, kind string, ticker string")
+
+    def ask(lo, hi, **by):
+        return [x for x in rows if lo <= x[0] <= hi and all(x[i] == v for i, v in ((1, by.get("kind", x[1])), (2, by.get("ticker", x[2]))))]
+
+    def brute(kinds):
+        out, over, crowded = [], [], {}
+
+        def halve(lo, hi, done, late, **by):
+            got = ask(lo, hi, **by)
+            if len(got) <= page or lo == hi:
+                (done if len(got) <= page else late)(lo, hi, got)
+            else:
+                middle = lo + (hi - lo) // 2
+                halve(lo, middle, done, late, **by)
+                halve(middle + timedelta(1), hi, done, late, **by)
+
+        halve(start, end, lambda lo, hi, got: out.append((None, None, lo, hi, len(got), False)), lambda lo, hi, got: over.append(lo))
+        for day in over:
+            for kind in kinds or [None]:
+                got = ask(day, day, kind=kind) if kinds else ask(day, day)
+                if len(got) > page:
+                    crowded.setdefault(kind, []).append(day)
+                else:
+                    out.append((kind, None, day, day, len(got), False))
+        for kind, days in crowded.items():
+            for ticker in ("x", "y", None):
+                keep = lambda got, days=days: sum(x[0] in days for x in got)
+                by = {"ticker": ticker} | ({"kind": kind} if kinds else {})
+                halve(min(days), max(days), lambda lo, hi, got: out.append((kind, ticker, lo, hi, keep(got), False)), lambda lo, hi, got: out.append((kind, ticker, lo, hi, keep(got), True)), **by)
+        return Counter(x for x in out if x[4])
+
+    for kinds in (["a", "b", None], None):
+        got = Counter(map(tuple, scan(df, "day", "ticker", start, end, page, "kind" if kinds else None).collect()))
+        assert got == brute(kinds) and any(x[5] for x in got)
+        assert sum(x[4] for x in got.elements()) == len(ask(start, end))
+    assert scan(df.limit(0), "day", "ticker", start, end, page).isEmpty()
+
+
+def test_pages_end_open_elements():
+    from tallgrass.operators.html import page_of
+
+    long = "word " * 40
+    assert page_of(f"<article><div><p>{long}</article>tail") == (long.strip(), None, None)
+    assert page_of(f"</div><p>{long}<p>{long}") == ("\n".join([long.strip()] * 3), None, None)  # a paragraph that isn't closed holds the next
+    assert page_of(f"<span class='_ARTICLE_DATE_TIME' data-date-time='t'></span><div id=dic_area>{long}</div>", True) == (long.strip(), None, "t")
