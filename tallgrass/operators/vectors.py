@@ -15,8 +15,8 @@ def tokens(text: Column, least: int = 2) -> Column:
 
 
 def term_counts(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, token, n) in long form, the form that joins and aggregates spread over tasks."""
-    return docs.select(key, F.explode(tokens(F.col(text))).alias("token")).groupBy(key, "token").agg(F.count("*").alias("n"))
+    """(key, token, n) in long form, the form that joins and aggregates spread over tasks; texts are shuffled by key, which takes less than their tokens do."""
+    return docs.select(key, text).repartition(key).select(key, F.explode(tokens(F.col(text))).alias("token")).groupBy(key, "token").agg(F.count("*").alias("n"))
 
 
 def document_frequencies(terms: DataFrame, field: str) -> DataFrame:

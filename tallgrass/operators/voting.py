@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 # Thresholds of the rules.
@@ -73,8 +72,3 @@ def longest_run(flags: Column) -> Column:
     """The length of the longest run of true in an array."""
     step = F.aggregate(flags, F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")), lambda s, f: F.struct(F.when(f, s["now"] + 1).otherwise(0).alias("now"), F.greatest(s["most"], F.when(f, s["now"] + 1).otherwise(0)).alias("most")))
     return step["most"]
-
-
-def latest_first(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
-    w = W.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("place", F.row_number().over(w))

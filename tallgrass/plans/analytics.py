@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallgrass.operators import chainindex, graph, vectors
+from tallgrass.operators import chainindex, graph, vectors, voting
+from tallgrass.sources import landed
 from tallgrass.sources.tables import supplier_bars, table
 
 
@@ -141,7 +142,7 @@ def q_top_keywords(spark, d):
 def q_medoids(spark, d):
     """Of a source's documents of 200 characters or more, or of all that have text where none is so long, the one nearest to all of them."""
     t = _terms(spark, d)
-    w = vectors.tf_idf(t, vectors.document_frequencies(t, "all"), table(spark, d, "documents").count(), "doc_id")
+    w = landed.settled(vectors.tf_idf(t, vectors.document_frequencies(t, "all"), table(spark, d, "documents").count(), "doc_id"))
     m = vectors.eligible(table(spark, d, "documents").select("doc_id", "source", F.length("text").alias("n")), "source", "n", 200)
     return vectors.medoids(w, m, "doc_id", "source")
 
@@ -173,7 +174,7 @@ def q_relevance(spark, d):
     """Verdicts of a judge as probabilities; a missing verdict is neither pass nor fail."""
     docs, lab = table(spark, d, "documents").select("doc_id", "n_chars"), table(spark, d, "labels")
     x = docs.join(lab, "doc_id", "left").withColumn("is_company", F.col("quality") * 0.8).withColumn("has_event", (F.col("n_chars") % 100) / 100.0).withColumn("has_driver", F.col("toxic") * 0.6)
-    passed = (F.col("is_company") >= 0.7) & (F.greatest("has_event", "has_driver") >= 0.55)
+    passed = voting.relevant(F.col("is_company"), F.col("has_event"), F.col("has_driver"))
     return x.select("doc_id", F.when(F.col("quality").isNotNull(), passed).alias("passed"))
 
 

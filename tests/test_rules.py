@@ -161,3 +161,12 @@ def test_pages_end_open_elements():
     assert page_of(f"<article><div><p>{long}</article>tail") == (long.strip(), None, None)
     assert page_of(f"</div><p>{long}<p>{long}") == ("\n".join([long.strip()] * 3), None, None)  # a paragraph that isn't closed holds the next
     assert page_of(f"<span class='_ARTICLE_DATE_TIME' data-date-time='t'></span><div id=dic_area>{long}</div>", True) == (long.strip(), None, "t")
+
+
+def test_fixed_widths_strict_json_and_brackets(spark):
+    from tallgrass.functions import text
+
+    lines = spark.createDataFrame([("ab 12",), ("abc",), ("",), ("xyz7 tail",)], "value string")
+    assert [tuple(r) for r in landed.fixed_width(lines, {"code": 3, "n": 2}).collect()] == [("ab", "12"), ("xyz", "7")]
+    names = spark.createDataFrame([("A (b) [c] （d）",), ("(x)",), (None,)], "t string")
+    assert [r[0] for r in names.select(text.without_brackets(F.col("t"))).collect()] == ["A", "", None]
