@@ -1,20 +1,20 @@
 """Quality classifier: an interpolated modified Kneser-Ney model of the bytes of UTF-8, trained on trusted text.
 
-Training counts n-grams of a bounded sample of labelled rows (quality 1, toxic 0): about SAMPLE documents of each language, by
-a seeded hash, and half of them at most, so that others are left to set limits. Counts, continuation counts, context totals and interpolated
-probabilities are tables keyed by n-gram and joined shard by shard. Bytes leave no character of any script without counts of its own.
+Training counts n-grams of all trusted labelled rows (quality 1, toxic 0), whole texts. Counts, continuation counts, context totals and
+interpolated probabilities are tables keyed by n-gram and joined shard by shard. Bytes leave no character of any script without counts of its own.
 Scoring gives each document its perplexity per byte over its whole text.
 
-A document is kept when its perplexity is at most its limit: the QUANTILE of the perplexities of the trusted labelled documents of its
-language and length class that the model wasn't trained on, times MARGIN. Few documents tell little, so a class's
+A document is kept when its perplexity is at most its limit: the QUANTILE of the perplexities of all trusted labelled documents of its
+language and length class, times MARGIN. No document sets limits by a model that has seen it: a hash of its id puts it into one of FOLDS folds,
+and the model of all other folds scores it. These models come from the same counts, less their fold's. Few documents tell little, so a class's
 logarithm is averaged with its language's, which weighs CLASS_PRIOR documents, and a language's with that of all, which weighs LANGUAGE_PRIOR.
 So limits move smoothly with the number of documents, and one without a trusted document has the limit of all.
 
-The model has a size that the sample bounds, and its entries are counted before use: up to IN_MEMORY of them go to every task as
-hash tables; a larger model is joined with the documents' n-grams instead, shard by shard. Both add up the same whole numbers,
+A model grows with the distinct n-grams of the trusted text, and its entries are counted before use: up to IN_MEMORY of them go to every
+task as hash tables, one model at a time; a larger model is joined with the documents' n-grams instead, shard by shard. Both add up the same whole numbers,
 logarithms in millionths, so that results agree to the last bit.
 
-Null or empty text: perplexity null, not kept. Without any trusted document beyond the sample there is no limit, and all others stay.
+Null or empty text: perplexity null, not kept. Without any trusted document there is no limit, and all others stay.
 Very long texts are scored whole, in pieces. Repeated rows, ids or null ids give a row each. A null language is one of its own. Labels that repeat or
 contradict count as trusted only if all of an id's rows are. Empty tables give no rows. Extra columns are not read; keep_good()
 returns the columns of its input, whatever their names.
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tallgrass.llm.common import keyed, pieces, text_buffer, written
 
-ORDER, SAMPLE, QUANTILE, MARGIN, SEED = 6, 400, 0.995, 1.05, 11
+ORDER, FOLDS, QUANTILE, MARGIN, SEED = 6, 2, 0.995, 1.05, 11
 IN_MEMORY = 4_000_000
 #: Documents that a language's limit weighs beside its length class, and that the limit of all weighs beside a language.
 CLASS_PRIOR, LANGUAGE_PRIOR = 100, 10
@@ -38,8 +38,12 @@ CLASS_PRIOR, LANGUAGE_PRIOR = 100, 10
 CLASSES = (6, 11)
 #: Perplexities are compared in steps of this relative size when quantiles are taken.
 STEP = 0.002
-#: Bytes that are scored at once.
+#: Bytes that are scored or counted at once.
 PIECE = 1 << 18
+#: Different n-grams whose counts a task holds before it hands them on.
+HELD = 1 << 20
+#: Bits for each id of a set that texts are filtered by, and for all of it; they change what is broadcast, not the result.
+ID_BITS, MOST_BITS = 32, 1 << 27
 #: Stands before a text; no byte of UTF-8 has this value.
 PAD = 0xFF
 #: Logarithms are whole numbers of this fraction.
@@ -59,14 +63,59 @@ def padded(text: bytes) -> np.ndarray:
     return np.frombuffer(b"\xff" * (ORDER - 1) + text, dtype=np.uint8)
 
 
-def _count_grams(batches):
-    import pyarrow as pa
+def _joined(data: np.ndarray, offsets: np.ndarray, i: int, j: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Texts i to j (exclusive), each behind its padding, and the first and last (exclusive) place of each."""
+    begin = offsets[i : j + 1] - offsets[i]
+    room = np.full(int(begin[-1]) + (ORDER - 1) * (j - i), PAD, dtype=np.uint8)
+    shift = np.arange(1, j - i + 1) * (ORDER - 1)
+    room[np.arange(begin[-1]) + np.repeat(shift, np.diff(begin))] = data[offsets[i] : offsets[j]]
+    return room, begin[:-1] + shift, begin[1:] + shift
 
-    for batch in batches:
-        texts = [x.encode() for x in batch.column(0).to_pylist()]
-        if texts:
-            x, n = np.unique(np.concatenate([grams(padded(t)) for t in texts]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(n)], ["gram", "n"])
+
+def _merged(counts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys and their sums, of such pairs."""
+    x = np.concatenate([k for k, _ in counts])
+    order = np.argsort(x, kind="stable")
+    x = x[order]
+    first = np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1])))
+    return x[first], np.add.reduceat(np.concatenate([n for _, n in counts])[order], first)
+
+
+def _count_grams(folds: int):
+    """(gram, and for each fold its count) of texts (fold, text); a gram may come more than once."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        def wide():
+            x, n = _merged(held)
+            gram, at = np.unique(x // folds, return_inverse=True)
+            out = np.zeros((folds, len(gram)), dtype=np.int64)
+            out[x % folds, at] = n
+            return pa.RecordBatch.from_arrays([pa.array(gram), *map(pa.array, out)], ["gram", *(f"n{f}" for f in range(folds))])
+
+        held, loose = [], 0
+        for batch in batches:
+            fold = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            data, offsets = text_buffer(batch.column(1))
+            for i, j in pieces(offsets, PIECE):
+                room, first, last = _joined(data, offsets, i, j)
+                whose = np.repeat(fold[i:j], last - first + ORDER - 1)
+                for at in range(ORDER - 1, len(room), PIECE):
+                    g = grams(room[at - ORDER + 1 : at + PIECE])
+                    g = (g * folds + whose[at : at + PIECE])[g & 0xFF != PAD]
+                    if len(g):
+                        held.append(np.unique(g, return_counts=True))
+                        loose += len(held[-1][0])
+                    if loose > HELD:
+                        held, loose = [_merged(held)], 0
+                        if len(held[0][0]) > HELD:
+                            yield wide()
+                            held = []
+        if held:
+            yield wide()
+
+    return run
 
 
 class Model:
@@ -99,12 +148,7 @@ class Model:
         n = len(offsets) - 1
         out = np.zeros(n, dtype=np.int64)
         for i, j in pieces(offsets, PIECE):
-            begin = offsets[i : j + 1] - offsets[i]
-            lengths = np.diff(begin)
-            room = np.full(int(begin[-1]) + (ORDER - 1) * (j - i), PAD, dtype=np.uint8)
-            shift = np.arange(1, j - i + 1) * (ORDER - 1)
-            room[np.arange(begin[-1]) + np.repeat(shift, lengths)] = data[offsets[i] : offsets[j]]
-            first, last = begin[:-1] + shift, begin[1:] + shift
+            room, first, last = _joined(data, offsets, i, j)
             for at in range(ORDER - 1, len(room), PIECE):
                 g = grams(room[at - ORDER + 1 : at + PIECE])
                 upto = np.concatenate(([0], np.cumsum(self.log_probabilities(g))))
@@ -149,35 +193,48 @@ def _look_up(table: tuple, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def train(texts: DataFrame) -> dict:
-    """Tables of a model from texts (text): a DataFrame (kind, n, key, value) of log probabilities (kind 0) and weights (1), and the log probability of unseen bytes."""
-    counts = {ORDER: written(texts.select("text").mapInArrow(_count_grams, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")), "grams")}
-    for k in range(ORDER - 1, 0, -1):  # how many bytes stand before each shorter one
-        counts[k] = written(counts[k + 1].groupBy(F.col("gram").bitwiseAND(F.lit((1 << 8 * k) - 1)).alias("gram")).agg(F.count("*").alias("n")), "grams")
-    below, tables, unseen = None, [], -float(np.log(256))
+    """Tables of a model from texts (text): a DataFrame (kind, n, key, value) of log probabilities (kind 0) and weights (1), the number of its rows, and the log probability of unseen bytes."""
+    return train_folds(texts.select(F.lit(0).alias("fold"), "text"), 0)[-1]
+
+
+def train_folds(texts: DataFrame, folds: int) -> list[dict]:
+    """Models as of train() from texts (fold, text): for each fold that of all other folds, and at the end that of all texts."""
+    names, models = [f"n{f}" for f in range(max(folds, 1))], range(folds + 1)
+    low = lambda bytes_: F.col("gram").bitwiseAND(F.lit((1 << 8 * bytes_) - 1))
+    of_model = lambda values: F.element_at(F.array(*(F.lit(float(x)) for x in values)), F.col("model") + 1)
     in_units = lambda p: F.round(F.ln(p) * UNIT).cast("int").alias("value")
+    sums = texts.select("fold", "text").mapInArrow(_count_grams(len(names)), "gram long, " + ", ".join(f"{c} long" for c in names)).groupBy("gram").agg(*(F.sum(c).alias(c) for c in names))
+    whole = sum((F.col(c) for c in names[1:]), F.col(names[0]))
+    each = [whole - F.col(names[m]) if m < folds else whole for m in models]
+    each = F.array(*(F.struct(F.lit(m).alias("model"), n.alias("n")) for m, n in zip(models, each)))
+    counts = {ORDER: written(sums.select("gram", F.inline(each)).filter("n > 0"), "grams")}
+    for k in range(ORDER - 1, 0, -1):  # how many bytes stand before each shorter one
+        counts[k] = written(counts[k + 1].groupBy("model", low(k).alias("gram")).agg(F.count("*").alias("n")), "grams")
+    below, tables, unseen = None, [], []
     for k in range(1, ORDER + 1):
-        one = counts[k].agg(*(F.count_if(F.col("n") == i).alias(f"n{i}") for i in range(1, 5))).first()
-        d = discounts([one[f"n{i}"] for i in range(1, 5)])
-        discount = F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
-        held = [F.count_if(x) * F.lit(y) for x, y in zip((F.col("n") == 1, F.col("n") == 2, F.col("n") > 2), d)]
-        context = counts[k].groupBy(F.shiftright("gram", 8).alias("context")).agg(F.sum("n").alias("total"), (held[0] + held[1] + held[2]).alias("held"))
-        x = counts[k].withColumn("context", F.shiftright("gram", 8)).join(context, "context")
-        own = (F.col("n") - discount) / F.col("total")
+        ones = {r["model"]: r for r in counts[k].groupBy("model").agg(*(F.count_if(F.col("n") == i).alias(f"n{i}") for i in range(1, 5))).collect()}
+        d = [of_model(x) for x in zip(*(discounts([ones[m][f"n{i}"] if m in ones else 0 for i in range(1, 5)]) for m in models))]
+        held = [F.count_if(x) * y for x, y in zip((F.col("n") == 1, F.col("n") == 2, F.col("n") > 2), d)]
+        context = counts[k].groupBy("model", F.shiftright("gram", 8).alias("context")).agg(F.sum("n").alias("total"), (held[0] + held[1] + held[2]).alias("held"))
+        context = written(context, "contexts")
+        x = counts[k].withColumn("context", F.shiftright("gram", 8)).join(context, ["model", "context"])
+        own = (F.col("n") - F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])) / F.col("total")
         if k == 1:
-            first = context.first()
-            weight = first["held"] / first["total"] if first else 1.0
-            unseen = float(np.log(weight / 256))
-            x = x.select("gram", (own + F.lit(weight / 256)).alias("p"))
+            first = {r["model"]: r["held"] / r["total"] for r in context.collect()}
+            weights = [first.get(m, 1.0) / 256 for m in models]
+            unseen = [float(np.log(w)) for w in weights]
+            x = x.select("model", "gram", (own + of_model(weights)).alias("p"))
         else:
-            shorter = below.select(F.col("gram").alias("suffix"), F.col("p").alias("lower"))
-            x = x.join(shorter, F.col("gram").bitwiseAND(F.lit((1 << 8 * (k - 1)) - 1)) == F.col("suffix")).select("gram", (own + F.col("held") / F.col("total") * F.col("lower")).alias("p"))
-            tables.append(context.select(F.lit(1).alias("kind"), F.lit(k - 1).alias("n"), F.col("context").alias("key"), in_units(F.col("held") / F.col("total"))))
+            shorter = below.select("model", F.col("gram").alias("suffix"), F.col("p").alias("lower"))
+            x = x.withColumn("suffix", low(k - 1)).join(shorter, ["model", "suffix"]).select("model", "gram", (own + F.col("held") / F.col("total") * F.col("lower")).alias("p"))
+            tables.append(context.select("model", F.lit(1).alias("kind"), F.lit(k - 1).alias("n"), F.col("context").alias("key"), in_units(F.col("held") / F.col("total"))))
         below = written(x, "kneser-ney")
-        tables.append(below.select(F.lit(0).alias("kind"), F.lit(k).alias("n"), F.col("gram").alias("key"), in_units(F.col("p"))))
+        tables.append(below.select("model", F.lit(0).alias("kind"), F.lit(k).alias("n"), F.col("gram").alias("key"), in_units(F.col("p"))))
     table = tables[0]
     for t in tables[1:]:
         table = table.unionByName(t)
-    return {"table": written(table, "model"), "unseen": round(unseen * UNIT)}
+    entries = {r["model"]: r["count"] for r in table.groupBy("model").count().collect()}
+    return [{"table": table.filter(F.col("model") == m).drop("model"), "entries": entries.get(m, 0), "unseen": round(unseen[m] * UNIT)} for m in models]
 
 
 def discounts(n: list[int]) -> list[float]:
@@ -236,7 +293,7 @@ def log_likelihoods(docs: DataFrame, trained: dict, most: int = IN_MEMORY) -> Da
     """(key, doc_id, lang, n_bytes, log_p) of docs (key, doc_id, lang, text), a row for each; log_p in UNITs."""
     spark = docs.sparkSession
     docs = docs.select("key", "doc_id", "lang", "text")
-    if trained["table"].count() <= most:
+    if trained["entries"] <= most:
         return docs.mapInArrow(_score(spark.sparkContext.broadcast(in_memory(trained))), "key long, doc_id long, lang string, n_bytes long, log_p long")
     rows = written(docs.withColumn("row", F.monotonically_increasing_id()), "rows")
     # Shard by shard: each order of n-grams is joined with what the documents still lack.
@@ -263,25 +320,44 @@ def trusted(labels: DataFrame) -> DataFrame:
     return labels.filter("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(good.alias("good")).filter("good").select("doc_id")
 
 
-def sampled(docs: DataFrame, good: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """(doc_id) of about `sample` trusted documents of each language: each is taken with the chance that makes this the expected number, and with half at most."""
+def sampled(docs: DataFrame, good: DataFrame, sample: int | None = None) -> DataFrame:
+    """(doc_id) of the documents that train the model: all trusted ones, or, for a caller who gives `sample`, each with the chance that makes this the expected number of a language."""
     near = docs.select("doc_id", "lang").join(good, "doc_id", "left_semi").distinct()
+    if sample is None:
+        return near.select("doc_id").distinct()
     counts = near.groupBy(F.col("lang").alias("its")).agg(F.count("*").alias("n"))
     drawn = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1 << 30)) * F.col("n")
-    half = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1 << 30)) < (1 << 29)
-    return near.join(counts, F.col("lang").eqNullSafe(F.col("its"))).filter((drawn < sample * (1 << 30)) & half).select("doc_id").distinct()
+    return near.join(counts, F.col("lang").eqNullSafe(F.col("its"))).filter(drawn < sample * (1 << 30)).select("doc_id").distinct()
+
+
+def _of_ids(texts: DataFrame, ids: DataFrame, n: int) -> DataFrame:
+    """The rows of texts whose doc_id is among the n of ids; texts aren't shuffled.
+
+    Ids are looked up by hash in a broadcast bitmap of bounded size, whose false hits, few, are found without the texts and left out.
+    """
+    place = F.pmod(F.xxhash64(F.lit(SEED + 2), "doc_id"), F.lit(min(MOST_BITS, 1 << (ID_BITS * n).bit_length())))
+    its = {"bucket": F.shiftright(place, 15), "bit": place.bitwiseAND(F.lit((1 << 15) - 1)).cast("int")}
+    maps = written(ids.select(*(x.alias(c) for c, x in its.items())).groupBy("bucket").agg(F.bitmap_construct_agg(F.col("bit").cast("long")).alias("map")), "bitmap")
+    hit = F.expr("getbit(cast(conv(hex(substring(map, bit div 8 + 1, 1)), 16, 10) as int), bit % 8) = 1")
+    among = lambda rows: rows.filter("doc_id is not null").withColumns(its).join(F.broadcast(maps), "bucket").filter(hit).select(rows.columns)
+    return among(texts).join(written(among(texts.select("doc_id")).join(ids, "doc_id", "left_anti").distinct(), "false-hits"), "doc_id", "left_anti").select(texts.columns)
 
 
-def _scored(texts: DataFrame, labels: DataFrame, sample: int, quantile: float, margin: float, most: int) -> DataFrame:
+def _scored(texts: DataFrame, labels: DataFrame, sample: int | None, quantile: float, margin: float, most: int) -> DataFrame:
     """(key, doc_id, lang, n_bytes, perplexity, limit, kept) for each row of texts (key, doc_id, lang, text)."""
     good = written(trusted(labels), "trusted")
-    chosen = written(sampled(texts, good, sample), "sample")
-    trained = train(written(texts.join(chosen, "doc_id", "left_semi").select("text"), "training"))
+    chosen = written(sampled(texts, good, sample), "chosen")
+    fold = F.pmod(F.xxhash64(F.lit(SEED + 1), "doc_id"), F.lit(FOLDS)).cast("int").alias("fold")
+    training = _of_ids(texts, chosen, chosen.count()).select("key", "doc_id", "lang", "text", fold)
+    *others, trained = train_folds(training, FOLDS)
     perplexity = F.when(F.col("n_bytes") > 0, F.exp(-F.col("log_p") / UNIT / F.col("n_bytes"))).alias("perplexity")
     length_class = F.greatest(F.lit(CLASSES[0]), F.least(F.lit(CLASSES[1]), F.floor(F.log2(F.greatest("n_bytes", F.lit(1)))).cast("int"))).alias("length_class")
-    found = written(log_likelihoods(texts, trained, most).select("key", "doc_id", "lang", "n_bytes", perplexity, length_class), "perplexities")
-    sure = found.filter("perplexity is not null").join(good, "doc_id", "left_semi").join(chosen, "doc_id", "left_anti")
-    sure = written(sure.select("lang", "length_class", F.ceil(F.ln("perplexity") / STEP).alias("step")), "sure")
+    judged = lambda rows, model: log_likelihoods(rows, model, most).select("key", "doc_id", "lang", "n_bytes", perplexity, length_class)
+    found = written(judged(texts, trained), "perplexities")
+    sure = found.join(good, "doc_id", "left_semi").join(chosen, "doc_id", "left_anti").select(found.columns)
+    for f, model in enumerate(others):
+        sure = sure.unionByName(judged(training.filter(F.col("fold") == f), model))
+    sure = written(sure.filter("perplexity is not null").select("lang", "length_class", F.ceil(F.ln("perplexity") / STEP).alias("step")), "sure")
     of_all = sure.agg(F.expr(f"percentile(step, {quantile})")).first()[0]
     if of_all is None:
         limits = found.withColumn("limit", F.lit(None).cast("double"))
@@ -302,7 +378,7 @@ def _pulled(sure: DataFrame, quantile: float, by: list[str], towards, prior: int
     return sure.groupBy(*by).agg(((own * n + towards * prior) / (n + prior)).alias("at"))
 
 
-def scored(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, quantile: float = QUANTILE, margin: float = MARGIN, most: int = IN_MEMORY) -> DataFrame:
+def scored(docs: DataFrame, labels: DataFrame, sample: int | None = None, quantile: float = QUANTILE, margin: float = MARGIN, most: int = IN_MEMORY) -> DataFrame:
     """(doc_id, lang, n_bytes, perplexity, limit, kept) for each row of docs."""
     texts = docs.select(F.lit(0).cast("long").alias("key"), F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     return _scored(texts, labels, sample, quantile, margin, most).drop("key")
@@ -317,5 +393,5 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of docs that stay, each judged by itself."""
     rows = keyed(docs)
     texts = rows.select("key", F.col("id").alias("doc_id"), F.col("row")["lang"].cast("string").alias("lang"), "text")
-    stay = _scored(texts, labels, SAMPLE, QUANTILE, MARGIN, IN_MEMORY).filter("kept").select("key")
+    stay = _scored(texts, labels, None, QUANTILE, MARGIN, IN_MEMORY).filter("kept").select("key")
     return rows.select("key", "row").join(stay, "key", "left_semi").select("row.*")

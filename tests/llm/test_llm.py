@@ -634,6 +634,40 @@ def test_quality_without_labels_keeps_texts(spark):
     assert {r["doc_id"]: r["kept"] for r in quality.scored(docs, none).collect()} == {1: True, 2: False}
 
 
+def test_quality_counts_all_trusted_texts(spark):
+    """The model has the counts of each trusted text, and each sets limits by the model of the other folds."""
+    good, junk = clean_and_junk(40)
+    texts, held = dict(good + junk), dict(good[:24])
+    docs = documents(spark, good + junk)
+    labels = spark.createDataFrame([(i, 1, 0) for i in held], "doc_id long, quality int, toxic int")
+    assert {r["doc_id"] for r in quality.sampled(docs, quality.trusted(labels)).collect()} == set(held)
+    fold = {r["doc_id"]: r["fold"] for r in docs.select("doc_id", F.pmod(F.xxhash64(F.lit(quality.SEED + 1), "doc_id"), F.lit(quality.FOLDS)).alias("fold")).collect()}
+    assert {len(t) // 256 for t in held.values()} == {1} and {fold[i] for i in held} == set(range(quality.FOLDS))
+
+    def log_perplexity(p, text):
+        x = b"\xff" * (quality.ORDER - 1) + text.encode()
+        return -sum(np.log(p(x[i : i + quality.ORDER - 1], x[i + quality.ORDER - 1 : i + quality.ORDER])) for i in range(len(x) - quality.ORDER + 1)) / len(text.encode())
+
+    whole, others = brute_kneser_ney(held.values()), [brute_kneser_ney([t for i, t in held.items() if fold[i] != f]) for f in range(quality.FOLDS)]
+    steps = [np.ceil(log_perplexity(others[fold[i]], t) / quality.STEP) for i, t in held.items()]
+    limit = np.exp(np.percentile(steps, 100 * quality.QUANTILE) * quality.STEP) * quality.MARGIN
+    got = {r["doc_id"]: r for r in quality.scored(docs, labels).collect()}
+    for i in (0, 7, 23, 30, 10_000):
+        assert got[i]["perplexity"] == pytest.approx(np.exp(log_perplexity(whole, texts[i])), rel=1e-5)
+        if got[i]["n_bytes"] < 512:
+            assert got[i]["limit"] == pytest.approx(limit, rel=2 * quality.STEP)
+
+
+@pytest.mark.parametrize("bits", [32, 1])
+def test_quality_texts_of_ids(spark, monkeypatch, bits):
+    monkeypatch.setattr(quality, "ID_BITS", bits)
+    r = random.Random(31)
+    ids = [r.randrange(-(2**40), 2**40) for _ in range(600)]
+    docs, chosen = documents(spark, [(i, f"t{i}") for i in [*ids, *ids[:9], None]]), set(ids[::3])
+    got = quality._of_ids(docs, spark.createDataFrame([(i,) for i in chosen], "doc_id long"), len(chosen))
+    assert got.columns == docs.columns and sorted(x["text"] for x in got.collect()) == sorted(f"t{i}" for i in ids + ids[:9] if i in chosen)
+
+
 # Shared
 
 
