@@ -89,10 +89,11 @@ def _count_grams(folds: int):
 
         def wide():
             x, n = _merged(held)
-            gram, at = np.unique(x // folds, return_inverse=True)
-            out = np.zeros((folds, len(gram)), dtype=np.int64)
-            out[x % folds, at] = n
-            return pa.RecordBatch.from_arrays([pa.array(gram), *map(pa.array, out)], ["gram", *(f"n{f}" for f in range(folds))])
+            gram = x // folds
+            new = np.concatenate(([True], gram[1:] != gram[:-1]))
+            out = np.zeros((folds, int(new.sum())), dtype=np.int64)
+            out[x % folds, np.cumsum(new) - 1] = n
+            return pa.RecordBatch.from_arrays([pa.array(gram[new]), *map(pa.array, out)], ["gram", *(f"n{f}" for f in range(folds))])
 
         held, loose = [], 0
         for batch in batches:
@@ -107,7 +108,7 @@ def _count_grams(folds: int):
                     if len(g):
                         held.append(np.unique(g, return_counts=True))
                         loose += len(held[-1][0])
-                    if loose > HELD:
+                    if 2 * loose > HELD:
                         held, loose = [_merged(held)], 0
                         if len(held[0][0]) > HELD:
                             yield wide()
@@ -246,7 +247,7 @@ def discounts(n: list[int]) -> list[float]:
 
 def in_memory(trained: dict) -> tuple:
     """What Model() takes, as sorted arrays."""
-    x = trained["table"].toArrow()
+    x = trained["table"].select(F.col("kind").cast("byte"), F.col("n").cast("byte"), "key", "value").toArrow()
     kind, n, key, value = (x.column(c).to_numpy() for c in ("kind", "n", "key", "value"))
 
     def part(k, order):
@@ -260,19 +261,20 @@ def in_memory(trained: dict) -> tuple:
 _built: list[Model] = []
 
 
-def _model(arrays: tuple) -> Model:
-    """The worker's model; only the latest is held."""
-    if not _built or _built[0].token != arrays[0]:
+def _model(token: str, arrays) -> Model:
+    """The worker's model; only the latest is held, and not the arrays that it was built from (a broadcast loads them again when asked)."""
+    if not _built or _built[0].token != token:
         _built[:] = []
-        _built.append(Model(*arrays))
+        _built.append(Model(*arrays.value))
+        vars(arrays).pop("_value", None)
     return _built[0]
 
 
-def _score(model):
+def _score(token: str, model):
     def run(batches):
         import pyarrow as pa
 
-        m = _model(model.value)
+        m = _model(token, model)
         for batch in batches:
             data, offsets = text_buffer(batch.column(3))
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(np.diff(offsets), pa.int64()), pa.array(m.totals(data, offsets), pa.int64())], ["key", "doc_id", "lang", "n_bytes", "log_p"])
@@ -294,7 +296,8 @@ def log_likelihoods(docs: DataFrame, trained: dict, most: int = IN_MEMORY) -> Da
     spark = docs.sparkSession
     docs = docs.select("key", "doc_id", "lang", "text")
     if trained["entries"] <= most:
-        return docs.mapInArrow(_score(spark.sparkContext.broadcast(in_memory(trained))), "key long, doc_id long, lang string, n_bytes long, log_p long")
+        arrays = in_memory(trained)
+        return docs.mapInArrow(_score(arrays[0], spark.sparkContext.broadcast(arrays)), "key long, doc_id long, lang string, n_bytes long, log_p long")
     rows = written(docs.withColumn("row", F.monotonically_increasing_id()), "rows")
     # Shard by shard: each order of n-grams is joined with what the documents still lack.
     left = rows.select("row", "text").mapInArrow(_doc_grams, "row long, gram long, times long").withColumn("log_p", F.lit(0).cast("long"))

@@ -658,6 +658,17 @@ def test_quality_counts_all_trusted_texts(spark):
             assert got[i]["limit"] == pytest.approx(limit, rel=2 * quality.STEP)
 
 
+def test_pipeline_quality_learns_every_trusted_text(spark):
+    """Trusted texts of a word of their own are too few to set the limit; they stay because the model counts each."""
+    r = random.Random(32)
+    words = "the of and river mountain people walk slowly under old trees while light falls on water near small houses".split()
+    rare = {5: "漢字仮名", 25: "한국어문", 45: "ещёслово", 65: "λόγοςἐστ"}
+    good = [(i, " ".join(rare.get(i, r.choice(words)) for _ in range(30))) for i in range(900)]
+    labels = spark.createDataFrame([(i, 1, 0) for i, _ in good], "doc_id long, quality int, toxic int")
+    kept = {x["doc_id"] for x in quality.keep_good(documents(spark, good), labels).collect()}
+    assert set(rare) <= kept and len(kept) >= 890
+
+
 @pytest.mark.parametrize("bits", [32, 1])
 def test_quality_texts_of_ids(spark, monkeypatch, bits):
     monkeypatch.setattr(quality, "ID_BITS", bits)
