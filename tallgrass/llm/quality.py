@@ -1,7 +1,8 @@
 """Quality classifier: an interpolated modified Kneser-Ney model of the bytes of UTF-8, trained on trusted text.
 
-Training counts n-grams of all trusted labelled rows (quality 1, toxic 0), whole texts. Counts, continuation counts, context totals and
-interpolated probabilities are tables keyed by n-gram and joined shard by shard. Bytes leave no character of any script without counts of its own.
+Training counts n-grams of all trusted labelled rows (quality 1, toxic 0), whole texts, into a table keyed by n-gram. While its rows are few (below),
+the driver computes continuation counts, context totals and interpolated probabilities from it; else these are tables too, joined shard by shard.
+Bytes leave no character of any script without counts of its own.
 Scoring gives each document its perplexity per byte over its whole text.
 
 A document is kept when its perplexity is at most its limit: the QUANTILE of the perplexities of all trusted labelled documents of its
@@ -11,8 +12,8 @@ logarithm is averaged with its language's, which weighs CLASS_PRIOR documents, a
 So limits move smoothly with the number of documents, and one without a trusted document has the limit of all.
 
 A model grows with the distinct n-grams of the trusted text, and its entries are counted before use: up to IN_MEMORY of them go to every
-task as hash tables, one model at a time; a larger model is joined with the documents' n-grams instead, shard by shard. Both add up the same whole numbers,
-logarithms in millionths, so that results agree to the last bit.
+task as hash tables, one model at a time; a larger model is joined with the documents' n-grams instead, shard by shard. Both add up whole numbers,
+logarithms in millionths, and agree to the last bit on one model. The two ways of training do the same arithmetic in the same order.
 
 Null or empty text: perplexity null, not kept. Without any trusted document there is no limit, and all others stay.
 Very long texts are scored whole, in pieces. Repeated rows, ids or null ids give a row each. A null language is one of its own. Labels that repeat or
@@ -193,22 +194,78 @@ def _look_up(table: tuple, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return values[at], found
 
 
-def train(texts: DataFrame) -> dict:
-    """Tables of a model from texts (text): a DataFrame (kind, n, key, value) of log probabilities (kind 0) and weights (1), the number of its rows, and the log probability of unseen bytes."""
-    return train_folds(texts.select(F.lit(0).alias("fold"), "text"), 0)[-1]
+def train(texts: DataFrame, most: int = IN_MEMORY) -> dict:
+    """A model from texts (text): the number of its entries, the log probability of unseen bytes, and log probabilities (kind 0) and weights (1) as arrays of each order or as a DataFrame (kind, n, key, value)."""
+    return train_folds(texts.select(F.lit(0).alias("fold"), "text"), 0, most)[-1]
 
 
-def train_folds(texts: DataFrame, folds: int) -> list[dict]:
-    """Models as of train() from texts (fold, text): for each fold that of all other folds, and at the end that of all texts."""
-    names, models = [f"n{f}" for f in range(max(folds, 1))], range(folds + 1)
+def train_folds(texts: DataFrame, folds: int, most: int = IN_MEMORY) -> list[dict]:
+    """Models as of train() from texts (fold, text): for each fold that of all other folds, and at the end that of all texts.
+
+    Models of up to `most` entries are computed by the driver, from counts of at most half as many n-grams, and are arrays; larger ones are joined tables.
+    """
+    names = [f"n{f}" for f in range(max(folds, 1))]
+    sums = texts.select("fold", "text").mapInArrow(_count_grams(len(names)), "gram long, " + ", ".join(f"{c} long" for c in names)).groupBy("gram").agg(*(F.sum(c).alias(c) for c in names))
+    sums = written(sums, "grams")
+    if 2 * sums.count() <= most:
+        found = _small_models(sums, folds)
+        if max(m["entries"] for m in found) <= most:
+            return found
+    return _joined_models(sums, folds)
+
+
+def _small_models(sums: DataFrame, folds: int) -> list[dict]:
+    x = sums.toArrow()
+    gram = x.column("gram").to_numpy()
+    order = np.argsort(gram)
+    gram, of_fold = gram[order], [c.to_numpy()[order] for c in x.columns[1:]]
+    del x, order
+    out = []
+    for m in range(folds + 1):
+        n = sum(c for f, c in enumerate(of_fold) if f != m or m == folds)
+        tables, weights, unseen = _kneser_ney(gram[n > 0], n[n > 0])
+        out.append({"arrays": (tables, weights), "entries": sum(len(k) for k, _ in tables + weights), "unseen": unseen})
+    return out
+
+
+def _kneser_ney(gram: np.ndarray, n: np.ndarray) -> tuple[list, list, int]:
+    """What Model() takes, from the sorted n-grams of the highest order, of which each is there, and their counts."""
+    in_units = lambda p: np.rint(np.log(p) * UNIT).astype(np.int32)
+    counts = {ORDER: (gram, n)}
+    for k in range(ORDER - 1, 0, -1):  # how many bytes stand before each shorter one
+        counts[k] = np.unique(counts[k + 1][0] & (1 << 8 * k) - 1, return_counts=True)
+    tables, weights, weight = [], [], 1 / 256
+    for k in range(1, ORDER + 1):
+        gram, n = counts.pop(k)
+        kind = np.minimum(n, 3)
+        d = np.array([0, *discounts([int(np.count_nonzero(n == i)) for i in range(1, 5)])])
+        context = gram >> 8
+        first = np.flatnonzero(np.concatenate(([True], context[1:] != context[:-1]))[: len(gram)])
+        each = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(gram))))
+        total = np.bincount(each, n, len(first))
+        held = [np.bincount(each[kind == i], minlength=len(first)) * d[i] for i in (1, 2, 3)]
+        left = (held[0] + held[1] + held[2]) / total
+        own = (n - d[kind]) / total[each]
+        if k == 1:
+            weight = float(left[0]) / 256 if len(left) else weight
+            p = own + weight
+        else:
+            p = own + left[each] * lower[np.searchsorted(shorter, gram & (1 << 8 * (k - 1)) - 1)]
+            weights.append((context[first], in_units(left)))
+        tables.append((gram, in_units(p)))
+        shorter, lower = gram, p
+    return tables, weights, round(float(np.log(weight)) * UNIT)
+
+
+def _joined_models(sums: DataFrame, folds: int) -> list[dict]:
+    names, models = sums.columns[1:], range(folds + 1)
     low = lambda bytes_: F.col("gram").bitwiseAND(F.lit((1 << 8 * bytes_) - 1))
     of_model = lambda values: F.element_at(F.array(*(F.lit(float(x)) for x in values)), F.col("model") + 1)
     in_units = lambda p: F.round(F.ln(p) * UNIT).cast("int").alias("value")
-    sums = texts.select("fold", "text").mapInArrow(_count_grams(len(names)), "gram long, " + ", ".join(f"{c} long" for c in names)).groupBy("gram").agg(*(F.sum(c).alias(c) for c in names))
     whole = sum((F.col(c) for c in names[1:]), F.col(names[0]))
     each = [whole - F.col(names[m]) if m < folds else whole for m in models]
     each = F.array(*(F.struct(F.lit(m).alias("model"), n.alias("n")) for m, n in zip(models, each)))
-    counts = {ORDER: written(sums.select("gram", F.inline(each)).filter("n > 0"), "grams")}
+    counts = {ORDER: sums.select("gram", F.inline(each)).filter("n > 0")}
     for k in range(ORDER - 1, 0, -1):  # how many bytes stand before each shorter one
         counts[k] = written(counts[k + 1].groupBy("model", low(k).alias("gram")).agg(F.count("*").alias("n")), "grams")
     below, tables, unseen = None, [], []
@@ -247,6 +304,8 @@ def discounts(n: list[int]) -> list[float]:
 
 def in_memory(trained: dict) -> tuple:
     """What Model() takes, as sorted arrays."""
+    if "arrays" in trained:
+        return uuid.uuid4().hex, *trained["arrays"], trained["unseen"]
     x = trained["table"].select(F.col("kind").cast("byte"), F.col("n").cast("byte"), "key", "value").toArrow()
     kind, n, key, value = (x.column(c).to_numpy() for c in ("kind", "n", "key", "value"))
 
@@ -292,7 +351,7 @@ def _doc_grams(batches):
 
 
 def log_likelihoods(docs: DataFrame, trained: dict, most: int = IN_MEMORY) -> DataFrame:
-    """(key, doc_id, lang, n_bytes, log_p) of docs (key, doc_id, lang, text), a row for each; log_p in UNITs."""
+    """(key, doc_id, lang, n_bytes, log_p) of docs (key, doc_id, lang, text), a row for each; log_p in UNITs. most: as it was given to train()."""
     spark = docs.sparkSession
     docs = docs.select("key", "doc_id", "lang", "text")
     if trained["entries"] <= most:
@@ -352,7 +411,7 @@ def _scored(texts: DataFrame, labels: DataFrame, sample: int | None, quantile: f
     chosen = written(sampled(texts, good, sample), "chosen")
     fold = F.pmod(F.xxhash64(F.lit(SEED + 1), "doc_id"), F.lit(FOLDS)).cast("int").alias("fold")
     training = _of_ids(texts, chosen, chosen.count()).select("key", "doc_id", "lang", "text", fold)
-    *others, trained = train_folds(training, FOLDS)
+    *others, trained = train_folds(training, FOLDS, most)
     perplexity = F.when(F.col("n_bytes") > 0, F.exp(-F.col("log_p") / UNIT / F.col("n_bytes"))).alias("perplexity")
     length_class = F.greatest(F.lit(CLASSES[0]), F.least(F.lit(CLASSES[1]), F.floor(F.log2(F.greatest("n_bytes", F.lit(1)))).cast("int"))).alias("length_class")
     judged = lambda rows, model: log_likelihoods(rows, model, most).select("key", "doc_id", "lang", "n_bytes", perplexity, length_class)

@@ -2,6 +2,7 @@
 
 import hashlib
 import io
+import os
 import random
 import re
 from collections import Counter, defaultdict
@@ -669,6 +670,27 @@ def test_pipeline_quality_learns_every_trusted_text(spark):
     assert set(rare) <= kept and len(kept) >= 890
 
 
+def test_quality_writes_few_tables(spark):
+    """Small models are computed from one table of counts; each table that tasks write costs processes and memory."""
+    good, junk = clean_and_junk(40)
+    labels = spark.createDataFrame([(i, 1, 0) for i, _ in good], "doc_id long, quality int, toxic int")
+    before = set(os.listdir(common.shared_dir(spark)))
+    assert len(quality.keep_good(documents(spark, good + junk), labels).collect()) >= 38
+    made = Counter(x.split("-")[1] for x in set(os.listdir(common.shared_dir(spark))) - before)
+    assert made["grams"] == 1 and made.total() <= 8
+
+
+@pytest.mark.parametrize("n", [0, 1, 40])
+def test_quality_trains_alike_in_both_ways(spark, n):
+    good, junk = clean_and_junk(40)
+    texts = spark.createDataFrame([(i % 2, t) for i, t in (good + junk)[:n]], "fold int, text string")
+    small, joined = quality.train_folds(texts, 2), quality.train_folds(texts, 2, -1)
+    for a, b in zip(small, joined, strict=True):
+        assert "arrays" in a and (a["entries"], a["unseen"]) == (b["entries"], b["unseen"])
+        for x, y in zip(sum(quality.in_memory(a)[1:3], []), sum(quality.in_memory(b)[1:3], []), strict=True):
+            assert (x[0] == y[0]).all() and (x[1] == y[1]).all()
+
+
 @pytest.mark.parametrize("bits", [32, 1])
 def test_quality_texts_of_ids(spark, monkeypatch, bits):
     monkeypatch.setattr(quality, "ID_BITS", bits)
