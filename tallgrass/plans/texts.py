@@ -96,8 +96,8 @@ def q_title_filter(spark, d):
 
 
 def q_clean_text(spark, d):
-    """Whole pages without entities and tags, letters and digits in lower case."""
-    p = table(spark, d, "pages").select("page_id", text.clean_text(F.col("html")).alias("t"))
+    """Whole pages without entities and tags, letters and digits in lower case; as in the SQL, an entity ends with a semicolon."""
+    p = table(spark, d, "pages").select("page_id", text.clean_text(F.col("html"), text.closed_unescaped).alias("t"))
     return p.select("page_id", F.length("t").cast("long").alias("n"), F.sha2("t", 256).alias("digest"))
 
 

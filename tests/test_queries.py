@@ -28,3 +28,11 @@ def test_sentences_keep_digits_and_lose_spaces(spark, tmp_path):
     first = spark.read.parquet(f"{folder}/documents.parquet").filter("doc_id = 0").select(text.sentences(F.col("text"))).first()[0]
     assert first == ["0997 | a.", "| 1b.", "2", "3 c 3", "0"]
     _same(spark, "q_sentences", folder, con)
+
+
+def test_clean_text_keeps_entities_that_are_cut_off(spark, tmp_path):
+    pages = ["<title>a &amp; b&amp</title>x", "&quot;A&middot;b&copy&quo;&quot", "&am &a; &ampz; &amp;amp &amp;quot; &", "<b>&amp;&amp;</b>C&amp", "", None, "plain <i>T\next</i> 가A"]
+    folder, con = _folder(spark, tmp_path, pages=(list(enumerate(pages)), "page_id long, html string"))
+    _same(spark, "q_clean_text", folder, con)
+    x = spark.createDataFrame([("&lt;b&gt;Up&lt;/b&gt; &#65;&#x42;&amp &hellip;&nosuch; &amp",)], "t string")
+    assert tuple(x.select(text.clean_text(F.col("t")), text.clean_text(F.col("t"), text.closed_unescaped)).first()) == ("up ab nosuch", "up ab amp nosuch amp")
