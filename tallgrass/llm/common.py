@@ -89,6 +89,25 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str) -> DataFrame:
     return dealt.join(spread, [key, "piece"]).drop("piece")
 
 
+#: Bits for each id of a set that rows are filtered by, and for all of it; they change what is broadcast, not the result.
+ID_BITS, MOST_BITS, ID_SEED = 32, 1 << 27, 13
+
+
+def among(rows: DataFrame, ids: DataFrame, column: str, n: int | None = None, bits: int | None = None, cut=lambda df, tag: df) -> DataFrame:
+    """The rows whose column, a long, is among ids, a table of n distinct values of the same column that is read twice; rows aren't shuffled.
+
+    Ids are looked up by hash in a broadcast bitmap of bounded size, whose false hits, few, are found on the column alone and left out.
+    cut is written() where the result is used more than once.
+    """
+    n, names = ids.count() if n is None else n, [quoted(c) for c in rows.columns]
+    place = F.pmod(F.xxhash64(F.lit(ID_SEED), column), F.lit(min(MOST_BITS, 1 << ((ID_BITS if bits is None else bits) * n).bit_length())))
+    its = {"bucket": F.shiftright(place, 15), "bit": place.bitwiseAND(F.lit((1 << 15) - 1)).cast("int")}
+    maps = cut(ids.select(*(x.alias(c) for c, x in its.items())).groupBy("bucket").agg(F.bitmap_construct_agg(F.col("bit").cast("long")).alias("map")), "bitmap")
+    hit = F.expr("getbit(cast(conv(hex(substring(map, bit div 8 + 1, 1)), 16, 10) as int), bit % 8) = 1")
+    near = lambda x: x.filter(F.col(column).isNotNull()).withColumns(its).join(F.broadcast(maps), "bucket").filter(hit).select(x.columns)
+    return near(rows).join(written(near(rows.select(column)).join(ids, column, "left_anti").distinct(), "false-hits"), column, "left_anti").select(*names)
+
+
 def open_shared(path: str, mode: str):
     """A file below the shared folder, for reading from any place (r) or for writing (w)."""
     from pyarrow import fs

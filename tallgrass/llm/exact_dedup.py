@@ -2,7 +2,8 @@
 
 Texts are equal when identical after each run of white space becomes one space. Each task first folds its own copies, so that
 a group of any size sends one record a task; then records are dealt by digest, and each task partitions its share to spill
-files, again and again with other bits of the digest, until a bucket's distinct contents fit the table's budget.
+files, again and again with other bits of the digest, until a bucket's distinct contents fit the table's budget. Tasks grow
+in number with the bytes of text, so that few shares need spill files, which would take the disk of all texts once more.
 
 Members find their group through its digest; frequent digests are dealt to many tasks, so a group of copies of any size is
 spread. Contents whose digests are equal and that differ would stay apart in the table.
@@ -21,10 +22,10 @@ import tempfile
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallgrass.llm.common import id_back, id_key, join_groups, keyed, quoted, written
+from tallgrass.llm.common import among, id_back, id_key, join_groups, keyed, quoted, written
 
-#: Bytes of distinct contents that a table holds.
-BUDGET = 48 << 20
+#: Bytes of distinct contents that a table holds, and of texts for each task that groups them: with both, only what hashes unevenly goes to spill files.
+BUDGET, SHARE = 48 << 20, 16 << 20
 _WAYS = 16
 
 
@@ -141,7 +142,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     content = normalised(text_col)
     records = docs.select(F.unhex(F.sha2(content, 256)).alias("digest"), content.alias("content"), id_key(id_col).alias("id"), F.lit(1).cast("long").alias("rows"))
     schema = "digest binary, content string, id long, rows long"
-    return records.mapInArrow(_fold, schema).repartition("digest").mapInArrow(_grace, "digest binary, keep long, group_size long")
+    size = docs.agg(F.sum(F.octet_length(quoted(text_col)).cast("long"))).first()[0] or 0
+    parts = max(docs.sparkSession.sparkContext.defaultParallelism, -(-size // SHARE))
+    return records.mapInArrow(_fold, schema).repartition(parts, "digest").mapInArrow(_grace, "digest binary, keep long, group_size long")
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -156,7 +159,7 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """The rows of docs, the first of each distinct normalised text, with the columns of docs."""
     rows = keyed(docs, id_col, text_col)
     stay = exact_groups(rows, "key", "text").select(F.col("keep").alias("key"))
-    return rows.select("key", "row").join(stay, "key", "left_semi").select("row.*")
+    return among(rows.select("key", "row"), written(stay, "stay"), "key").select("row.*")
 
 
 def op5_exact_dedup(spark, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallgrass.llm.common import id_back, id_key, join_groups, keyed, mix, quoted, written
+from tallgrass.llm.common import among, id_back, id_key, join_groups, keyed, mix, quoted, written
 from tallgrass.llm.components import components
 from tallgrass.llm.shingles import WordSets, normalised, shingle_sets
 
@@ -271,4 +271,4 @@ def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """The rows of docs that come first, by id, of their groups, with the columns of docs."""
     rows = keyed(docs, id_col, text_col)
     stay = near_groups(rows, "key", "text").filter("id = component_id").select(F.col("id").alias("key"))
-    return rows.select("key", "row").join(stay, "key", "left_semi").select("row.*")
+    return among(rows.select("key", "row"), written(stay, "stay"), "key").select("row.*")

@@ -29,10 +29,11 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallgrass.llm.common import keyed, pieces, text_buffer, written
+from tallgrass.llm.common import ID_BITS, among, keyed, pieces, text_buffer, written
 
 ORDER, FOLDS, QUANTILE, MARGIN, SEED = 6, 2, 0.995, 1.05, 11
-IN_MEMORY = 4_000_000
+#: Entries of a model that tasks hold, and n-grams from which the driver computes models.
+IN_MEMORY, ON_DRIVER = 8_000_000, 2_500_000
 #: Documents that a language's limit weighs beside its length class, and that the limit of all weighs beside a language.
 CLASS_PRIOR, LANGUAGE_PRIOR = 100, 10
 #: Lengths count by powers of two, from 2**6 or less to 2**11 or more bytes: short texts vary more.
@@ -43,8 +44,6 @@ STEP = 0.002
 PIECE = 1 << 18
 #: Different n-grams whose counts a task holds before it hands them on.
 HELD = 1 << 20
-#: Bits for each id of a set that texts are filtered by, and for all of it; they change what is broadcast, not the result.
-ID_BITS, MOST_BITS = 32, 1 << 27
 #: Stands before a text; no byte of UTF-8 has this value.
 PAD = 0xFF
 #: Logarithms are whole numbers of this fraction.
@@ -202,12 +201,12 @@ def train(texts: DataFrame, most: int = IN_MEMORY) -> dict:
 def train_folds(texts: DataFrame, folds: int, most: int = IN_MEMORY) -> list[dict]:
     """Models as of train() from texts (fold, text): for each fold that of all other folds, and at the end that of all texts.
 
-    Models of up to `most` entries are computed by the driver, from counts of at most half as many n-grams, and are arrays; larger ones are joined tables.
+    Models of up to `most` entries are computed by the driver, from counts of at most half as many n-grams and at most ON_DRIVER, and are arrays; larger ones are joined tables.
     """
     names = [f"n{f}" for f in range(max(folds, 1))]
     sums = texts.select("fold", "text").mapInArrow(_count_grams(len(names)), "gram long, " + ", ".join(f"{c} long" for c in names)).groupBy("gram").agg(*(F.sum(c).alias(c) for c in names))
     sums = written(sums, "grams")
-    if 2 * sums.count() <= most:
+    if sums.count() <= min(most // 2, ON_DRIVER):
         found = _small_models(sums, folds)
         if max(m["entries"] for m in found) <= most:
             return found
@@ -393,16 +392,8 @@ def sampled(docs: DataFrame, good: DataFrame, sample: int | None = None) -> Data
 
 
 def _of_ids(texts: DataFrame, ids: DataFrame, n: int) -> DataFrame:
-    """The rows of texts whose doc_id is among the n of ids; texts aren't shuffled.
-
-    Ids are looked up by hash in a broadcast bitmap of bounded size, whose false hits, few, are found without the texts and left out.
-    """
-    place = F.pmod(F.xxhash64(F.lit(SEED + 2), "doc_id"), F.lit(min(MOST_BITS, 1 << (ID_BITS * n).bit_length())))
-    its = {"bucket": F.shiftright(place, 15), "bit": place.bitwiseAND(F.lit((1 << 15) - 1)).cast("int")}
-    maps = written(ids.select(*(x.alias(c) for c, x in its.items())).groupBy("bucket").agg(F.bitmap_construct_agg(F.col("bit").cast("long")).alias("map")), "bitmap")
-    hit = F.expr("getbit(cast(conv(hex(substring(map, bit div 8 + 1, 1)), 16, 10) as int), bit % 8) = 1")
-    among = lambda rows: rows.filter("doc_id is not null").withColumns(its).join(F.broadcast(maps), "bucket").filter(hit).select(rows.columns)
-    return among(texts).join(written(among(texts.select("doc_id")).join(ids, "doc_id", "left_anti").distinct(), "false-hits"), "doc_id", "left_anti").select(texts.columns)
+    """The rows of texts whose doc_id is among the n of ids; texts aren't shuffled."""
+    return among(texts, ids, "doc_id", n, ID_BITS, written)
 
 
 def _scored(texts: DataFrame, labels: DataFrame, sample: int | None, quantile: float, margin: float, most: int) -> DataFrame:
@@ -456,4 +447,4 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rows = keyed(docs)
     texts = rows.select("key", F.col("id").alias("doc_id"), F.col("row")["lang"].cast("string").alias("lang"), "text")
     stay = _scored(texts, labels, None, QUANTILE, MARGIN, IN_MEMORY).filter("kept").select("key")
-    return rows.select("key", "row").join(stay, "key", "left_semi").select("row.*")
+    return among(rows.select("key", "row"), stay, "key").select("row.*")

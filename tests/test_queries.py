@@ -36,3 +36,22 @@ def test_clean_text_keeps_entities_that_are_cut_off(spark, tmp_path):
     _same(spark, "q_clean_text", folder, con)
     x = spark.createDataFrame([("&lt;b&gt;Up&lt;/b&gt; &#65;&#x42;&amp &hellip;&nosuch; &amp",)], "t string")
     assert tuple(x.select(text.clean_text(F.col("t")), text.clean_text(F.col("t"), text.closed_unescaped)).first()) == ("up ab nosuch", "up ab amp nosuch amp")
+
+
+def test_pipeline_stages_keep_rows_without_shuffling_them(spark):
+    """Rows that stay are picked by bitmap: no exchange carries a row, and exact dedup has a task for each SHARE of text."""
+    from tallgrass.llm import common, exact_dedup, near_dedup, quality
+
+    docs = spark.createDataFrame([(i, f"some text {i % 7} of a few words more", "en", i) for i in range(40)], "doc_id long, text string, lang string, other long")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    for kept, n in ((exact_dedup.drop_copies(docs), 7), (near_dedup.drop_near(docs), 7), (quality.keep_good(docs, labels), 40)):
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        carried = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "row#" in x]
+        assert not carried, carried
+        assert kept.count() == n and kept.columns == docs.columns
+    many = docs.select("doc_id", F.repeat("text", 40000).alias("text"))
+    assert exact_dedup.exact_groups(many).rdd.getNumPartitions() >= 40 * 37 * 40000 // exact_dedup.SHARE
+    ids = common.written(spark.createDataFrame([(i,) for i in range(0, 3000, 3)], "k long"), "ids")
+    x = spark.range(3000).select(F.col("id").alias("k"), F.lit(1).alias("bucket"))
+    for bits in (32, 1):
+        assert sorted(r["k"] for r in common.among(x.select("k"), ids, "k", bits=bits).collect()) == list(range(0, 3000, 3))
