@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -17,18 +20,53 @@ COVERAGE = 0.8
 BLANK_CHEQUE = ("기업인수목적", "스팩")
 
 
-def candidates(items: DataFrame, days: int) -> DataFrame:
+def candidates(items: DataFrame, days: int, size: int = 4096) -> DataFrame:
     """(child, parent, cosine) of items (id, day, linked, embedding): the parent is earlier by (day, id), by at most so many days, and its cosine reaches the tier's least.
 
-    Items meet by spans of `days`: a child meets its own span and the one before, so no pair further apart is made.
+    Items meet by spans of `days`: a child meets its own span and the one before, so no pair further apart is made. A span's items are
+    dealt to blocks of about `size`, and cosines are products of two blocks: a task holds two blocks and the pairs of some rows.
     """
-    x = items.select("id", "day", "linked", normed("embedding").alias("v")).withColumn("span", F.floor(F.col("day") / days))
-    parent = x.select(F.col("id").alias("parent"), F.col("day").alias("p_day"), F.col("linked").alias("p_linked"), F.col("v").alias("p_v"), F.explode(F.array(F.col("span"), F.col("span") + 1)).alias("span"))
-    earlier = (F.struct("p_day", "parent") < F.struct("day", "id")) & (F.col("day") - F.col("p_day") <= days)
-    both = x.join(parent, "span").filter(earlier)
-    cosine = F.aggregate(F.zip_with("v", "p_v", lambda a, b: a * b), F.lit(0.0), lambda s, p: s + p)
-    tier = F.when(F.arrays_overlap("linked", "p_linked"), SHARED).when((F.size("linked") == 0) & (F.size("p_linked") == 0), NEITHER).otherwise(ELSE)
-    return both.select(F.col("id").alias("child"), "parent", cosine.alias("cosine"), tier.alias("tier")).filter("cosine >= tier").drop("tier")
+    kind = items.schema["id"].dataType.simpleString()
+    # Companies of the parents have a column each, so that those that two items share are counted by a product.
+    x = items.select("id", "day", "linked", normed("embedding").alias("v")).filter("id IS NOT NULL AND day IS NOT NULL AND v IS NOT NULL AND NOT exists(v, x -> x IS NULL)").withColumn("span", F.floor(F.col("day") / days))
+    counts = x.groupBy("span").agg(F.ceil(F.count("*") / size).alias("blocks"))
+    blocks = x.join(counts, "span").groupBy("span", F.pmod(F.xxhash64("id"), "blocks").alias("block")).agg(F.collect_list(F.struct("id", "day", "linked", "v")).alias("m"))
+    child = blocks.select("span", F.col("block").alias("c_block"), F.col("m").alias("c"))
+    parent = blocks.select(F.explode(F.array(F.col("span"), F.col("span") + 1)).alias("span"), F.col("block").alias("p_block"), F.col("span").alias("p_span"), F.col("m").alias("p"))
+    parts = items.sparkSession.sparkContext.defaultParallelism * 4
+    names = F.struct("span", "c_block", "p_span", "p_block")
+    pairs = child.join(parent, "span").repartition(parts, names).select("c", "p")
+
+    def columns(members):
+        ids, day, v = (members.field(n) for n in ("id", "day", "v"))
+        return ids, day.to_numpy(zero_copy_only=False).astype(np.int64), members.field("linked"), v.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(v), -1)
+
+    def rows_of(linked, known):
+        """Of each row, whether it has each of the companies known, and whether it has none and isn't null."""
+        offsets = np.diff(linked.offsets.to_numpy())
+        row, at = np.repeat(np.arange(len(linked)), offsets), pc.index_in(linked.flatten(), value_set=known)
+        valid = at.is_valid().to_numpy(zero_copy_only=False)
+        out = np.zeros((len(linked), max(1, len(known))), np.float32)
+        out[row[valid], at.drop_null().to_numpy()] = 1
+        return out, (offsets == 0) & linked.is_valid().to_numpy(zero_copy_only=False)
+
+    def run(batches):
+        for batch in batches:
+            for c, p in zip(batch.column("c"), batch.column("p")):
+                (c_id, c_day, c_linked, c_v), (p_id, p_day, p_linked, p_v) = columns(c.values), columns(p.values)
+                known = pc.unique(p_linked.flatten().drop_null())
+                (c_has, c_none), (p_has, p_none) = rows_of(c_linked, known), rows_of(p_linked, known)
+                before, after = (pc.rank(pa.chunked_array([p_id, c_id]), tiebreaker="dense").to_numpy().astype(np.int64)[part] for part in (slice(0, len(p_id)), slice(len(p_id), None)))
+                for at in range(0, len(c_day), 256):
+                    i = slice(at, at + 256)
+                    gap = c_day[i, None] - p_day
+                    least = np.where(c_has[i] @ p_has.T > 0, SHARED, np.where(c_none[i, None] & p_none, NEITHER, ELSE))
+                    cosine = c_v[i] @ p_v.T
+                    hit = (gap <= days) & ((gap > 0) | ((gap == 0) & (before < after[i, None]))) & ((cosine >= least) | np.isnan(cosine))
+                    a, b = np.nonzero(hit)
+                    yield pa.RecordBatch.from_arrays([c_id.take(pa.array(a + at)), p_id.take(pa.array(b)), pa.array(cosine[a, b])], ["child", "parent", "cosine"])
+
+    return pairs.mapInArrow(run, f"child {kind}, parent {kind}, cosine double")
 
 
 def theme_key(name: Column) -> Column:

@@ -55,3 +55,27 @@ def test_pipeline_stages_keep_rows_without_shuffling_them(spark):
     x = spark.range(3000).select(F.col("id").alias("k"), F.lit(1).alias("bucket"))
     for bits in (32, 1):
         assert sorted(r["k"] for r in common.among(x.select("k"), ids, "k", bits=bits).collect()) == list(range(0, 3000, 3))
+
+
+def test_link_candidates_meet_as_blocks(spark):
+    """Pairs across many blocks, odd links and vectors included, are those of brute force, and no join compares vectors pair by pair."""
+    import math
+    import random
+
+    from tallgrass.operators import linking
+
+    r = random.Random(5)
+    data = [(i, r.randrange(400), r.choice([None, [], [1], [2, 3], [3, None], [4, 1]]), [r.gauss(0, 1) for _ in range(4)]) for i in range(150)]
+    data += [(150, 7, [], [0.0] * 4), (151, 7, [], None), (152, None, [], [1.0] * 4), (153, 9, [1], [None, 1.0, 2.0, 3.0])]
+    df = spark.createDataFrame(data, "id long, day int, linked array<long>, embedding array<float>")
+    found = linking.candidates(df, 30, size=8)
+    want = {}
+    rows_ = [x for x in df.collect() if x["embedding"] is not None and x["day"] is not None and None not in x["embedding"] and any(x["embedding"])]
+    for c in rows_:
+        for p in rows_:
+            if (p["day"], p["id"]) < (c["day"], c["id"]) and c["day"] - p["day"] <= 30:
+                cos = sum(a * b for a, b in zip(c["embedding"], p["embedding"])) / math.hypot(*c["embedding"]) / math.hypot(*p["embedding"])
+                shared = set(c["linked"] or []) & set(p["linked"] or []) - {None}
+                if cos >= (0.10 if shared else 0.50 if c["linked"] == p["linked"] == [] else 0.45):
+                    want[c["id"], p["id"]] = round(cos, 9)
+    assert {(x["child"], x["parent"]): round(x["cosine"], 9) for x in found.collect()} == want and want
