@@ -19,6 +19,11 @@ def term_counts(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(key, text).repartition(key).select(key, F.explode(tokens(F.col(text))).alias("token")).groupBy(key, "token").agg(F.count("*").alias("n"))
 
 
+def token_totals(docs: DataFrame, cluster: str, text: str) -> DataFrame:
+    """(cluster, token, n): how often the texts of a cluster hold a token; one shuffle of partial sums, and neither texts nor terms of a document travel."""
+    return docs.select(cluster, F.explode(tokens(F.col(text))).alias("token")).groupBy(cluster, "token").agg(F.count("*").alias("n"))
+
+
 def document_frequencies(terms: DataFrame, field: str) -> DataFrame:
     """(field, token, df) of terms (key, token, n)."""
     return terms.groupBy("token").agg(F.count("*").alias("df")).select(F.lit(field).alias("field"), "token", "df")
@@ -47,6 +52,12 @@ def centroids(terms: DataFrame, members: DataFrame, key: str, cluster: str) -> D
     return terms.join(members, key).groupBy(cluster, "token").agg(F.sum("n").alias("total")).join(sizes, cluster).select(cluster, "token", "total", (F.col("total") / F.col("size")).alias("mean"))
 
 
+def text_centroids(docs: DataFrame, cluster: str, text: str) -> DataFrame:
+    """centroids() of whole texts, by cluster, without a table of terms."""
+    sizes = docs.groupBy(cluster).agg(F.count("*").alias("size"))
+    return token_totals(docs, cluster, text).join(sizes, cluster).select(cluster, "token", F.col("n").alias("total"), (F.col("n") / F.col("size")).alias("mean"))
+
+
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
 

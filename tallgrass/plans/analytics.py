@@ -127,15 +127,12 @@ def q_tf_idf(spark, d):
 
 def q_centroids(spark, d):
     """Centroids of clusters, here of sources, with documents without a token counted."""
-    t = _terms(spark, d)
-    m = table(spark, d, "documents").select("doc_id", "source")
-    return vectors.centroids(t, m, "doc_id", "source").select("source", "token", "total", F.round("mean", 9).alias("mean"))
+    return vectors.text_centroids(table(spark, d, "documents"), "source", "text").select("source", "token", "total", F.round("mean", 9).alias("mean"))
 
 
 def q_top_keywords(spark, d):
     """T5: five heaviest tokens of a source, ties in order of the token."""
-    t = _terms(spark, d)
-    x = t.join(table(spark, d, "documents").select("doc_id", "source"), "doc_id").groupBy("source", "token").agg(F.sum("n").alias("n"))
+    x = vectors.token_totals(table(spark, d, "documents"), "source", "text")
     return x.withColumn("rank", F.row_number().over(W.partitionBy("source").orderBy(F.desc("n"), "token")).cast("long")).filter("rank <= 5")
 
 

@@ -79,3 +79,22 @@ def test_link_candidates_meet_as_blocks(spark):
                 if cos >= (0.10 if shared else 0.50 if c["linked"] == p["linked"] == [] else 0.45):
                     want[c["id"], p["id"]] = round(cos, 9)
     assert {(x["child"], x["parent"]): round(x["cosine"], 9) for x in found.collect()} == want and want
+
+
+def test_totals_of_tokens_need_no_terms_of_documents(spark, tmp_path):
+    """Repeated and null ids, sources and texts count as in the SQL; no exchange carries texts or terms by document."""
+    texts = ["Aa bb aa", "bb, bb cc", None, "", "x aa", "aa bb aa", "한글 한글 cc"]
+    data = [(i % 5 if i else None, ["s", "t", None][i % 3], texts[i % 7]) for i in range(20)]
+    folder, con = _folder(spark, tmp_path, documents=(data, "doc_id long, source string, text string"))
+    for name in ("q_top_keywords", "q_centroids"):
+        plan = registry.queries()[name](spark, folder)._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(doc_id" not in plan and "SinglePartition" not in plan
+        _same(spark, name, folder, con)
+
+
+def test_grounded_reads_its_block_once(spark):
+    df = spark.createDataFrame([("Alpha, beta. Gamma 12", "alpha...gamma"), ("Alpha", "alph…zz"), (None, "alpha"), ("Alpha beta", None)], "b string, q string")
+    x = df.select(text.grounded(F.col("q"), F.col("b")).alias("g"))
+    plan = x._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("_bare_block(b#") == 1 and "regexp_replace(coalesce(b#" not in plan
+    assert [r[0] for r in x.collect()] == [True, False, False, False]
