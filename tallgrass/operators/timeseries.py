@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import itertools
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def roll_ticks(ticks: DataFrame) -> DataFrame:
@@ -58,13 +64,78 @@ def _frame(keys: tuple[str, ...], months: int) -> str:
     return f"OVER (PARTITION BY {', '.join(keys)} ORDER BY t RANGE BETWEEN INTERVAL '{months}' MONTH PRECEDING AND CURRENT ROW)"
 
 
+def _codes(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers from 1 in the order of the values, NaN last, and which values are there."""
+    there = values.is_valid().to_numpy(zero_copy_only=False)
+    kept = values.drop_null()
+    out = np.zeros(len(values), np.int64)
+    if pa.types.is_floating(values.type) or pa.types.is_integer(values.type):
+        out[there] = np.unique(kept.to_numpy(zero_copy_only=False), return_inverse=True)[1] + 1
+    else:
+        out[there] = pc.rank(kept, tiebreaker="dense").to_numpy()
+    return out, there
+
+
+def _first_extreme(marks: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """The least of marks from start to stop (exclusive), by tables of the least of 1, 2, 4 ... marks."""
+    level = np.log2(stop - start).astype(np.int64)
+    out, table = np.empty(len(start), np.int64), marks
+    for j in range(int(level.max()) + 1):
+        at = np.flatnonzero(level == j)
+        out[at] = np.minimum(table[start[at]], table[stop[at] - (1 << j)])
+        table = np.minimum(table[: -(1 << j)], table[1 << j :])
+    return out
+
+
 def range_extrema(df: DataFrame, value: str, months: int, keys: tuple[str, ...] = ("id",)) -> DataFrame:
-    """Highest and lowest value and their dates in (d - months, d]; ties go to the earliest date."""
-    age = F.datediff(F.lit("1970-01-01").cast("date"), "d")
-    facts = df.select(*keys, "d", F.struct(F.col(value).alias("v"), age.alias("age"), F.col("d").alias("at")).alias("up"), F.struct(F.col(value).alias("v"), (-age).alias("age"), F.col("d").alias("at")).alias("down"))
-    both = _points_and_facts(df, facts)
-    both = both.withColumn("hi", F.expr(f"max(up) {_frame(keys, months)}")).withColumn("lo", F.expr(f"min(down) {_frame(keys, months)}")).filter("is_point")
-    return both.select(*df.columns, F.col("hi.v").alias("high_value"), F.col("hi.at").alias("high_date"), F.col("lo.v").alias("low_value"), F.col("lo.at").alias("low_date"))
+    """Highest and lowest value and their dates in (d - months, d]; ties go to the earliest date. Missing values don't count, NaN is above all others; rows without a date go.
+
+    Rows come in order of keys and d, and a batch's frames are answered at once, so a row costs the logarithm of its frame's rows. Of an entity that
+    goes on in the next batch one frame is kept, and rows of the latest date wait for the others of that date.
+    """
+    names = df.columns
+    x = df.filter("d IS NOT NULL").withColumns({"__d": F.unix_date("d"), "__after": F.unix_date(F.add_months("d", -months))}).repartition(*keys).sortWithinPartitions(*keys, "d")
+
+    def changed(column: pa.Array) -> np.ndarray:
+        """Where a value isn't that of the row before."""
+        a, b = column[1:], column[:-1]
+        equal = pc.or_kleene(pc.equal(a, b), pc.and_(a.is_null(), b.is_null())).fill_null(False)
+        return ~equal.to_numpy(zero_copy_only=False)
+
+    def run(batches):
+        held, done = None, 0  # the rows that the next batch may need, and how many of them are answered
+        for batch in itertools.chain(batches, (None,)):
+            if batch is not None:
+                batch = pa.Table.from_batches([batch])
+                held = batch if held is None else pa.concat_tables([held, batch])
+            if held is None or not len(held):
+                continue
+            held = held.combine_chunks()
+            column = lambda c: held.column(c).chunk(0)
+            n, d, after = len(held), column("__d").to_numpy().astype(np.int64), column("__after").to_numpy().astype(np.int64)
+            new = np.zeros(n, bool)
+            for k in keys:
+                new[1:] |= changed(column(k))
+            group = np.cumsum(new)
+            width = int(d.max() - d.min()) + 2
+            place = group * width + d - d.min()
+            ready = n if batch is None else int(np.searchsorted(place, place[-1]))  # before the rows of the latest date
+            if ready > done:
+                these = slice(done, ready)
+                start = np.searchsorted(place, group[these] * width + np.maximum(after[these] + 1 - d.min(), 0))
+                stop = np.searchsorted(place, place[these], side="right")
+                codes, there = _codes(column(value))
+                found = []
+                for marks in (np.where(there, n + 1 - codes, n + 1), np.where(there, codes, n + 1)):
+                    best = _first_extreme(marks * n + np.arange(n), start, stop) % n
+                    index = pa.array(best, mask=~there[best])
+                    found += [column(value).take(index), column("d").take(index)]
+                yield pa.RecordBatch.from_arrays([*(held.column(c).chunk(0)[these] for c in names), *found], [*names, "high_value", "high_date", "low_value", "low_date"])
+            keep = int(np.searchsorted(place, group[-1] * width + max(int(after[-1]) + 1 - int(d.min()), 0)))
+            held, done = held.slice(keep), ready - keep
+
+    out = [T.StructField(c, df.schema["d" if c.endswith("date") else value].dataType) for c in ("high_value", "high_date", "low_value", "low_date")]
+    return x.mapInArrow(run, T.StructType([*df.schema.fields, *out]))
 
 
 def interval_sum(points: DataFrame, events: DataFrame, amount: str, alias: str, months: int, keys: tuple[str, ...] = ("id",)) -> DataFrame:

@@ -52,7 +52,7 @@ def q_period_change_rate(spark, d):
 
 def q_week52(spark, d):
     """52-week high and low with dates, (t - 12 months, t]."""
-    x = ts.range_extrema(supplier_bars(spark, d).select("id", "d", "close"), "close", 12)
+    x = ts.range_extrema(supplier_bars(spark, d).select("id", "d", "close").filter("id IS NOT NULL"), "close", 12)
     return x.select("id", "d", "close", *("high_value", "high_date", "low_value", "low_date"))
 
 

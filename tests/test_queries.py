@@ -98,3 +98,31 @@ def test_grounded_reads_its_block_once(spark):
     plan = x._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("_bare_block(b#") == 1 and "regexp_replace(coalesce(b#" not in plan
     assert [r[0] for r in x.collect()] == [True, False, False, False]
+
+
+def test_range_extrema_across_batches(spark):
+    """Frames that begin in earlier batches, repeated dates, ties, missing values and null keys give what brute force gives."""
+    import datetime as dt
+    import random
+
+    from dateutil.relativedelta import relativedelta
+
+    from tallgrass.operators import timeseries as ts
+
+    r, day = random.Random(3), dt.date(2019, 12, 1)
+    data = [(k, day + dt.timedelta(days=r.randrange(800)), r.choice([None, 1.0, 2.0, 3.0, r.random() * 4])) for k in (1, 2, None, 4) for _ in range(60)]
+    data += [(9, dt.date(2024, 2, 29), 5.0), (9, dt.date(2023, 2, 28), 9.0), (9, dt.date(2023, 3, 1), 6.0), (3, day, None), (3, None, 1.0)]
+    want = []
+    for k, d, v in data:
+        if d is None:
+            continue
+        seen = sorted((y, x) for j, y, x in data if j == k and y is not None and d - relativedelta(months=12) < y <= d and x is not None)
+        hi, lo = (max((x for _, x in seen), default=None), min((x for _, x in seen), default=None))
+        want.append((k, d, v, hi, next((y for y, x in seen if x == hi), None), lo, next((y for y, x in seen if x == lo), None)))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        x = ts.range_extrema(spark.createDataFrame(data, "id long, d date, close double"), "close", 12)
+        assert "Window" not in x._jdf.queryExecution().optimizedPlan().toString()
+        assert sorted(map(str, map(tuple, x.collect()))) == sorted(map(str, want))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
