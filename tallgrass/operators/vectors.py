@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tallgrass.sources.landed import settled
+
 
 def tokens(text: Column, least: int = 2) -> Column:
     """Lower-case runs of letters and digits of at least `least` characters; the default tokenizer, any other may take its place."""
@@ -46,6 +49,133 @@ def tf_idf(terms: DataFrame, frequencies: DataFrame, documents: int, key: str) -
     return x.select(key, "token", (F.col("w") / norm).alias("weight"))
 
 
+#: Bytes of the texts that meet in one block, and so share one copy of their vocabulary.
+BLOCK = 32 << 20
+
+
+def block_counts(docs: DataFrame, text: str, cluster: str | None = None) -> DataFrame:
+    """(_group, _parts): the number of blocks of each cluster, or of all texts, as a written table, so that Spark knows its size before it joins texts."""
+    group = F.col(cluster) if cluster else F.lit(0)
+    return settled(docs.groupBy(group.alias("_group")).agg(F.greatest(F.lit(1), F.coalesce(F.ceil(F.sum(F.octet_length(text)) / BLOCK), F.lit(1))).cast("long").alias("_parts")))
+
+
+def blocked(docs: DataFrame, key: str, text: str, counts: DataFrame, cluster: str | None = None) -> DataFrame:
+    """docs (key, text, cluster) with their block, a long: texts of one cluster and about BLOCK bytes. Rows that repeat a key are one text."""
+    names = [key] + ([cluster] if cluster else [])
+    docs = docs.select(*names, text)
+    if not docs.groupBy(key).agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
+        docs = docs.groupBy(*names).agg(F.array_join(F.collect_list(text), "\n").alias(text))
+    group = F.col(cluster) if cluster else F.lit(0)
+    x = docs.join(counts, group.eqNullSafe(F.col("_group")))
+    return x.select(F.xxhash64(group, F.pmod(F.xxhash64(key), "_parts")).alias("block"), *names, text)
+
+
+def block_frequencies(docs: DataFrame, text: str) -> DataFrame:
+    """(block, token, df) of blocked() texts: each block's vocabulary with the number of all texts that hold a token."""
+    x = docs.select("block", text).repartition("block").select("block", F.explode(F.array_distinct(tokens(F.col(text)))).alias("token"))
+    own = x.groupBy("block", "token").agg(F.count("*").alias("n"))
+    return own.select("block", "token", F.sum("n").over(W.partitionBy("token")).alias("df"))
+
+
+def _with_vocabulary(docs: DataFrame, facts: DataFrame, key: str, text: str, values: tuple[str, ...], fold, schema: str) -> DataFrame:
+    """fold(vocabulary, keys, place, id, n) for texts of each block, after its facts (block, token and the values, doubles).
+
+    vocabulary is (tokens, values of each); place, id and n tell which text has which token how often, in order. What fold yields are
+    columns of the result; at a block's end it is called without texts. A task holds the vocabulary of one block and some texts.
+    """
+    x = facts.select("block", "token", *values).unionByName(docs.select("block", key, text), allowMissingColumns=True)
+    x = x.repartition("block").sortWithinPartitions("block", F.col("token").isNull(), key).select("block", "token", *values, key, F.coalesce(tokens(F.col(text)), F.array().cast("array<string>")).alias("words"))
+    names = [f.split()[0] for f in schema.split(", ")]
+
+    def run(batches):
+        block, known, learnt = None, None, []
+
+        def closed():
+            if known is not None:
+                yield from fold(block, known, None, None, None, None)
+
+        for batch in batches:
+            at = batch.column("block").to_numpy()
+            fact = batch.column("token").is_valid().to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero((at[1:] != at[:-1]) | (fact[1:] != fact[:-1])) + 1
+            for i, j in zip([0, *cuts], [*cuts, len(at)]):
+                part = batch.slice(i, j - i)
+                if at[i] != block:
+                    for out in closed():
+                        yield pa.RecordBatch.from_arrays(out, names)
+                    block, known, learnt = at[i], None, []
+                if fact[i]:
+                    learnt.append(part.select(["token", *values]))
+                    continue
+                if known is None:
+                    t = pa.Table.from_batches(learnt) if learnt else None
+                    known = (t.column("token").combine_chunks(), *(t.column(v).to_numpy().astype(float) for v in values)) if t is not None else (pa.array([], pa.string()), *(np.zeros(0) for _ in values))
+                    learnt = []
+                words = part.column("words")
+                lengths = np.diff(words.offsets.to_numpy())
+                ids = pc.index_in(words.flatten(), value_set=known[0]).to_numpy(zero_copy_only=False).astype(np.int64)
+                size = max(1, len(known[0]))
+                pairs, n = np.unique(np.repeat(np.arange(len(lengths)), lengths) * size + ids, return_counts=True)
+                for out in fold(block, known, part.column(key), pairs // size, pairs % size, n):
+                    yield pa.RecordBatch.from_arrays(out, names)
+        for out in closed():
+            yield pa.RecordBatch.from_arrays(out, names)
+
+    return x.mapInArrow(run, schema)
+
+
+def _unit_weights(place: np.ndarray, ids: np.ndarray, n: np.ndarray, df: np.ndarray, documents: int, texts: int) -> np.ndarray:
+    """log1p(n) * idf, each text's vector of length 1."""
+    w = np.log1p(n) * (np.log((1 + documents) / (1 + df[ids])) + 1)
+    return w / np.sqrt(np.bincount(place, w * w, texts))[place]
+
+
+def vector_sums(docs: DataFrame, key: str, text: str, documents: int) -> DataFrame:
+    """(key, l1, largest, tokens) of the unit TF-IDF vectors of whole texts that have tokens; terms don't travel, only texts and vocabularies of blocks."""
+    x = blocked(docs, key, text, block_counts(docs, text))
+
+    def fold(block, known, keys, place, ids, n):
+        if keys is None or not len(place):
+            return
+        w = _unit_weights(place, ids, n, known[1], documents, len(keys))
+        rows, starts, tokens_ = np.unique(place, return_index=True, return_counts=True)
+        yield [keys.take(pa.array(rows)), pa.array(np.add.reduceat(w, starts)), pa.array(np.maximum.reduceat(w, starts)), pa.array(tokens_.astype(np.int64))]
+
+    return _with_vocabulary(x, block_frequencies(x, text), key, text, ("df",), fold, f"{key} {docs.schema[key].dataType.simpleString()}, l1 double, largest double, tokens long")
+
+
+def text_medoids(docs: DataFrame, members: DataFrame, key: str, text: str, cluster: str, documents: int) -> DataFrame:
+    """medoids() of whole texts, by members, rows of docs: first each block's sums of weights, then each member's product with its cluster's sum."""
+    counts = block_counts(docs, text, cluster)
+    every, x = blocked(docs, key, text, counts, cluster), blocked(members, key, text, counts, cluster)
+
+    def summed(block, known, keys, place, ids, n):
+        if keys is None:
+            total = sums.pop(block, np.zeros(len(known[1])))
+            at = np.flatnonzero(total)
+            for i in range(0, len(at), 50_000):
+                part = at[i : i + 50_000]
+                yield [pa.array(np.full(len(part), block)), known[0].take(pa.array(part)), pa.array(known[1][part]), pa.array(total[part])]
+            return
+        if block not in sums:
+            sums[block] = np.zeros(len(known[1]))
+        sums[block] += np.bincount(ids, _unit_weights(place, ids, n, known[1], documents, len(keys)), len(known[1]))
+
+    def scored(block, known, keys, place, ids, n):
+        if keys is None:
+            return
+        w = _unit_weights(place, ids, n, known[1], documents, len(keys))
+        yield [keys, pa.array(np.bincount(place, w * (known[2][ids] - w), len(keys)))]
+
+    sums: dict = {}
+    own = settled(_with_vocabulary(x, block_frequencies(every, text), key, text, ("df",), summed, "block long, token string, df double, own double"))
+    groups = x.select("block", F.col(cluster).alias("_cluster")).distinct()
+    total = F.sum("own").over(W.partitionBy("_cluster", "token"))
+    facts = own.join(groups, "block").select("block", "token", "df", total.alias("total"))
+    score = _with_vocabulary(x, facts, key, text, ("df", "total"), scored, f"{key} {docs.schema[key].dataType.simpleString()}, score double")
+    return _nearest(members, score.select(key, F.round("score", 9).alias("score")), key, cluster)
+
+
 def centroids(terms: DataFrame, members: DataFrame, key: str, cluster: str) -> DataFrame:
     """(cluster, token, total, mean): summed counts of the members' terms; members without terms count in the mean."""
     sizes = members.groupBy(cluster).agg(F.count("*").alias("size"))
@@ -113,7 +243,7 @@ def best_cosines(rows: DataFrame, key: str, group: str, vector: str, size: int =
 
 def eligible(members: DataFrame, cluster: str, length: str, least: int) -> DataFrame:
     """The members that may stand for their cluster: those of the least length, or all that have any where none is so long."""
-    longest = members.groupBy(F.col(cluster).alias("_cluster")).agg(F.max(length).alias("_longest"))
+    longest = settled(members.groupBy(F.col(cluster).alias("_cluster")).agg(F.max(length).alias("_longest")))
     x = members.filter(F.col(length) > 0).join(longest, F.col(cluster).eqNullSafe(F.col("_cluster")))
     return x.filter((F.col(length) >= least) | (F.col("_longest") < least)).drop("_cluster", "_longest")
 
@@ -127,5 +257,9 @@ def medoids(weights: DataFrame, members: DataFrame, key: str, cluster: str) -> D
     total = x.groupBy(F.col(cluster).alias("_cluster"), "token").agg(F.sum("weight").alias("total"))
     others = F.col("weight") * (F.col("total") - F.col("weight"))
     score = x.join(total, (x["token"] == total["token"]) & x[cluster].eqNullSafe(total["_cluster"])).groupBy(key).agg(F.round(F.sum(others), 9).alias("score"))
+    return _nearest(members, score, key, cluster)
+
+
+def _nearest(members: DataFrame, score: DataFrame, key: str, cluster: str) -> DataFrame:
     ranked = members.select(key, cluster).join(score, key, "left")
     return ranked.groupBy(cluster).agg(F.max_by(key, F.struct(F.coalesce("score", F.lit(0.0)), -F.col(key))).alias("medoid"))

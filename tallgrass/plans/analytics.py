@@ -6,7 +6,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallgrass.operators import chainindex, graph, vectors, voting
-from tallgrass.sources import landed
 from tallgrass.sources.tables import supplier_bars, table
 
 
@@ -107,10 +106,6 @@ def q_visible(spark, d):
     return c.join(hit, F.col("c_custkey") == F.col("k"), "left").select("c_custkey", F.col("k").isNotNull().alias("visible"))
 
 
-def _terms(spark, d):
-    return vectors.term_counts(table(spark, d, "documents").select("doc_id", "text"), "doc_id", "text")
-
-
 def q_idf(spark, d):
     """Document frequencies of each field; the text holds the title, so it is the union of both."""
     x = table(spark, d, "documents").select(F.split("text", "\n")[0].alias("title"), "text")
@@ -119,10 +114,9 @@ def q_idf(spark, d):
 
 def q_tf_idf(spark, d):
     """M3 H7: unit TF-IDF vectors of whole texts, as their length, largest weight and number of tokens."""
-    t = _terms(spark, d)
-    n = table(spark, d, "documents").count()
-    w = vectors.tf_idf(t, vectors.document_frequencies(t, "all"), n, "doc_id")
-    return w.groupBy("doc_id").agg(F.round(F.sum("weight"), 6).alias("l1"), F.round(F.max("weight"), 6).alias("largest"), F.count("*").alias("tokens"))
+    docs = table(spark, d, "documents")
+    x = vectors.vector_sums(docs, "doc_id", "text", docs.count())
+    return x.select("doc_id", F.round("l1", 6).alias("l1"), F.round("largest", 6).alias("largest"), "tokens")
 
 
 def q_centroids(spark, d):
@@ -138,10 +132,9 @@ def q_top_keywords(spark, d):
 
 def q_medoids(spark, d):
     """Of a source's documents of 200 characters or more, or of all that have text where none is so long, the one nearest to all of them."""
-    t = _terms(spark, d)
-    w = landed.settled(vectors.tf_idf(t, vectors.document_frequencies(t, "all"), table(spark, d, "documents").count(), "doc_id"))
-    m = vectors.eligible(table(spark, d, "documents").select("doc_id", "source", F.length("text").alias("n")), "source", "n", 200)
-    return vectors.medoids(w, m, "doc_id", "source")
+    docs = table(spark, d, "documents")
+    m = vectors.eligible(docs.select("doc_id", "source", "text", F.length("text").alias("n")), "source", "n", 200)
+    return vectors.text_medoids(docs, m, "doc_id", "text", "source", docs.count())
 
 
 def q_similar_earlier(spark, d):

@@ -126,3 +126,27 @@ def test_range_extrema_across_batches(spark):
         assert sorted(map(str, map(tuple, x.collect()))) == sorted(map(str, want))
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_vectors_by_block_are_those_of_terms(spark, tmp_path, monkeypatch):
+    """Small blocks, repeated ids and texts without tokens give what the table of terms gives; no term travels with its document's id."""
+    import random
+
+    from tallgrass.operators import vectors
+
+    r = random.Random(4)
+    texts = [" ".join(r.choice(["Aa", "bb,", "cc", f"w{r.randrange(60)}", "é"]) for _ in range(r.randrange(70))) for _ in range(60)] + [None, "", ".."]
+    data = [(i % 60, f"s{i % 60 % 3}", t) for i, t in enumerate(texts)]
+    folder, con = _folder(spark, tmp_path, documents=(data, "doc_id long, source string, text string"))
+    monkeypatch.setattr(vectors, "BLOCK", 300)
+    df = spark.read.parquet(f"{folder}/documents.parquet")
+    blocks = vectors.blocked(df, "doc_id", "text", vectors.block_counts(df, "text", "source"), "source")
+    assert blocks.select("block").distinct().count() > 9 and blocks.count() == 60
+    _same(spark, "q_tf_idf", folder, con)
+    plan = registry.queries()["q_tf_idf"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(doc_id" not in plan
+    members = vectors.eligible(df.select("doc_id", "source", "text", F.length("text").alias("n")), "source", "n", 200)
+    terms = vectors.term_counts(df, "doc_id", "text")
+    weights = vectors.tf_idf(terms, vectors.document_frequencies(terms, "all"), df.count(), "doc_id")
+    want = vectors.medoids(weights, members.dropDuplicates(["doc_id"]), "doc_id", "source")
+    assert sorted(map(tuple, registry.queries()["q_medoids"](spark, folder).collect())) == sorted(map(tuple, want.collect()))
