@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tallgrass.functions import text
 from tallgrass.operators.html import tables_of
@@ -111,6 +115,83 @@ def _day(value: Column) -> Column:
     return F.when(value.rlike(p), F.date_format(made.try_cast("date"), "yyyy-MM-dd"))
 
 
+def _typed(name: str, value: Column) -> Column:
+    """A field's text as what it is: a whole amount, a ratio, a day, or text."""
+    if name in AMOUNTS:
+        bare = F.replace(value, F.lit(" "), F.lit(""))
+        return F.when(bare.rlike(r"^-?[\d,]+$"), F.replace(bare, F.lit(","), F.lit("")).try_cast("long"))
+    if name == "sales_ratio":
+        return F.regexp_replace(value, "[,%]", "").try_cast("double")
+    if name in DAYS:
+        return F.coalesce(_day(value), value)
+    return _day(value) if name == "correction_target_date" else value
+
+
+_NUMBER_A, _DASH_A, _GAPS_A = (re.compile(x, re.ASCII) for x in (_NUMBER, _DASH, r"[\sㆍ·]+"))
+_FIELDS = (*dict.fromkeys(LABELS.values()), "counterparty_recent_sales")
+_WIDE = ", ".join([*(f"{n} string" for n in _FIELDS), *(f"{n} map<string,string>" for n in MAPS.values()), "note string, related_disclosures string", "corrected array<struct<item:string,before:string,after:string>>", *(f"{n} string" for n in TARGETS.values()), "is_correction boolean"])
+
+
+@functools.lru_cache(4096)
+def _bare_label(label: str) -> str:
+    """bare_label() of one label."""
+    return _GAPS_A.sub("", _DASH_A.sub("", _NUMBER_A.sub("", label)))
+
+
+def _fields_of(found: list[tuple]) -> dict:
+    """What contract_fields() gives for the entries (scope, section, label, value, before) of one page, in order, as text."""
+    out = {n: {} for n in MAPS.values()} | {"corrected": [], "is_correction": False}
+    notes: dict = {}
+    for scope, section, label, value, before in found:
+        at, above, full = _bare_label(label), _bare_label(section), value not in _BLANK
+        if scope == "correction":
+            out["is_correction"] = True
+            if section == CORRECTION:
+                out["corrected"].append({"item": label, "before": before, "after": value})
+            elif full and at in TARGETS:
+                out[TARGETS[at]] = value
+            continue
+        held = MAPS.get(above) if at != above else None
+        if held:
+            out[held].pop(label, None)
+            out[held][label] = value
+        elif above.startswith(NOTES):
+            if full:
+                notes[value] = None
+        elif at.startswith(RELATED):
+            out["related_disclosures"] = value if full else None
+        elif full and at in LABELS:
+            n = LABELS[at]
+            out["counterparty_recent_sales" if n == "recent_sales" and above.startswith(COUNTERPARTY) else n] = value
+    if notes:
+        out["note"] = " ".join(notes)
+    return out
+
+
+def contracts(pages: DataFrame, key: str, html: str) -> DataFrame:
+    """contract_fields() of filing_entries(): a page's entries stay in its task, so that only keys are compared for repetition; those that repeat go the longer way."""
+    if not pages.groupBy(key).agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
+        return contract_fields(filing_entries(pages, key, html), key)
+    kind = next(iter(pages.select(key).schema)).dataType
+    schema = T.StructType([T.StructField(key, kind), *T._parse_datatype_string(_WIDE).fields])
+    types = [to_arrow_type(f.dataType) for f in schema.fields[1:]]
+
+    def run(batches):
+        for b in batches:
+            for i in range(0, b.num_rows, 2000):
+                part = b.slice(i, 2000)
+                kept, rows = [], []
+                for j, x in enumerate(part.column(1).to_pylist()):
+                    found = [(scope, *e) for scope, tables in zip(("correction", "body"), scopes(tables_of(x))) for e in entries(tables)]
+                    if found:
+                        kept.append(j)
+                        rows.append(_fields_of(found))
+                values = ([list(v.items()) if isinstance(v, dict) else v for v in (r.get(f.name) for r in rows)] for f in schema.fields[1:])
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(kept, pa.int64())), *(pa.array(v, t) for v, t in zip(values, types))], schema.names)
+
+    return pages.select(key, html).mapInArrow(run, schema).select(key, *(_typed(n, F.col(n)).alias(n) for n in schema.names[1:]))
+
+
 def contract_fields(found: DataFrame, key: str) -> DataFrame:
     """One row for each key of filing_entries(): a column for each field, maps of conditions, the note, related disclosures, and the correction.
 
@@ -133,14 +214,7 @@ def contract_fields(found: DataFrame, key: str) -> DataFrame:
     last = lambda kind, n: F.max_by(F.when(F.col(kind) == n, F.col("value")), F.when(F.col(kind) == n, F.col("place")))
     out = []
     for n in (*dict.fromkeys(LABELS.values()), "counterparty_recent_sales"):
-        value = last("field", n)
-        if n in AMOUNTS:
-            bare = F.replace(value, F.lit(" "), F.lit(""))
-            value = F.when(bare.rlike(r"^-?[\d,]+$"), F.replace(bare, F.lit(","), F.lit("")).try_cast("long"))
-        elif n == "sales_ratio":
-            value = F.regexp_replace(value, "[,%]", "").try_cast("double")
-        elif n in DAYS:
-            value = F.coalesce(_day(value), value)
+        value = _typed(n, last("field", n))
         out.append(value.alias(n))
     rows = lambda cond, *c: F.array_sort(F.collect_list(F.when(cond, F.struct("place", *c))))
     for n in MAPS.values():
@@ -151,7 +225,7 @@ def contract_fields(found: DataFrame, key: str) -> DataFrame:
     out.append(F.max_by(F.when(F.col("related") & F.col("full"), F.col("value")), F.when(F.col("related"), F.col("place"))).alias("related_disclosures"))
     items = rows((F.col("scope") == "correction") & (F.col("section") == CORRECTION), "label", "before", "value")
     out.append(F.transform(items, lambda p: F.struct(p["label"].alias("item"), p["before"].alias("before"), p["value"].alias("after"))).alias("corrected"))
-    out += [(_day(last("target", n)) if n == "correction_target_date" else last("target", n)).alias(n) for n in TARGETS.values()]
+    out += [_typed(n, last("target", n)).alias(n) for n in TARGETS.values()]
     return x.groupBy(key).agg(*out, F.max((F.col("scope") == "correction")).alias("is_correction"))
 
 

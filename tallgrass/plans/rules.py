@@ -327,7 +327,7 @@ def q_contract_filings(spark, d):
         tr(td("9. 기타 투자판단에 참고할 사항", " colspan=3")), tr(td("text one", " colspan=3")), tr(td("text two", " colspan=3")), tr(td("※ 관련공시", " colspan=2"), td("-")), F.lit("</table>"),
     )
     pages = o.select("o_orderkey", F.concat(F.when(F.col("o_orderstatus") == "F", fixes).otherwise(""), body).alias("html"))
-    x = filings.contract_fields(filings.filing_entries(pages, "o_orderkey", "html"), "o_orderkey")
+    x = filings.contracts(pages, "o_orderkey", "html")
     return x.select("o_orderkey", "contract_type", "contract_name", "contract_amount", "recent_sales", "counterparty_recent_sales", "sales_ratio", "counterparty", "start_date", "end_date", F.col("conditions")["대금 지급"].alias("payment"), F.col("conditions")["선급금"].alias("advance"), "note", "related_disclosures", "is_correction", "correction_target_report", "correction_target_date", F.get("corrected", F.lit(0))["after"].alias("after"))
 
 

@@ -150,3 +150,32 @@ def test_vectors_by_block_are_those_of_terms(spark, tmp_path, monkeypatch):
     weights = vectors.tf_idf(terms, vectors.document_frequencies(terms, "all"), df.count(), "doc_id")
     want = vectors.medoids(weights, members.dropDuplicates(["doc_id"]), "doc_id", "source")
     assert sorted(map(tuple, registry.queries()["q_medoids"](spark, folder).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_contracts_are_the_fields_of_entries(spark):
+    """Random tables, read by pattern or by parser, give one result; fields found in the page's task are those of grouped entries, repeated keys included."""
+    import random
+
+    from tallgrass.operators import filings, html
+
+    r, read = random.Random(6), 0
+    pieces = ["<table>", "</table>", "<tr>", "</tr>", "<td>", "</td>", "<th rowspan=2>", '<td colspan="2" rowspan=0>', "<td rowspan=2 rowspan=1>", "a", " b\n c ", "가", "</th>", "<b>", "&amp;", "<TD>"]
+    for _ in range(3000):
+        page = "<table><tr>" + "".join(r.choices(pieces, weights=[1, 1, 4, 3, 6, 4, 2, 2, 2, 5, 5, 5, 2, 0.1, 0.1, 0.1], k=14))
+        reader = html._Reader()
+        reader.feed(page)
+        reader.close()
+        plain = html._plain_tables(page)
+        read += plain is not None
+        assert plain is None or plain == reader.tables, page
+    assert read > 1500
+    labels = [*list(filings.LABELS)[:12], "- 최근매출액(원)", "2. 계약내역", "6. 주요 계약조건", "9. 기타 투자판단에 참고할 사항", "※ 관련공시", "3. 계약상대", "정정항목", "1. 정정관련 공시서류", "2. 정정관련 공시서류제출일"]
+    values = ["-", "", "1,234", "12.5 %", "2024.1.2", "text", "9" * 30, ",,", "정정전", "정정후"]
+    cells = lambda: [r.choice(labels if r.random() < 0.6 else values) for _ in range(r.choice([2, 3, 3]))]
+    table = lambda first: "<table>" + "".join("<tr>" + "".join(f"<td>{c}</td>" for c in row) + "</tr>" for row in [first, *(cells() for _ in range(12))]) + "</table>"
+    made = [table(["정정항목", "정정전", "정정후"]) * r.choice([0, 1]) + table(["1. 판매ㆍ공급계약 구분", "x", "공사"]) for _ in range(150)] + ["", "no table", None]
+    pages = spark.createDataFrame(list(enumerate(made)), "k long, h string")
+    for df in (pages, pages.unionByName(pages.filter("k < 3"))):
+        got, want = filings.contracts(df, "k", "h"), filings.contract_fields(filings.filing_entries(df, "k", "h"), "k")
+        assert got.columns == want.columns and got.dtypes == want.dtypes
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
