@@ -83,7 +83,7 @@ def url_survivors(items: DataFrame, key: str, urls: Column) -> DataFrame:
     """(key, survivor): items that share a URL, directly or through others, belong to the one with the smallest key."""
     pairs = items.select(key, F.explode(F.array_distinct(F.filter(urls, lambda u: u != ""))).alias("url"))
     first = pairs.groupBy("url").agg(F.min(key).alias("b"))
-    edges = pairs.join(first, "url").select(F.col(key).alias("a"), "b").distinct()
+    edges = pairs.join(first, "url").select(F.col(key).alias("a"), "b").filter("a <> b")  # repeated edges do no harm; an item's edge to itself tells nothing
     both = settled(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))))
     labels = settled(items.select(F.col(key).alias("node"), F.col(key).alias("label")))
     while True:  # labels jump to their labels' labels, so rounds grow with the logarithm of the longest path

@@ -179,3 +179,14 @@ def test_contracts_are_the_fields_of_entries(spark):
         got, want = filings.contracts(df, "k", "h"), filings.contract_fields(filings.filing_entries(df, "k", "h"), "k")
         assert got.columns == want.columns and got.dtypes == want.dtypes
         assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_url_survivors_write_no_edge_to_itself(spark, monkeypatch):
+    from tallgrass.operators import entity
+
+    made, settled = [], entity.settled
+    monkeypatch.setattr(entity, "settled", lambda df: made.append(settled(df)) or made[-1])
+    items = spark.createDataFrame([(1, "a", "x"), (2, "b", "x"), (3, "b", "c"), (4, "", "d"), (5, None, "c"), (6, "", "")], "k long, u string, v string")
+    got = {r["k"]: r["survivor"] for r in entity.url_survivors(items, "k", F.array("u", "v")).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 4, 5: 1, 6: 6}
+    assert made[0].filter("a = b").isEmpty() and not made[0].isEmpty()
